@@ -1,0 +1,5 @@
+"""Streaming operators: none.
+
+Every operator of this library is a bounded batch transformation; late or missing
+observations are handled as missing data by ``operators.timeagg.completeness_gate``.
+"""
