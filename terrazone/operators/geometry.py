@@ -282,27 +282,41 @@ def zone_trapezoids(edges: DataFrame, zone: list[str], slab: float) -> DataFrame
         *zone, "xa", "xb", F.col("_a").alias("low_a"), F.col("_b").alias("low_b"), F.col("_na").alias("high_a"), F.col("_nb").alias("high_b"))
 
 
-def _clip_ring(ring: Column, a: Column, b: Column, c: Column) -> Column:
-    """Part of a ring (array of struct x, y) where a x + b y + c >= 0."""
-    side = lambda p: a * p["x"] + b * p["y"] + c
-    n = F.size(ring)
-
-    def corner(p, i):
-        q = F.element_at(ring, (i + 1) % n + 1)
-        sp, sq = side(p), side(q)
-        t = sp / (sp - sq)
-        crossing = F.struct((p["x"] + t * (q["x"] - p["x"])).alias("x"), (p["y"] + t * (q["y"] - p["y"])).alias("y"))
-        keep = F.when(sp >= 0, F.array(p)).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
-        cut = F.when((sp > 0) & (sq < 0) | (sp < 0) & (sq > 0), F.array(crossing)).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
-        return F.concat(keep, cut)
-    return F.flatten(F.transform(ring, corner))
+POINTS = "array<struct<x:double,y:double>>"
+
+
+def _clip_ring(ring: Column, planes: list[tuple[Column, Column, Column]]) -> Column:
+    """Part of a convex or simple ring (array of struct x, y) with a x + b y + c >= 0 for every plane (a, b, c).
+
+    The planes are folded over the ring, so each step sees the previous result as one value.
+    """
+    none = F.array().cast(POINTS)
+
+    def step(points, plane):
+        value = lambda p: plane["a"] * p["x"] + plane["b"] * p["y"] + plane["c"]
+        pairs = F.arrays_zip(points.alias("p"), F.concat(F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))), F.slice(points, 1, 1)).alias("q"))
+
+        def corner(pair):
+            p, q = pair["p"], pair["q"]
+            sp, sq = value(p), value(q)
+            t = ratio(sp, sp - sq)
+            cut = F.struct((p["x"] + t * (q["x"] - p["x"])).alias("x"), (p["y"] + t * (q["y"] - p["y"])).alias("y"))
+            return F.concat(F.when(sp >= 0, F.array(p)).otherwise(none),
+                            F.when((sp > 0) & (sq < 0) | (sp < 0) & (sq > 0), F.array(cut)).otherwise(none))
+        return F.flatten(F.transform(pairs, corner)).cast(POINTS)
+    folded = F.array(*[F.struct(x.alias("a"), y.alias("b"), c.alias("c")) for x, y, c in planes])
+    return F.aggregate(folded, ring.cast(POINTS), step)
 
 
 def ring_area(ring: Column) -> Column:
-    n = F.size(ring)
-    nxt = lambda i: F.element_at(ring, (i + 1) % n + 1)
-    terms = F.transform(ring, lambda p, i: p["x"] * nxt(i)["y"] - nxt(i)["x"] * p["y"])
-    return F.when(n >= 3, F.abs(F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)) / 2).otherwise(F.lit(0.0))
+    """Area of a ring by a fold that keeps the first and previous point and the running cross product."""
+    start = F.struct(F.lit(None).cast("double").alias("fx"), F.lit(None).cast("double").alias("fy"),
+                     F.lit(None).cast("double").alias("px"), F.lit(None).cast("double").alias("py"), F.lit(0.0).alias("s"))
+    step = lambda acc, p: F.struct(
+        F.coalesce(acc["fx"], p["x"]).alias("fx"), F.coalesce(acc["fy"], p["y"]).alias("fy"), p["x"].alias("px"), p["y"].alias("py"),
+        (acc["s"] + F.coalesce(acc["px"] * p["y"] - p["x"] * acc["py"], F.lit(0.0))).alias("s"))
+    close = lambda acc: F.abs(F.coalesce(acc["s"] + acc["px"] * acc["fy"] - acc["fx"] * acc["py"], F.lit(0.0))) / 2
+    return F.aggregate(ring, start, step, close)
 
 
 def feature_clip(features: DataFrame, zone_edges: DataFrame, zone: list[str], tile: float, feature_id: str = "feature_id",
@@ -324,11 +338,10 @@ def feature_clip(features: DataFrame, zone_edges: DataFrame, zone: list[str], ti
         (ox < F.least("_fx1", "xb")) & (oy < F.least("_fy1", "_zy1")) & (F.floor(ox / tile) == F.col("_tx")) & (F.floor(oy / tile) == F.col("_ty")))
     w = F.col("xb") - F.col("xa")
     up_low, up_high = (F.col("low_b") - F.col("low_a")) / w, (F.col("high_b") - F.col("high_a")) / w
-    clip = lambda df, a, b, c: df.withColumn(ring, _clip_ring(F.col(ring), a, b, c))
-    j = clip(j, F.lit(1.0), F.lit(0.0), -F.col("xa"))
-    j = clip(j, F.lit(-1.0), F.lit(0.0), F.col("xb"))
-    j = clip(j, -up_low, F.lit(1.0), up_low * F.col("xa") - F.col("low_a"))
-    j = clip(j, up_high, F.lit(-1.0), F.col("high_a") - up_high * F.col("xa"))
+    one, zero = F.lit(1.0), F.lit(0.0)
+    planes = [(one, zero, -F.col("xa")), (-one, zero, F.col("xb")), (-up_low, one, up_low * F.col("xa") - F.col("low_a")),
+              (up_high, -one, F.col("high_a") - up_high * F.col("xa"))]
+    j = j.withColumn(ring, _clip_ring(F.col(ring), planes))
     out = j.withColumn("piece_area", ring_area(F.col(ring))).where("piece_area > 0")
     return out.select(*features.columns, *zone, "piece_area")
 
