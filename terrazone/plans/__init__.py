@@ -2,7 +2,7 @@
 
 from . import registry
 from . import (  # noqa: F401  (importing a module registers its queries)
-    q_stats, q_consensus, q_support, q_compare, q_time, q_geometry, q_rules,
+    q_stats, q_consensus, q_support, q_compare, q_time, q_geometry, q_rules, q_audit, q_scenario, q_io,
 )
 
 QUERIES = registry.QUERIES

@@ -330,16 +330,14 @@ def grid_contract(spark, d):
     return ru.grid_contract(seen, expected).select("layer_id", "grid_status")
 
 
-@query("flatten_assets", """WITH a AS (SELECT 'S' || l_suppkey dataset_id, l_linestatus ls, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber::VARCHAR ELSE '' END input_code, CASE WHEN l_linenumber % 3 = 0 THEN l_returnflag END code, row_number() OVER (PARTITION BY l_suppkey, l_linestatus ORDER BY l_orderkey, l_linenumber, l_partkey) ord FROM lineitem),
- r AS (SELECT dataset_id, CASE ls WHEN 'F' THEN 'historical_assets' ELSE 'assets' END list, ord, dataset_id || '__' || coalesce(nullif(input_code, ''), code, ord::VARCHAR) asset_key FROM a UNION ALL SELECT 'S' || s_suppkey, NULL, NULL, 'S' || s_suppkey FROM supplier WHERE s_acctbal > 5000)
- SELECT list, asset_key, count(*) asset_count FROM r GROUP BY ALL""")
+@query("flatten_assets", """WITH o AS (SELECT o_orderkey, 'S' || o_custkey dataset_id, o_orderpriority p, o_custkey % 4 n1, o_orderkey % 3 n2, o_totalprice > 400000 has FROM orders),
+ r AS (SELECT dataset_id, 'historical_assets' list, i ord, CASE WHEN i % 2 = 0 THEN p ELSE '' END input_code, NULL code FROM o, range(1, 4) t(i) WHERE i <= n1 UNION ALL SELECT dataset_id, 'assets', i, '', CASE WHEN i = 2 THEN 'c' || o_orderkey END FROM o, range(1, 3) t(i) WHERE i <= n2),
+ k AS (SELECT list, dataset_id || '__' || coalesce(nullif(input_code, ''), code, ord::VARCHAR) asset_key FROM r UNION ALL SELECT NULL, dataset_id FROM o WHERE has) SELECT list, asset_key, count(*) asset_count FROM k GROUP BY ALL""")
 def flatten_assets(spark, d):
-    l = table(spark, d, "lineitem").select("l_suppkey", "l_linestatus", F.struct("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber").cast("string")).otherwise("").alias("input_code"),
-                                           F.when(F.col("l_linenumber") % 3 == 0, F.col("l_returnflag")).alias("code")).alias("a"))
-    # Nested manifests arrive as arrays; they are rebuilt here from the long table to exercise the flattening.
-    nested = l.groupBy("l_suppkey").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("l_linestatus") == s, F.col("a")))), lambda x: F.struct(x["input_code"].alias("input_code"), x["code"].alias("code"))).alias(name)
-                                          for s, name in (("F", "historical_assets"), ("O", "assets"))])
-    src = table(spark, d, "supplier").join(nested, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("dataset_id"), F.when(F.col("s_acctbal") > 5000, "u").alias("url"), "historical_assets", "assets")
+    i32 = lambda n: F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
+    first = F.transform(i32(F.col("o_custkey") % 4), lambda i: F.struct(F.when(i % 2 == 0, F.col("o_orderpriority")).otherwise("").alias("input_code"), F.lit(None).cast("string").alias("code")))
+    second = F.transform(i32(F.col("o_orderkey") % 3), lambda i: F.struct(F.lit("").alias("input_code"), F.when(i == 2, F.concat(F.lit("c"), F.col("o_orderkey").cast("string"))).alias("code")))
+    src = table(spark, d, "orders").select(F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("dataset_id"), F.when(F.col("o_totalprice") > 400000, "u").alias("url"),
+                                           first.alias("historical_assets"), second.alias("assets"))
     out = ru.flatten_assets(src, ["historical_assets", "assets"], ["input_code", "code"])
     return out.groupBy("list", "asset_key").agg(F.count("*").alias("asset_count"))
