@@ -16,7 +16,7 @@ from ..functions.scalars import any_of, col, finite, is_finite, join_null_safe,
 PROBABILITIES = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
 KEY_LIMIT = 20_000          # per-key tables up to this many rows are broadcast as local relations
-GROUP_LIMIT = 2_000_000     # groups up to this many rows are ordered by one window task
+GROUP_LIMIT = 1_000_000     # groups up to this many rows are ordered by one window task
 BINS = 1024
 
 Reach = Callable[[Column, Column], Column]
@@ -30,13 +30,13 @@ def at_least(p: float) -> Reach:
 def _local_if_small(df: DataFrame, limit: int) -> tuple[DataFrame, list | None]:
     """The same rows as a local relation when there are at most ``limit`` of them, else ``df`` itself.
 
-    Only ``limit + 1`` rows ever reach the driver; beyond the limit the caller keeps an ordinary
-    shuffle join, so nothing is broadcast whose size was not checked.
+    Only ``limit + 1`` rows ever reach the driver. A local relation has an exact size, so Spark broadcasts
+    it by itself; beyond the limit the caller keeps an ordinary shuffle join.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    found = df.limit(limit + 1).toArrow()
+    if found.num_rows > limit:
         return df, None
-    return df.sparkSession.createDataFrame(rows, df.schema), rows
+    return df.sparkSession.createDataFrame(found, df.schema), found.to_pylist()
 
 
 def _signed_log(x: Column) -> Column:
@@ -50,46 +50,55 @@ def _bin(x: Column, lo: Column, hi: Column) -> Column:
 
 
 def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dict[str, Reach],
-                     *, key_limit: int = KEY_LIMIT, group_limit: int = GROUP_LIMIT) -> DataFrame:
+                     *, key_limit: int = KEY_LIMIT, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
     """Per key: count, weight total, min, max, mean, second moment and exact weighted order statistics.
 
     A target is the first value, in ascending order, whose cumulative weight satisfies its predicate
-    (clamped to the largest value). Groups within ``group_limit`` rows are ordered by one window.
-    Larger groups are first narrowed by two histogram passes (signed-log bins over the group, then
-    linear bins inside each hit bin); both passes are map-side combined, and only the few bins holding
-    a target are ever sorted, so no task sees a whole hot group.
+    (clamped to the largest value). A counting pass finds the keys with more than ``group_limit`` rows.
+    All other keys share one shuffle and one ordered window. The hot keys are narrowed by two histogram
+    passes (signed-log bins over the group, then linear bins inside each hit bin), both combined map-side,
+    and only the few bins that hold a target are ever ordered: no task sees a whole hot group.
+    ``group_limit=None`` skips the counting pass for groups whose size is bounded by construction.
     """
     names, named = list(targets), keys
     if not keys:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    rows = df.select(*keys, finite(value).alias("_x"), finite(weight).alias("_w"))
-    ok = F.col("_x").isNotNull() & (F.col("_w") > 0)
-    total = rows.groupBy(*keys).agg(
-        F.count_if(ok).alias("_n"),
-        F.sum(F.when(ok, F.col("_w"))).alias("_wt"),
-        F.sum(F.when(ok, F.col("_x") * F.col("_w"))).alias("_xw"),
-        F.min(F.when(ok, F.col("_x"))).alias("_lo"),
-        F.max(F.when(ok, F.col("_x"))).alias("_hi"))
-    total = total.withColumn("_mean", ratio("_xw", "_wt")).drop("_xw")
-    total, known = _local_if_small(total, key_limit)
-    base = rows.where(ok)
-    if known is not None and all(r["_n"] <= group_limit for r in known):
-        solved = _ordered_by_window(base, total, keys, targets)
+    x, w = finite(value), finite(weight)
+    ok = F.coalesce(x.isNotNull() & (w > 0), F.lit(False))
+    rows = df.select(*keys, F.when(ok, x).alias("_x"), F.when(ok, w).alias("_w"))
+    plain = lambda d: _ordered_by_window(d, keys, targets)
+    if group_limit is None:
+        out = plain(rows)
     else:
-        solved = _ordered_by_bins(base, total, keys, targets, group_limit, local=known is not None, key_limit=key_limit)
-    out = join_null_safe(total, solved, keys, "left")
+        totals = rows.groupBy(*keys).agg(
+            F.count("_x").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+            (F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_mean")).where(F.col("_n") > group_limit)
+        hot, known = _local_if_small(totals, key_limit)
+        if known == []:
+            out = plain(rows)
+        else:
+            cold = join_null_safe(rows, hot.select(*keys), keys, "left_anti")
+            out = plain(cold).unionByName(_ordered_by_bins(rows.where("_x IS NOT NULL"), hot, keys, targets, group_limit,
+                                                           local=known is not None, key_limit=key_limit))
     return out.select(*named, F.col("_n").alias("n"), F.col("_wt").alias("weight_total"), F.col("_lo").alias("min"),
                       F.col("_hi").alias("max"), F.col("_mean").alias("mean"), F.col("_m2").alias("m2"), *names)
 
 
-def _ordered_by_window(base, total, keys, targets):
-    joined = join_null_safe(base, total.select(*keys, "_wt", "_mean"), keys)
-    by_value = joined.groupBy(*keys, "_x").agg(
-        F.sum("_w").alias("_w"), F.max("_wt").alias("_wt"), F.max("_mean").alias("_mean"))
-    order = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = by_value.withColumn("_cum", F.sum("_w").over(order))
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters and projections cannot inline and evaluate again."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def _ordered_by_window(rows, keys, targets):
+    """One shuffle by key: totals and running weights are windows over the same partitioning."""
+    group = Window.partitionBy(*keys)
+    order = group.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = rows.withColumns({"_cum": F.sum("_w").over(order)}).withColumns({
+        "_wt": F.sum("_w").over(group), "_mean": F.sum(F.col("_x") * F.col("_w")).over(group) / F.sum("_w").over(group)})
+    gap = F.col("_x") - F.col("_mean")
     return cum.groupBy(*keys).agg(
-        F.sum(F.col("_w") * (F.col("_x") - F.col("_mean")) * (F.col("_x") - F.col("_mean"))).alias("_m2"),
+        F.count("_x").alias("_n"), F.max("_wt").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.max("_mean").alias("_mean"),
+        F.sum(F.col("_w") * gap * gap).alias("_m2"),
         *[F.coalesce(F.min(F.when(reach(F.col("_cum"), F.col("_wt")), F.col("_x"))), F.max("_x")).alias(name)
           for name, reach in targets.items()])
 
@@ -110,22 +119,22 @@ def _ordered_by_bins(base, total, keys, targets, group_limit, local, key_limit):
             .groupBy(*keys, "_b")
             .agg(F.sum("_w").alias("_wb"), F.count("*").alias("_nb"), F.min("_x").alias("_blo"), F.max("_x").alias("_bhi"),
                  F.sum(F.col("_w") * (F.col("_x") - F.col("_mean")) * (F.col("_x") - F.col("_mean"))).alias("_m2b"),
-                 F.max("_wt").alias("_wt"), F.max("_n").alias("_n"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi")))
+                 F.max("_wt").alias("_wt"), F.max("_n").alias("_n"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_mean").alias("_mean")))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("_before", F.coalesce(F.sum("_wb").over(before), F.lit(0.0)))
     item = F.struct("_b", "_before", "_blo", "_bhi", "_nb")
     plan = settle(hist.groupBy(*keys).agg(
         F.sum("_m2b").alias("_m2"), F.max("_wt").alias("_wt"), F.max("_n").alias("_n"),
-        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
+        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_mean").alias("_mean"),
         *[first_reached(reach, F.lit(True), item).alias(f"_t_{name}") for name, reach in targets.items()]))
 
     def narrowed(with_plan):
-        d = (join_null_safe(base, with_plan, keys)
-             .withColumn("_b", outer(F.col("_n"), F.col("_lo"), F.col("_hi"))))
+        d = _computed_once(join_null_safe(base, with_plan, keys), "_b", outer(F.col("_n"), F.col("_lo"), F.col("_hi")))
         match = reduce(lambda a, b: F.coalesce(a, b), [F.when(F.col("_b") == F.col(f"_t_{n}._b"), F.col(f"_t_{n}")) for n in targets])
-        d = d.where(any_of([F.col("_b") == F.col(f"_t_{n}._b") for n in targets])).withColumn("_t", match)
+        d = d.where(any_of([F.col("_b") == F.col(f"_t_{n}._b") for n in targets]))
+        d = _computed_once(d, "_t", match)
         inner = F.when(F.col("_t._nb") <= group_limit, F.lit(0)).otherwise(_bin(F.col("_x"), F.col("_t._blo"), F.col("_t._bhi")))
-        return d.withColumn("_s", inner)
+        return _computed_once(d, "_s", inner)
 
     # Pass 2: linear bins inside every hit bin.
     sub = (narrowed(plan).groupBy(*keys, "_b", "_s")
@@ -150,8 +159,7 @@ def _ordered_by_bins(base, total, keys, targets, group_limit, local, key_limit):
     values = final.groupBy(*keys).agg(*[
         F.coalesce(F.min(F.when(F.col(f"_f_{n}") & reach(F.col("_cum"), F.col("_wt")), F.col("_x"))),
                    F.max(F.when(F.col(f"_f_{n}"), F.col("_x")))).alias(n) for n, reach in targets.items()])
-    m2 = plan.select(*keys, "_m2")
-    return join_null_safe(m2, values, keys)
+    return join_null_safe(plan.select(*keys, "_n", "_wt", "_lo", "_hi", "_mean", "_m2"), values, keys)
 
 
 def weighted_summary(df: DataFrame, keys: list[str], value, weight, **limits) -> DataFrame:
