@@ -173,6 +173,12 @@ def cell_weights(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, *, geogra
     return out.where(F.col("weight") > F.greatest(F.col("zone_area"), F.abs(cell_area)) * TINY)
 
 
+def zone_cells(weights: DataFrame, cells: DataFrame, grid: list[str] = ()) -> DataFrame:
+    """Layer cells inside the zones with their weight: weights are computed once per zone and grid and serve
+    every layer on that grid. An equi-join on (grid, row, column)."""
+    return cells.join(weights, [*grid, "row", "column"])
+
+
 def edge_cells(edges: DataFrame, zone: list[str], x0, y0, dx, dy) -> DataFrame:
     """Cells touched by an edge (boundary contact included): zone, row, column, distinct."""
     e = edges
@@ -210,16 +216,26 @@ def point_sample(points: DataFrame, cells: DataFrame, x: str, y: str, x0, y0, dx
     return p.join(cells.select("row", "column", F.col(value).alias("sample")), ["row", "column"], "left")
 
 
-def points_in_zones(points: DataFrame, edges: DataFrame, point: list[str], zone: list[str], strip: float,
+def points_in_zones(points: DataFrame, edges: DataFrame, point: list[str], zone: list[str], tile: float,
                     x: str = "x", y: str = "y") -> DataFrame:
-    """(point, zone) pairs with the point inside: odd number of edges above it, joined per x strip."""
-    e = edges.where("x1 <> x2").withColumn("_s", F.explode(F.sequence(
-        F.floor(F.least("x1", "x2") / strip), F.floor(F.greatest("x1", "x2") / strip))))
-    e = e.select(*zone, "_s", *EDGE)
-    p = points.select(*point, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn("_s", F.floor(F.col("_px") / strip))
+    """(point, zone) pairs with the point inside: an odd number of the zone's edges lie above it.
+
+    Candidates come from a tile-keyed join with the zone bounds; the edges then meet them on zone and x
+    strip, so neither step compares a point with zones or edges elsewhere.
+    """
+    low, high = lambda a, b: F.floor(F.least(a, b) / tile), lambda a, b: F.floor(F.greatest(a, b) / tile)
+    box = edges.groupBy(*zone).agg(F.min("x1").alias("_bx0"), F.max("x1").alias("_bx1"), F.min("y1").alias("_by0"), F.max("y1").alias("_by1"))
+    box = (box.withColumn("_tx", F.explode(F.sequence(F.floor(F.col("_bx0") / tile), F.floor(F.col("_bx1") / tile))))
+           .withColumn("_ty", F.explode(F.sequence(F.floor(F.col("_by0") / tile), F.floor(F.col("_by1") / tile)))))
+    p = points.select(*[F.col(c).alias(f"_p_{c}") for c in point], F.col(x).alias("_px"), F.col(y).alias("_py"))
+    p = p.withColumns({"_tx": F.floor(F.col("_px") / tile), "_ty": F.floor(F.col("_py") / tile)})
+    near = p.join(box, ["_tx", "_ty"]).where("_px BETWEEN _bx0 AND _bx1 AND _py BETWEEN _by0 AND _by1")
+    strips = edges.where("x1 <> x2").withColumn("_tx", F.explode(F.sequence(low("x1", "x2"), high("x1", "x2")))).select(*zone, "_tx", *EDGE)
+    hit = near.select(*zone, "_tx", *[f"_p_{c}" for c in point], "_px", "_py").join(strips, [*zone, "_tx"])
     at = F.col("y1") + (F.col("_px") - F.col("x1")) * (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    hit = p.join(e, "_s").where(((F.col("x1") <= F.col("_px")) != (F.col("x2") <= F.col("_px"))) & (at > F.col("_py")))
-    return hit.groupBy(*point, *zone).agg(F.count("*").alias("_n")).where("_n % 2 = 1").select(*point, *zone)
+    hit = hit.where(((F.col("x1") <= F.col("_px")) != (F.col("x2") <= F.col("_px"))) & (at > F.col("_py")))
+    return (hit.groupBy(*[f"_p_{c}" for c in point], *zone).agg(F.count("*").alias("_n")).where("_n % 2 = 1")
+            .select(*[F.col(f"_p_{c}").alias(c) for c in point], *zone))
 
 
 def _edge_tiles(edges: DataFrame, tile: float, grow: float = 0.0) -> DataFrame:

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import any_of, col, finite, is_finite, join_null_safe, ratio
+from ..functions.small import local_if_small
 
 PROBABILITIES = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
@@ -27,18 +28,6 @@ def at_least(p: float) -> Reach:
     return lambda cum, total: cum / total >= F.lit(p)
 
 
-def _local_if_small(df: DataFrame, limit: int) -> tuple[DataFrame, list | None]:
-    """The same rows as a local relation when there are at most ``limit`` of them, else ``df`` itself.
-
-    Only ``limit + 1`` rows ever reach the driver. A local relation has an exact size, so Spark broadcasts
-    it by itself; beyond the limit the caller keeps an ordinary shuffle join.
-    """
-    found = df.limit(limit + 1).toArrow()
-    if found.num_rows > limit:
-        return df, None
-    return df.sparkSession.createDataFrame(found, df.schema), found.to_pylist()
-
-
 def _signed_log(x: Column) -> Column:
     """Monotone, so it keeps order; spreads heavy tails over the bins."""
     return F.signum(x) * F.log1p(F.least(F.abs(x), F.lit(1e300)) * 1e6)
@@ -73,7 +62,7 @@ def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dic
         totals = rows.groupBy(*keys).agg(
             F.count("_x").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
             (F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_mean")).where(F.col("_n") > group_limit)
-        hot, known = _local_if_small(totals, key_limit)
+        hot, known = local_if_small(totals, key_limit)
         if known == []:
             out = plain(rows)
         else:
@@ -104,7 +93,7 @@ def _ordered_by_window(rows, keys, targets):
 
 
 def _ordered_by_bins(base, total, keys, targets, group_limit, local, key_limit):
-    settle = (lambda d: _local_if_small(d, key_limit)[0]) if local else (lambda d: d)
+    settle = (lambda d: local_if_small(d, key_limit)[0]) if local else (lambda d: d)
 
     def outer(n, lo, hi):
         return F.when(n <= group_limit, F.lit(0)).otherwise(_bin(_signed_log(F.col("_x")), _signed_log(lo), _signed_log(hi)))
@@ -217,7 +206,12 @@ def class_area(df: DataFrame, keys: list[str], class_code, weight, legend: DataF
 
 
 def caption_join(df: DataFrame, code: str, legend: DataFrame) -> DataFrame:
-    """Left lookup of the caption; a code without caption is flagged, never dropped."""
+    """Left lookup of the caption; a code without caption is flagged, never dropped.
+
+    A legend within the dimension limit becomes a local relation and is broadcast, so a class holding a
+    third of all cells is not gathered by a shuffle.
+    """
+    legend, _ = local_if_small(legend)
     joined = df.join(legend.withColumnRenamed("code", "_code"), F.col(code) == F.col("_code"), "left").drop("_code")
     return joined.withColumn("status", F.when(F.col("caption").isNull(), "UNKNOWN_CLASS").otherwise("OK"))
 

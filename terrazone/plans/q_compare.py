@@ -145,12 +145,12 @@ def group_pairs(spark, d):
     return cp.group_pairs(u.select("group_id", "map_code", "management_code", "period_code", "ssp_code").distinct())
 
 
-@query("group_metric_difference", f"""{GROUPS}, n AS (SELECT comparison_kind, group_a, group_b, area, list_avg(va) ma, list_avg(vb) mb, list_stddev_pop(va) sa, list_stddev_pop(vb) sb,
+@query("group_metric_difference", f"""{GROUPS}, n AS (SELECT comparison_kind, group_a, group_b, sqrt(area) area, list_avg(va) ma, list_avg(vb) mb, list_stddev_pop(va) sa, list_stddev_pop(vb) sb,
    list_aggregate(va, 'quantile_cont', .75) - list_aggregate(va, 'quantile_cont', .25) ia, list_aggregate(vb, 'quantile_cont', .75) - list_aggregate(vb, 'quantile_cont', .25) ib, list_max(va) - list_min(va) ra, list_max(vb) - list_min(vb) rb FROM gu),
  z AS (SELECT comparison_kind, group_a, group_b, area, unnest(['model_mean_difference', 'model_standard_deviation_difference', 'model_iqr_difference', 'model_range_difference', 'model_coefficient_of_variation_difference']) metric,
    unnest([mb - ma, sb - sa, ib - ia, rb - ra, sb / mb - sa / ma]) v FROM n) SELECT {ROUND_ALL} FROM ({summary_sql('z', 'comparison_kind, group_a, group_b, metric', 'v', 'area')})""")
 def group_metric_difference(spark, d):
-    return rounded(cp.group_metric_difference(group_pair_units(spark, d), GKEYS, 4), SUMMARY)
+    return rounded(cp.group_metric_difference(group_pair_units(spark, d).withColumn("area", F.sqrt("area")), GKEYS, 4), SUMMARY)
 
 
 MODAL = f"""{GROUPS}, cnt AS (SELECT comparison_kind, group_a, group_b, "row", "column", area, side, k, count(*) n FROM (SELECT comparison_kind, group_a, group_b, "row", "column", area, 'a' side, unnest(ka) k FROM gu
@@ -176,11 +176,11 @@ def group_transitions(spark, d):
 ENS = ["map_code", "period_code", "ssp_code", "management_code", "row", "column"]
 
 
-@query("ensemble_diagnostic", f"""{GROUPS}, y AS (SELECT s.group_id, s.area, e.v - list_avg(s.vs) v FROM s JOIN lc e ON e.climate_model_code = 'ENSEMBLE' AND e.map_code = s.map_code AND e.period_code = s.period_code
+@query("ensemble_diagnostic", f"""{GROUPS}, y AS (SELECT s.group_id, sqrt(s.area) area, e.v - list_avg(s.vs) v FROM s JOIN lc e ON e.climate_model_code = 'ENSEMBLE' AND e.map_code = s.map_code AND e.period_code = s.period_code
    AND e.ssp_code = s.ssp_code AND e.management_code = s.management_code AND e."row" = s."row" AND e."column" = s."column") SELECT {ROUND_ALL} FROM ({summary_sql('y', 'group_id', 'v', 'area')})""")
 def ensemble_diagnostic(spark, d):
     e = layer_cells(spark, d).where("climate_model_code = 'ENSEMBLE'").select(*ENS, F.col("value").alias("ensemble_value"))
-    return rounded(cp.ensemble_diagnostic(group_units(spark, d), e, ["group_id"], ENS, 4, categorical=False), SUMMARY)
+    return rounded(cp.ensemble_diagnostic(group_units(spark, d).withColumn("area", F.sqrt("area")), e, ["group_id"], ENS, 4, categorical=False), SUMMARY)
 
 
 @query("ensemble_class_match", f"""{GROUPS}, q AS (SELECT s.group_id, s.area, s."row", s."column", unnest(s.ks) k FROM s), c AS (SELECT group_id, "row", "column", area, k, count(*) n FROM q GROUP BY ALL),

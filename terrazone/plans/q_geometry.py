@@ -8,7 +8,8 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.geocols import E2, ECC, EQUAL_AREA_K0, SEMI_MAJOR
-from ..operators import geometry as geo
+from ..operators import geometry as geo, stats
+from .q_stats import summary_sql
 from .registry import query, rnd, rounded, table
 
 STEP = 2 * math.pi / 32
@@ -121,6 +122,24 @@ def cell_weights(spark, d):
     return out.select("zone_id", "row", "column", rnd(F.col("weight") / 1e4, 4).alias("weight_ha"), rnd(F.col("zone_area") / 1e4, 3).alias("zone_area_ha"))
 
 
+WEIGHTS = f"""{SZ}, c AS (SELECT *, unnest(range(floor((x0 + 180) / .25)::BIGINT, ceil((x1 + 180) / .25)::BIGINT)) "column" FROM z), r AS (SELECT *, unnest(range(floor((90 - y1) / .25)::BIGINT, ceil((90 - y0) / .25)::BIGINT)) "row" FROM c),
+ b AS (SELECT *, greatest(x0, -180 + "column" * .25) l, least(x1, -180 + ("column" + 1) * .25) rr, greatest(y0, 90 - ("row" + 1) * .25) bt, least(y1, 90 - "row" * .25) tp FROM r),
+ w AS (SELECT zone_id, "row", "column", ({_x_sql('rr')} - {_x_sql('l')}) * ({_y_sql('tp')} - {_y_sql('bt')}) / 1e4 weight FROM b WHERE rr > l AND tp > bt)"""
+
+
+@query("zonal_summary", f"""{WEIGHTS}, g AS (SELECT o_orderstatus layer_id, 300 + o_custkey % 100 "row", 720 + o_orderkey % 210 "column", max(sqrt(o_totalprice)) v FROM orders GROUP BY 1, 2, 3),
+ zc AS (SELECT zone_id, layer_id, v, weight FROM w JOIN g USING ("row", "column") WHERE v > 250) SELECT * REPLACE (round("min", 4) AS "min", round("max", 4) AS "max", round(p05, 4) AS p05, round(p25, 4) AS p25,
+  round("median", 4) AS "median", round(p75, 4) AS p75, round(p95, 4) AS p95) FROM ({summary_sql('zc', 'zone_id, layer_id', 'v', 'weight')})""")
+def zonal_summary(spark, d):
+    """The whole raster path: cell weights per zone, joined with every layer, decoded and summarised."""
+    w = geo.cell_weights(supplier_zones(spark, d), ["zone_id"], -180.0, 90.0, 0.25, 0.25, geographic=True, densify=0.05)
+    cells = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("layer_id"), (300 + F.col("o_custkey") % 100).alias("row"), (720 + F.col("o_orderkey") % 210).alias("column")).agg(
+        F.max(F.sqrt("o_totalprice")).alias("raw"))
+    inside = stats.decode_cells(geo.zone_cells(w.withColumn("weight", F.col("weight") / 1e4), cells), "raw", F.col("raw") > 250, "weight")
+    out = stats.weighted_summary(inside.where("valid"), ["zone_id", "layer_id"], "value", "weight")
+    return rounded(out, ["min", "max", "mean", "std", "p05", "p25", "median", "p75", "p95"])
+
+
 @query("touched_cells", f"""{SZ}, c AS (SELECT *, unnest(range(ceil((x0 + 180) / .25)::BIGINT - 1, floor((x1 + 180) / .25)::BIGINT + 1)) "column" FROM z), r AS (SELECT *, unnest(range(ceil((90 - y1) / .25)::BIGINT - 1, floor((90 - y0) / .25)::BIGINT + 1)) "row" FROM c),
  g AS (SELECT 300 + o_custkey % 100 "row", 720 + o_orderkey % 210 "column", max(o_totalprice) > 250000 ok FROM orders GROUP BY 1, 2)
  SELECT zone_id, 'orders' layer_id, count(*) intersecting_cell_count, count(*) FILTER (WHERE ok) valid_cell_count, round(100 * count(*) FILTER (WHERE ok) / count(*), 6) valid_selected_percentage FROM r JOIN g USING ("row", "column") GROUP BY 1""")

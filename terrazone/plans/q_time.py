@@ -51,17 +51,17 @@ def period_calendar(spark, d):
 
 
 def observations(spark, d):
-    """Orders as intervals of 1 to 43 days: layer = status, cell = customer, rate = price."""
+    """Orders as intervals of 1 to 43 days: layer = status, cell = customer, rate = square root of the price (so that no rounding tie occurs)."""
     o = table(spark, d, "orders")
     start = F.col("o_orderdate").cast("timestamp")
     return o.select(F.col("o_orderstatus").alias("layer_id"), F.col("o_custkey").alias("cell_id"), start.alias("interval_start"),
                     (F.to_date("o_orderdate") + (F.col("o_custkey") % 22 * 2 + 1).cast("int")).cast("timestamp").alias("interval_end"),
-                    F.when(F.col("o_orderkey") % 11 != 0, F.col("o_totalprice")).alias("value"),
+                    F.when(F.col("o_orderkey") % 11 != 0, F.sqrt("o_totalprice")).alias("value"),
                     (F.col("o_custkey") % 7 + 1).cast("double").alias("weight"),
                     F.when(F.col("o_orderstatus") == "F", "sum_amount").when(F.col("o_orderstatus") == "O", "integrate_rate").otherwise("duration_mean").alias("method"))
 
 
-OBS = """WITH o AS (SELECT o_orderstatus layer_id, o_custkey cell_id, o_orderdate s, o_orderdate + to_days((o_custkey % 22 * 2 + 1)::INT) e, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END v, (o_custkey % 7 + 1)::DOUBLE w,
+OBS = """WITH o AS (SELECT o_orderstatus layer_id, o_custkey cell_id, o_orderdate s, o_orderdate + to_days((o_custkey % 22 * 2 + 1)::INT) e, CASE WHEN o_orderkey % 11 <> 0 THEN sqrt(o_totalprice) END v, (o_custkey % 7 + 1)::DOUBLE w,
    CASE o_orderstatus WHEN 'F' THEN 'sum_amount' WHEN 'O' THEN 'integrate_rate' ELSE 'duration_mean' END method FROM orders),
  cal AS (SELECT m a, m + INTERVAL 1 MONTH b FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-01', INTERVAL 1 MONTH) t(m)),
  x AS (SELECT *, date_diff('day', greatest(s, a), least(e, b)) ov FROM o JOIN cal ON s < b AND e > a)"""
