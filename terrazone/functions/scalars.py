@@ -107,3 +107,8 @@ def all_of(conds: list[Column]) -> Column:
 
 def any_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conds)
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters and projections cannot inline and evaluate again."""
+    return df.withColumn(name, F.explode(F.array(value)))

@@ -79,3 +79,9 @@ def period_years(code) -> Column:
 def utc_timestamp(text) -> Column:
     """ISO text, with or without a trailing Z, read as UTC; other text gives NULL."""
     return F.try_to_timestamp(F.regexp_replace(F.trim(col(text)), "Z$", ""))
+
+
+def prefetch_start(start, cadence, margin_days: int = 17) -> Column:
+    """Earliest observation start to read for a window: 16-day composites may begin before it."""
+    s = col(start).cast("timestamp")
+    return F.when(col(cadence) == "16day", _plus_days(s, -margin_days)).otherwise(s)

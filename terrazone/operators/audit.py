@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import close_enough, col, join_null_safe, same_or_close
+from ..functions.scalars import close_enough, col, is_finite, join_null_safe, same_or_close
 from .rules import decide
 
 
@@ -105,40 +105,42 @@ def product_violations(groups: DataFrame, support: DataFrame, units: DataFrame,
     outside_area, unit_count. ``support`` holds the same areas; ``units``: group_id, unit_id, area, model_values
     (map); ``layers``: layer_id, climate_model_code, map_code, verification_status.
     """
-    rows = []
     # Groups are audit rows (one per product); a repeated group id is reported by contract_resolve.
     groups = groups.dropDuplicates(["group_id"])
-    add = lambda df, ord_, reason: rows.append(df.select("group_id", F.lit(ord_).alias("check_ord"), F.lit(reason).alias("reason")))
+
+    def failed(df: DataFrame, checks: list[tuple[int, Column, str]]) -> DataFrame:
+        """All failing checks of a row in one pass."""
+        found = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(o).alias("check_ord"), F.lit(reason).alias("reason"))) for o, cond, reason in checks]
+        return df.select("group_id", F.explode(F.array_compact(F.array(*found))).alias("v")).select("group_id", "v.*")
     expected = F.sort_array(F.array(*[F.lit(m) for m in models]))
     s = support.groupBy("group_id").agg(F.count("*").alias("_n"), F.first(F.struct("common_valid_area", "masked_area", "outside_area", "unit_count")).alias("_s"))
-    g = groups.join(s, "group_id", "left")
-    add(g.where(F.coalesce("_n", F.lit(0)) > 1), 1, "Duplicate support key")
-    add(g.where((F.col("model_count") != len(models)) | ~F.sort_array("model_set").eqNullSafe(expected)), 2, "Expected models not verified")
+    u = units.groupBy("group_id", "unit_id").agg(F.count("*").alias("_k"), F.max(F.size("model_values")).alias("_m"), F.max("area").alias("_a"), F.min("area").alias("_amin"))
+    per = u.groupBy("group_id").agg(F.sum("_k").alias("_rows"), F.max("_k").alias("_dup"), F.min("_m").alias("_models"), F.sum("_a").alias("_area"), F.min("_amin").alias("_low"))
+    g = groups.join(s, "group_id", "left").join(per, "group_id", "left")
     rule = F.col("positive_rule")
-    add(g.where(rule.isNotNull() & ~rule.isin(*accepted_rules)), 3, "Positive criterion needs a documented adapter")
-    member = (groups.select("group_id", "map_code", F.posexplode("layer_ids").alias("pos", "layer_id"))
-              .join(layers.withColumnRenamed("map_code", "_map").groupBy("layer_id").agg(F.count("*").alias("_k"), F.first(F.struct("climate_model_code", "_map", "verification_status")).alias("_l")), "layer_id", "left"))
-    ordered = F.element_at(F.array(*[F.lit(m) for m in models]), F.least(F.col("pos") + 1, F.lit(len(models))))
-    add(member.where(F.col("_k").isNull() | (F.col("_k") > 1)).select("group_id").distinct(), 4, "Layer record missing or duplicated: conflict")
-    add(member.where(~F.col("_l.climate_model_code").eqNullSafe(ordered)).select("group_id").distinct(), 5, "Model order conflicts with the layer records")
-    add(member.where(~F.col("_l._map").eqNullSafe(F.col("map_code"))).select("group_id").distinct(), 6, "Product conflicts with the layer records")
-    add(member.where(~F.col("_l.verification_status").isin("VERIFIED_INSIDE_AOI", "VERIFIED_BUT_EMPTY_INSIDE_AOI") | F.col("_l.verification_status").isNull()).select("group_id").distinct(), 7, "Source verification incomplete")
     same = lambda c: close_enough(F.col(c), F.col(f"_s.{c}"))
-    add(g.where(F.col("_s").isNull()), 8, "Support record missing")
-    add(g.where(F.col("_s").isNotNull() & ~(same("common_valid_area") & same("masked_area") & same("outside_area") & same("unit_count"))), 9, "Common-support sources conflict")
     total = F.col("common_valid_area") + F.col("masked_area") + F.col("outside_area")
-    add(g.where(F.abs(total - zone_area) > zone_area * tolerance), 10, "Support area closure failed")
-    u = units.groupBy("group_id", "unit_id").agg(F.count("*").alias("_k"), F.max(F.size("model_values")).alias("_m"), F.max("area").alias("_a"), F.min("area").alias("_amin"))
-    per = u.groupBy("group_id").agg(F.sum("_k").alias("_rows"), F.max("_k").alias("_dup"), F.min("_m").alias("_models"), F.sum("_a").alias("_area"), F.min("_amin").alias("_low"))
-    gu = groups.join(per, "group_id", "left")
-    add(gu.where(F.col("_dup") > 1), 11, "Duplicate analytical unit")
-    add(gu.where(F.coalesce("_rows", F.lit(0)) != F.col("unit_count")), 12, "Unit count conflict")
-    add(gu.where(F.col("_models") != len(models)), 13, "Unit without all model values")
-    add(gu.where((F.col("_low") <= 0) | (F.abs(F.coalesce("_area", F.lit(0.0)) - F.col("common_valid_area")) > zone_area * tolerance)), 14, "Common-support area closure failed")
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    own = failed(g, [
+        (1, F.col("_n") > 1, "Duplicate support key"),
+        (2, (F.col("model_count") != len(models)) | ~F.sort_array("model_set").eqNullSafe(expected), "Expected models not verified"),
+        (3, rule.isNotNull() & ~rule.isin(*accepted_rules), "Positive criterion needs a documented adapter"),
+        (8, F.col("_s").isNull(), "Support record missing"),
+        (9, F.col("_s").isNotNull() & ~(same("common_valid_area") & same("masked_area") & same("outside_area") & same("unit_count")), "Common-support sources conflict"),
+        (10, F.abs(total - zone_area) > zone_area * tolerance, "Support area closure failed"),
+        (11, F.col("_dup") > 1, "Duplicate analytical unit"),
+        (12, F.coalesce("_rows", F.lit(0)) != F.col("unit_count"), "Unit count conflict"),
+        (13, F.col("_models") != len(models), "Unit without all model values"),
+        (14, (F.col("_low") <= 0) | (F.abs(F.coalesce("_area", F.lit(0.0)) - F.col("common_valid_area")) > zone_area * tolerance), "Common-support area closure failed")])
+    known = layers.withColumnRenamed("map_code", "_map").groupBy("layer_id").agg(F.count("*").alias("_k"), F.first(F.struct("climate_model_code", "_map", "verification_status")).alias("_l"))
+    member = groups.select("group_id", "map_code", F.posexplode("layer_ids").alias("pos", "layer_id")).join(known, "layer_id", "left")
+    ordered = F.element_at(F.array(*[F.lit(m) for m in models]), F.least(F.col("pos") + 1, F.lit(len(models))))
+    verified = F.coalesce(F.col("_l.verification_status").isin("VERIFIED_INSIDE_AOI", "VERIFIED_BUT_EMPTY_INSIDE_AOI"), F.lit(False))
+    parts = failed(member, [
+        (4, F.col("_k").isNull() | (F.col("_k") > 1), "Layer record missing or duplicated: conflict"),
+        (5, ~F.col("_l.climate_model_code").eqNullSafe(ordered), "Model order conflicts with the layer records"),
+        (6, ~F.col("_l._map").eqNullSafe(F.col("map_code")), "Product conflicts with the layer records"),
+        (7, ~verified, "Source verification incomplete")]).distinct()
+    return own.unionByName(parts)
 
 
 def qa_flag_gate(checks: DataFrame, key: str, flags: str, tolerated: list[str]) -> DataFrame:
@@ -202,3 +204,10 @@ def set_difference(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     """Distinct left keys absent on the right; NULL keys compare equal."""
     g = _sides(left, right, keys, []).groupBy(*keys).agg(F.bool_or("_left").alias("_l"), F.bool_or(~F.col("_left")).alias("_r"))
     return g.where("_l AND NOT _r").select(*keys)
+
+
+def finite_assert(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Values that are no analytical numbers: booleans, NaN, infinities and missing ones, one row per (key, field)."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    bad = [F.when(F.lit(True) if kinds[c] == "boolean" else ~is_finite(c), F.lit(c)) for c in columns]
+    return df.select(*keys, F.explode(F.array_compact(F.array(*bad))).alias("field"))

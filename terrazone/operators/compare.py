@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import col, ratio
 from ..functions.small import salted_join
-from .consensus import consensus_metrics, numeric_metrics
+from .consensus import numeric_metrics, with_consensus, with_numeric
 from .stats import weighted_summary
 
 PRODUCT_DIMS = ["map_code", "management_code", "climate_model_code"]
@@ -121,8 +121,7 @@ GROUP_DIFFERENCES = ["model_mean_difference", "model_standard_deviation_differen
 
 
 def group_metric_units(pair_units: DataFrame, n: int) -> DataFrame:
-    a, b = numeric_metrics("values_a", n, "_a"), numeric_metrics("values_b", n, "_b")
-    out = pair_units.withColumns({**a, **b})
+    out = with_numeric(with_numeric(pair_units, "values_a", n, "_a"), "values_b", n, "_b")
     return out.withColumns({m: F.col(m.replace("_difference", "_b")) - F.col(m.replace("_difference", "_a")) for m in [*GROUP_DIFFERENCES, "model_median_difference"]})
 
 
@@ -134,7 +133,7 @@ def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area
 
 
 def group_modal_units(pair_units: DataFrame, n: int) -> DataFrame:
-    out = pair_units.withColumns({**consensus_metrics("values_a", n, "_a"), **consensus_metrics("values_b", n, "_b")})
+    out = with_consensus(with_consensus(pair_units, "values_a", n, "_a"), "values_b", n, "_b")
     for side in ("a", "b"):
         out = out.withColumns({f"unanimity_{side}": (F.col(f"modal_count_{side}") == n).cast("int"),
                                f"strong_agreement_{side}": (F.col(f"modal_count_{side}") >= n - 1).cast("int")})
@@ -166,7 +165,7 @@ def ensemble_units(units: DataFrame, ensemble: DataFrame, keys: list[str], n: in
     """The sixth source next to the five models on their joint support; ``ensemble`` has keys and ensemble_value."""
     j = units.join(ensemble.where(F.col("ensemble_value").isNotNull()), keys)
     if categorical:
-        j = j.withColumns(consensus_metrics("values", n))
+        j = with_consensus(j, "values", n)
         return j.withColumns({"tied_mode": F.col("modal_class").isNull(),
                               "match_unique_mode": F.col("ensemble_value") == F.col("modal_class")})
     mean = numeric_metrics("values", n)["model_mean"]

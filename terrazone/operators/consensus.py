@@ -10,7 +10,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import col, ratio
+from ..functions.scalars import col, computed_once, ratio
 from .stats import weighted_summary
 
 NUMERIC_METRICS = ["model_mean", "model_median", "model_minimum", "model_maximum", "model_standard_deviation",
@@ -67,10 +67,16 @@ def numeric_metrics(values, n: int, suffix: str = "") -> dict[str, Column]:
     return {k + suffix: v for k, v in out.items()}
 
 
+def with_numeric(df: DataFrame, values: str, n: int, suffix: str = "") -> DataFrame:
+    """Add the eight metrics as fixed columns."""
+    m = numeric_metrics(values, n, suffix)
+    out = computed_once(df, "_m", F.struct(*[v.alias(k) for k, v in m.items()]))
+    return out.select(*df.columns, "_m.*")
+
+
 def model_numeric(df: DataFrame, n: int, values: str = "values") -> DataFrame:
     """Add the eight numeric metrics, the CV status and the zero/positive indicators."""
-    m = numeric_metrics(values, n)
-    out = df.withColumns(m)
+    out = with_numeric(df, values, n)
     mean = F.col("model_mean")
     return out.withColumns({
         "cv_status": F.when(mean > 0, "DEFINED").otherwise("UNDEFINED_NONPOSITIVE_MEAN"),
@@ -78,21 +84,28 @@ def model_numeric(df: DataFrame, n: int, values: str = "values") -> DataFrame:
         "positive_yield": mean > 0, "valid_zero_yield": mean == 0})
 
 
-def consensus_metrics(values, n: int, suffix: str = "") -> dict[str, Column]:
-    """Modal count, tied winners, unique mode (NULL on a tie) and number of distinct classes."""
+def with_consensus(df: DataFrame, values: str, n: int, suffix: str = "") -> DataFrame:
+    """Add modal count, unique mode (NULL on a tie), tied winners and number of distinct classes.
+
+    Counts and winners are fixed in two steps, so that the comparisons of all value pairs are not
+    repeated in every column derived from them.
+    """
     items = _items(values, n)
     counts = [sum([(other == x).cast("int") for other in items[1:]], (items[0] == x).cast("int")) for x in items]
-    top = F.greatest(*counts) if n > 1 else counts[0]
-    winners = F.sort_array(F.array_distinct(F.array_compact(F.array(*[F.when(c == top, x.cast("int")) for c, x in zip(counts, items)]))))
-    return {f"modal_count{suffix}": top,
-            f"modal_class{suffix}": F.when(F.size(winners) == 1, winners[0]),
-            f"tied_modal_classes{suffix}": F.when(F.size(winners) > 1, winners).otherwise(F.array().cast("array<int>")),
-            f"unique_class_count{suffix}": F.size(F.array_distinct(col(values)))}
+    out = computed_once(df, "_counts", F.array(*counts))
+    top = F.array_max("_counts")
+    winners = F.array_distinct(F.array_compact(F.array(*[F.when(F.col("_counts")[i] == F.col("_top"), x.cast("int")) for i, x in enumerate(items)])))
+    out = computed_once(computed_once(out, "_top", top), "_winners", F.sort_array(winners))
+    single = F.size("_winners") == 1
+    return out.withColumns({
+        f"modal_count{suffix}": F.col("_top"), f"modal_class{suffix}": F.when(single, F.col("_winners")[0]),
+        f"tied_modal_classes{suffix}": F.when(single, F.array().cast("array<int>")).otherwise(F.col("_winners")),
+        f"unique_class_count{suffix}": F.size(F.array_distinct(col(values)))}).drop("_counts", "_top", "_winners")
 
 
 def model_consensus(df: DataFrame, classes: list[int], n: int, values: str = "values") -> DataFrame:
     """Class frequencies, mode with ties kept, agreement flags (0/1) and the agreement group."""
-    out = df.withColumns(consensus_metrics(values, n))
+    out = with_consensus(df, values, n)
     top, unique = F.col("modal_count"), F.col("modal_class").isNotNull()
     freq = [sum([(x == c).cast("int") for x in _items(values, n)], F.lit(0)) for c in classes]
     group = (F.when(top == n, AGREEMENT_GROUPS[0]).when(top == n - 1, AGREEMENT_GROUPS[1])

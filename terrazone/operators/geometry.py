@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geocols as g
-from ..functions.scalars import any_of, col, join_null_safe, ratio
+from ..functions.scalars import col, computed_once, join_null_safe, ratio
 
 EDGE = ["x1", "y1", "x2", "y2"]
 TINY = 1e-14
@@ -148,17 +148,17 @@ def cell_weights(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, *, geogra
     """
     zone, ring = list(zone), list(ring)
     project = px, py = EQUAL_AREA if geographic else PLANAR
-    e = ring_edges(vertices, [*zone, *ring], x=x, y=y)
+    raw = ring_edges(vertices, [*zone, *ring], x=x, y=y)
+    turn = raw.groupBy(*zone, *ring).agg(F.signum(F.sum((F.col("x2") - F.col("x1")) * (F.col("y1") + F.col("y2")))).alias("_turn"))
+    # Positive for outer rings and negative for holes, whatever the winding of the input.
+    turn = turn.withColumn("_role", F.when(F.col(ring[-1]) == 0, -1.0).otherwise(1.0) * F.col("_turn")).drop("_turn")
+    e = join_null_safe(raw, turn, [*zone, *ring])
     if densify:
         e = geo_densify(e, densify)
     e = e.withColumns({"_px1": px(F.col("x1")), "_py1": py(F.col("y1")), "_px2": px(F.col("x2")), "_py2": py(F.col("y2"))})
-    signed = F.sum(F.col("_px1") * F.col("_py2") - F.col("_px2") * F.col("_py1")) / 2
-    rings = e.groupBy(*zone, *ring).agg(signed.alias("_signed"), F.min("y1").alias("_low"))
-    rings = rings.withColumn("_role", F.when(F.col(ring[-1]) == 0, 1.0).otherwise(-1.0) * F.signum("_signed"))
-    zones = rings.groupBy(*zone).agg(F.sum(F.col("_role") * F.col("_signed")).alias("zone_area"), F.min("_low").alias("_low"))
-    # Shoelace terms of large coordinates are formed per edge; the zone total only scales the threshold.
-    parts = join_null_safe(_strips(e, zone, x0, dx, project), rings.select(*zone, *ring, "_role"), [*zone, *ring])
-    parts = join_null_safe(parts, zones, zone)
+    swept = F.col("_role") * (F.col("_px1") - F.col("_px2")) * (F.col("_py1") + F.col("_py2")) / 2
+    zones = e.groupBy(*zone).agg(F.sum(swept).alias("zone_area"), F.min("y1").alias("_low"))
+    parts = _strips(join_null_safe(e, zones, zone), zone, x0, dx, project)
     row_of = lambda v: F.floor((col(y0) - v) / col(dy))
     # The top row is taken from the unprojected edge, which bounds every piece of it.
     top = row_of(F.greatest("y1", "y2"))
@@ -166,8 +166,10 @@ def cell_weights(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, *, geogra
     cells = parts.withColumn("row", F.explode(F.sequence(top, F.greatest(top, bottom))))
     upper, lower = py(col(y0) - F.col("row") * col(dy)), py(col(y0) - (F.col("row") + 1) * col(dy))
     sign = F.signum(F.col("_px1") - F.col("_px2")) * F.col("_role")
-    piece = sign * g.clamped_integral(F.col("_xb") - F.col("_xa"), F.col("_ya"), F.col("_yb"), lower, upper)
-    out = cells.groupBy(*zone, "row", "column").agg(F.sum(piece).alias("weight"), F.max("zone_area").alias("zone_area"))
+    piece = sign * g.clamped_integral(F.col("_xb") - F.col("_xa"), F.col("_ya"), F.col("_yb"), F.col("_lower"), F.col("_upper"))
+    # The pieces are already partitioned by (zone, column), which also serves this aggregate.
+    out = (computed_once(computed_once(cells, "_upper", upper), "_lower", lower)
+           .groupBy(*zone, "row", "column").agg(F.sum(piece).alias("weight"), F.max("zone_area").alias("zone_area")))
     cell_area = ((px(col(x0) + (F.col("column") + 1) * col(dx)) - px(col(x0) + F.col("column") * col(dx)))
                  * (py(col(y0) - F.col("row") * col(dy)) - py(col(y0) - (F.col("row") + 1) * col(dy))))
     return out.where(F.col("weight") > F.greatest(F.col("zone_area"), F.abs(cell_area)) * TINY)

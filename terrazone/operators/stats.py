@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.scalars import any_of, col, finite, is_finite, join_null_safe, ratio
+from ..functions.scalars import any_of, col, computed_once, finite, is_finite, join_null_safe, ratio
 from ..functions.small import local_if_small
 
 PROBABILITIES = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
@@ -73,11 +73,6 @@ def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dic
                       F.col("_hi").alias("max"), F.col("_mean").alias("mean"), F.col("_m2").alias("m2"), *names)
 
 
-def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that later filters and projections cannot inline and evaluate again."""
-    return df.withColumn(name, F.explode(F.array(value)))
-
-
 def _ordered_by_window(rows, keys, targets):
     """One shuffle by key: totals and running weights are windows over the same partitioning."""
     group = Window.partitionBy(*keys)
@@ -118,12 +113,12 @@ def _ordered_by_bins(base, total, keys, targets, group_limit, local, key_limit):
         *[first_reached(reach, F.lit(True), item).alias(f"_t_{name}") for name, reach in targets.items()]))
 
     def narrowed(with_plan):
-        d = _computed_once(join_null_safe(base, with_plan, keys), "_b", outer(F.col("_n"), F.col("_lo"), F.col("_hi")))
+        d = computed_once(join_null_safe(base, with_plan, keys), "_b", outer(F.col("_n"), F.col("_lo"), F.col("_hi")))
         match = reduce(lambda a, b: F.coalesce(a, b), [F.when(F.col("_b") == F.col(f"_t_{n}._b"), F.col(f"_t_{n}")) for n in targets])
         d = d.where(any_of([F.col("_b") == F.col(f"_t_{n}._b") for n in targets]))
-        d = _computed_once(d, "_t", match)
+        d = computed_once(d, "_t", match)
         inner = F.when(F.col("_t._nb") <= group_limit, F.lit(0)).otherwise(_bin(F.col("_x"), F.col("_t._blo"), F.col("_t._bhi")))
-        return _computed_once(d, "_s", inner)
+        return computed_once(d, "_s", inner)
 
     # Pass 2: linear bins inside every hit bin.
     sub = (narrowed(plan).groupBy(*keys, "_b", "_s")

@@ -168,3 +168,38 @@ def check_list(spark, d):
 def metadata_completeness(spark, d):
     p = table(spark, d, "part").select(F.col("p_partkey").alias("layer_id"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("brand"), F.when(F.col("p_size") % 3 == 0, F.col("p_size")).alias("depth"))
     return au.metadata_completeness(p, "layer_id", ["brand", "depth"])
+
+
+# Product groups: one per (nation, group of units); areas and counts come from the units, and every tenth group is tampered with.
+PROD = f"""{MEMBERS}, g AS (SELECT unit_id % 60 gid, sum(area) area, count(*) n FROM (SELECT DISTINCT unit_id, area FROM u) GROUP BY 1),
+ h AS (SELECT gid, area, n, CASE WHEN gid % 10 = 1 THEN 4 ELSE 5 END mc, CASE WHEN gid % 10 = 2 THEN 'median > 0' END rule, CASE WHEN gid % 10 = 3 THEN area + 5 ELSE area END common, CASE WHEN gid % 10 = 4 THEN n + 1 ELSE n END units, gid % 10 = 5 ver, gid % 10 = 6 twice, gid % 10 = 7 dup, gid % 10 = 8 lacks FROM g)"""
+
+
+@query("product_violations", f"""{PROD} SELECT 'G' || gid group_id, r.o check_ord, r.reason FROM h, (VALUES (1, 'Duplicate support key'), (2, 'Expected models not verified'), (3, 'Positive criterion needs a documented adapter'), (7, 'Source verification incomplete'),
+   (8, 'Support record missing'), (9, 'Common-support sources conflict'), (10, 'Support area closure failed'), (11, 'Duplicate analytical unit'), (12, 'Unit count conflict'), (14, 'Common-support area closure failed')) r(o, reason)
+  WHERE (r.o = 1 AND twice) OR (r.o = 2 AND mc = 4) OR (r.o = 3 AND rule IS NOT NULL) OR (r.o = 7 AND ver) OR (r.o = 8 AND lacks) OR (r.o = 9 AND (common <> area OR units <> n) AND NOT lacks) OR (r.o = 10 AND common <> area) OR (r.o = 11 AND dup) OR (r.o = 12 AND (units <> n OR dup)) OR (r.o = 14 AND common <> area)""")
+def product_violations(spark, d):
+    u = five_units(spark, d).withColumn("gid", F.col("unit_id") % 60)
+    k = F.col("gid") % 10
+    name = lambda c: F.concat(F.lit("G"), c.cast("string"))
+    base = u.groupBy("gid").agg(F.sum("area").alias("area"), F.count("*").alias("n"))
+    zone = 1000000.0
+    group = base.select(name(F.col("gid")).alias("group_id"), "gid", F.lit("YLD").alias("map_code"), F.when(k == 1, 4).otherwise(5).alias("model_count"), F.array(*[F.lit(m) for m in MODELS]).alias("model_set"),
+                        F.array(*[F.concat_ws("/", name(F.col("gid")), F.lit(m)) for m in MODELS]).alias("layer_ids"), F.when(k == 2, "median > 0").alias("positive_rule"),
+                        F.when(k == 3, F.col("area") + 5).otherwise(F.col("area")).alias("common_valid_area"), F.lit(0.0).alias("masked_area"), (zone - F.col("area") + F.when(k == 3, 200.0).otherwise(0.0)).alias("outside_area"),
+                        F.when(k == 4, F.col("n") + 1).otherwise(F.col("n")).alias("unit_count"))
+    true = base.where(k != 8).select(name(F.col("gid")).alias("group_id"), "gid", F.col("area").alias("common_valid_area"), F.lit(0.0).alias("masked_area"), (zone - F.col("area")).alias("outside_area"), F.col("n").alias("unit_count"))
+    support = true.unionByName(true.where(k == 6))
+    layers = group.select("gid", "map_code", F.posexplode("layer_ids").alias("pos", "layer_id")).select(
+        "layer_id", F.element_at(F.array(*[F.lit(m) for m in MODELS]), F.col("pos") + 1).alias("climate_model_code"), "map_code",
+        F.when((k == 5) & (F.col("pos") == 2), "FAILED").otherwise("VERIFIED_INSIDE_AOI").alias("verification_status"))
+    mapped = u.select(name(F.col("gid")).alias("group_id"), "gid", F.col("unit_id").cast("string").alias("unit_id"), F.when(k == 3, F.col("area") - 200.0).otherwise(F.col("area")).alias("area"), cs.value_map("values", MODELS).alias("model_values"))
+    units = mapped.unionByName(mapped.where(k == 7))
+    return au.product_violations(group, support, units, layers, MODELS, zone)
+
+
+@query("finite_assert", """SELECT event_id, 'score' field FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT event_id, 'flag' FROM events""")
+def finite_assert(spark, d):
+    k = F.col("event_id") % 3
+    e = table(spark, d, "events").select("event_id", "value", F.when(k == 0, F.col("value")).when(k == 1, F.lit(float("nan"))).alias("score"), (k == 0).alias("flag"))
+    return au.finite_assert(e, ["event_id"], ["value", "score", "flag"])
