@@ -248,7 +248,10 @@ def _edge_tiles(edges: DataFrame, tile: float, grow: float = 0.0) -> DataFrame:
 def _edge_pairs(features: DataFrame, zones: DataFrame, feature: list[str], zone: list[str], tile: float, grow: float = 0.0) -> DataFrame:
     f = _edge_tiles(features, tile, grow).select(*feature, "_tx", "_ty", *EDGE)
     z = _edge_tiles(zones, tile).select(*zone, "_tx", "_ty", *[F.col(c).alias(f"_{c}") for c in EDGE])
-    return f.join(z, ["_tx", "_ty"])
+    # The bounds test is cheap and comes first; the exact segment tests only see neighbours.
+    apart = lambda a, b: ((F.greatest(f"{a}1", f"{a}2") + (grow + 1e-9) < F.least(f"_{b}1", f"_{b}2"))
+                          | (F.least(f"{a}1", f"{a}2") - (grow + 1e-9) > F.greatest(f"_{b}1", f"_{b}2")))
+    return f.join(z, ["_tx", "_ty"]).where(~apart("x", "x") & ~apart("y", "y"))
 
 
 def feature_intersects(features: DataFrame, zones: DataFrame, feature: list[str], zone: list[str], tile: float,
@@ -359,8 +362,8 @@ def feature_clip(features: DataFrame, zone_edges: DataFrame, zone: list[str], ti
     one, zero = F.lit(1.0), F.lit(0.0)
     planes = [(one, zero, -F.col("xa")), (-one, zero, F.col("xb")), (-up_low, one, up_low * F.col("xa") - F.col("low_a")),
               (up_high, -one, F.col("high_a") - up_high * F.col("xa"))]
-    j = j.withColumn(ring, _clip_ring(F.col(ring), planes))
-    out = j.withColumn("piece_area", ring_area(F.col(ring))).where("piece_area > 0")
+    j = computed_once(j, "_clipped", _clip_ring(F.col(ring), planes)).withColumn(ring, F.col("_clipped"))
+    out = computed_once(j, "piece_area", ring_area(F.col(ring))).where("piece_area > 0")
     return out.select(*features.columns, *zone, "piece_area")
 
 

@@ -12,10 +12,10 @@ from .q_consensus import CLASSES, COUNTS, MEMBERS, MODELS, NUMERIC, members, uni
 from .registry import query, rnd, rounded, table
 
 
-@query("key_set_equal", """WITH a AS (SELECT l_orderkey k, count(*) n FROM lineitem WHERE l_linenumber = 1 GROUP BY 1), e AS (SELECT o_orderkey k FROM orders WHERE o_orderstatus <> 'P')
+@query("key_set_equal", """WITH a AS (SELECT l_orderkey k, count(*) n FROM lineitem GROUP BY 1), e AS (SELECT o_orderkey k FROM orders WHERE o_orderstatus <> 'P')
  SELECT e.k, 'MISSING' violation FROM e LEFT JOIN a USING (k) WHERE a.k IS NULL UNION ALL SELECT a.k, 'UNEXPECTED' FROM a LEFT JOIN e USING (k) WHERE e.k IS NULL UNION ALL SELECT k, 'DUPLICATE' FROM a WHERE n > 1""")
 def key_set_equal(spark, d):
-    a = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("k"))
+    a = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"))
     return au.key_set_equal(a, table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("k")), ["k"])
 
 
@@ -83,18 +83,18 @@ def reconcile_summaries(spark, d):
     return rounded(au.reconcile_summaries(stored, m, ["group_id", "unit_id"], STORED), ["stored", "recomputed"], 3)
 
 
-@query("contract_resolve", f"""{REC}, ord AS (SELECT unit_id % 40 gid, unit_id, layer_id, reason, CASE reason WHEN 'MISSING_SOURCE_CELL' THEN 1 WHEN 'DUPLICATE_SOURCE_CELL' THEN 2 WHEN 'SOURCE_CELL_INVALID' THEN 3 WHEN 'VALUE_CONFLICT' THEN 4 ELSE 5 END o FROM rs WHERE reason IS NOT NULL),
- f AS (SELECT gid, arg_min(reason, o) reason FROM ord WHERE unit_id % 3 = 0 GROUP BY 1), g AS (SELECT DISTINCT unit_id % 40 gid FROM u), h AS (SELECT g.gid, gid % 25 scen, f.reason FROM g LEFT JOIN f USING (gid)),
+@query("contract_resolve", f"""{REC}, ord AS (SELECT unit_id % 400 gid, unit_id, layer_id, reason, CASE reason WHEN 'MISSING_SOURCE_CELL' THEN 1 WHEN 'DUPLICATE_SOURCE_CELL' THEN 2 WHEN 'SOURCE_CELL_INVALID' THEN 3 WHEN 'VALUE_CONFLICT' THEN 4 ELSE 5 END o FROM rs WHERE reason IS NOT NULL),
+ f AS (SELECT gid, arg_min(reason, o) reason FROM ord GROUP BY 1), g AS (SELECT DISTINCT unit_id % 400 gid FROM u), h AS (SELECT g.gid, gid % 250 scen, f.reason FROM g LEFT JOIN f USING (gid)),
  c AS (SELECT scen FROM h WHERE reason IS NULL GROUP BY 1 HAVING count(*) > 1), z AS (SELECT h.gid, h.scen, coalesce(h.reason, CASE WHEN c.scen IS NOT NULL THEN 'Duplicate scenario/product' END) reason FROM h LEFT JOIN c USING (scen))
  SELECT 'G' || gid group_id, 'S' || scen scenario, 'yield' product, CASE WHEN reason IS NULL THEN 'RESOLVED' WHEN lower(reason) LIKE '%conflict%' OR reason LIKE '%Duplicate%' THEN 'SOURCE_CONFLICT' ELSE 'MISSING_REQUIRED_METRIC' END status, reason FROM z""")
 def contract_resolve(spark, d):
-    gid = F.concat(F.lit("G"), (F.col("unit_id") % 40).cast("string"))
+    gid = F.concat(F.lit("G"), (F.col("unit_id") % 400).cast("string"))
     units = tampered_units(spark, d)
     found = au.reconcile_units(units, source_cells(spark, d), 0.1)
     order = {"MISSING_SOURCE_CELL": 1, "DUPLICATE_SOURCE_CELL": 2, "SOURCE_CELL_INVALID": 3, "VALUE_CONFLICT": 4}
     rank = F.coalesce(*[F.when(F.col("reason") == k, F.lit(v)) for k, v in order.items()], F.lit(5))
-    v = found.where("unit_id % 3 = 0").select(gid.alias("group_id"), rank.alias("check_ord"), "reason")
-    g = units.select(gid.alias("group_id"), F.concat(F.lit("S"), (F.col("unit_id") % 40 % 25).cast("string")).alias("scenario"), F.lit("yield").alias("product")).distinct()
+    v = found.select(gid.alias("group_id"), rank.alias("check_ord"), "reason")
+    g = units.select(gid.alias("group_id"), F.concat(F.lit("S"), (F.col("unit_id") % 400 % 250).cast("string")).alias("scenario"), F.lit("yield").alias("product")).distinct()
     return au.contract_resolve(g, v, ["scenario"], "product")
 
 

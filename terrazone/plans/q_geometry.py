@@ -184,7 +184,7 @@ def feature_intersects(spark, d):
 
 @query("features_near", f"{FZ} SELECT feature_id, zone_id FROM f JOIN z ON pow(greatest(0, z.x0 - f.x1, f.x0 - z.x1), 2) + pow(greatest(0, z.y0 - f.y1, f.y0 - z.y1), 2) <= .9 * .9")
 def features_near(spark, d):
-    return geo.features_near(part_edges(spark, d), zone_edges(spark, d), ["feature_id"], ["zone_id"], 4.0, 0.9)
+    return geo.features_near(part_edges(spark, d), zone_edges(spark, d), ["feature_id"], ["zone_id"], 2.0, 0.9)
 
 
 def part_features(spark, d):
@@ -221,13 +221,13 @@ def modal_composite(spark, d):
     return geo.modal_composite(e, ["cell_id"], "label", ["p_a", "p_b"])
 
 
-@query("bilinear_resample", """WITH s AS (SELECT l_returnflag layer_id, l_orderkey % 100 "row", l_partkey % 80 "column", max(l_extendedprice) v FROM lineitem WHERE l_discount > .02 GROUP BY 1, 2, 3),
+@query("bilinear_resample", """WITH s AS (SELECT l_returnflag layer_id, l_orderkey % 100 "row", l_partkey % 80 "column", sqrt(max(l_extendedprice)) v FROM lineitem WHERE l_discount > .02 GROUP BY 1, 2, 3),
  t AS (SELECT f.layer_id, c_custkey target_id, (c_acctbal + 1000) / 140 - .5 u, (1000 - c_custkey % 1000) / 10.0::DOUBLE - .5 vv FROM customer, (SELECT DISTINCT l_returnflag layer_id FROM lineitem) f),
  n AS (SELECT layer_id, target_id, floor(vv)::BIGINT + dr "row", floor(u)::BIGINT + dc "column", (CASE dr WHEN 1 THEN vv - floor(vv) ELSE 1 - (vv - floor(vv)) END) * (CASE dc WHEN 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) w FROM t, range(2) a(dr), range(2) b(dc))
  SELECT n.layer_id, n.target_id, round(sum(w * v) FILTER (WHERE v IS NOT NULL AND w > 0) / nullif(sum(w) FILTER (WHERE v IS NOT NULL AND w > 0), 0), 3) "value", count(*) FILTER (WHERE v IS NOT NULL AND w > 0) neighbour_count
  FROM n LEFT JOIN s ON s.layer_id = n.layer_id AND s."row" = n."row" AND s."column" = n."column" GROUP BY ALL""")
 def bilinear_resample(spark, d):
-    s = table(spark, d, "lineitem").where("l_discount > 0.02").groupBy(F.col("l_returnflag").alias("layer_id"), (F.col("l_orderkey") % 100).alias("row"), (F.col("l_partkey") % 80).alias("column")).agg(F.max("l_extendedprice").alias("value"))
+    s = table(spark, d, "lineitem").where("l_discount > 0.02").groupBy(F.col("l_returnflag").alias("layer_id"), (F.col("l_orderkey") % 100).alias("row"), (F.col("l_partkey") % 80).alias("column")).agg(F.sqrt(F.max("l_extendedprice")).alias("value"))
     t = table(spark, d, "customer").select(F.col("c_custkey").alias("target_id"), "c_acctbal", (F.col("c_custkey") % 1000).alias("y"),
                                            F.explode(F.array(*[F.lit(x) for x in "ANR"])).alias("layer_id"))
     return rounded(geo.bilinear_resample(s, t, ["layer_id"], ["target_id"], "c_acctbal", "y", -1000.0, 1000.0, 140.0, 10.0), ["value"], 3)

@@ -131,27 +131,27 @@ def bbox_union_extent(spark, d):
     return ru.bbox_union_extent(b, ["source_id"], ["x0", "y0", "x1", "y1"], "s", "e")
 
 
-@query("validate_sample", """WITH s AS (SELECT o_custkey source_id, CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE 90000.0 END ELSE o_totalprice END v FROM orders WHERE o_orderstatus = 'F')
- SELECT source_id, count(v) valid_count, CASE WHEN count(v) = 0 THEN 'NO_VALID_DATA' WHEN bool_and(v < 100000 OR v > 400000) THEN 'INVALID_RANGE' ELSE 'VALID_DATA' END valid_data_status FROM s GROUP BY 1""")
+@query("validate_sample", """WITH s AS (SELECT o_custkey source_id, o_orderstatus layer, CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE 90000.0 END ELSE o_totalprice END v FROM orders)
+ SELECT source_id, layer, count(v) valid_count, CASE WHEN count(v) = 0 THEN 'NO_VALID_DATA' WHEN bool_and(v < 100000 OR v > 400000) THEN 'INVALID_RANGE' ELSE 'VALID_DATA' END valid_data_status FROM s GROUP BY 1, 2""")
 def validate_sample(spark, d):
     p = F.col("o_orderpriority")
-    s = table(spark, d, "orders").where("o_orderstatus = 'F'").select(
-        F.col("o_custkey").alias("source_id"), F.when(p == "1-URGENT", "metadata").when(p == "2-HIGH", F.when(F.col("o_custkey") % 2 == 0, "-999").otherwise("90000.0")).otherwise(F.col("o_totalprice").cast("string")).alias("value"), F.lit("-999").alias("nodata"))
-    return ru.validate_sample(s, ["source_id"], "value", "nodata", 100000.0, 400000.0)
+    value = F.when(p == "1-URGENT", "metadata").when(p == "2-HIGH", F.when(F.col("o_custkey") % 2 == 0, "-999").otherwise("90000.0")).otherwise(F.col("o_totalprice").cast("string"))
+    s = table(spark, d, "orders").select(F.col("o_custkey").alias("source_id"), F.col("o_orderstatus").alias("layer"), value.alias("value"), F.lit("-999").alias("nodata"))
+    return ru.validate_sample(s, ["source_id", "layer"], "value", "nodata", 100000.0, 400000.0)
 
 
-@query("decision_override", f"""{INV}, u AS (SELECT dataset_id, num, CASE WHEN num % 4 < 2 THEN 'VERIFIED_INSIDE_AOI' ELSE 'METADATA_ONLY' END s, CASE WHEN num % 3 = 0 THEN 'USE_NEXT' ELSE 'SELECT_LAYER' END a, num % 8 = 0 ok, notes e FROM inv WHERE num % 5 = 0),
- g AS (SELECT dataset_id, e || ' | NONE' e, CASE WHEN num = 100 THEN true ELSE ok END ok, CASE WHEN num = 100 THEN 'VERIFIED_INSIDE_AOI' ELSE s END s, CASE WHEN num = 100 THEN 'USE_NEXT' ELSE a END a FROM u),
+@query("decision_override", f"""{INV}, u AS (SELECT dataset_id, num, CASE WHEN num % 4 < 2 THEN 'VERIFIED_INSIDE_AOI' ELSE 'METADATA_ONLY' END s, CASE WHEN num % 3 = 0 THEN 'USE_NEXT' ELSE 'SELECT_LAYER' END a, num % 8 = 0 ok, notes e FROM inv WHERE source_group = 'OWN'),
+ g AS (SELECT dataset_id, e || ' | NONE' e, CASE WHEN num = 120 THEN true ELSE ok END ok, CASE WHEN num = 120 THEN 'VERIFIED_INSIDE_AOI' ELSE s END s, CASE WHEN num = 120 THEN 'USE_NEXT' ELSE a END a FROM u),
  h AS (SELECT dataset_id, e, CASE WHEN s = 'VERIFIED_INSIDE_AOI' AND NOT ok THEN 'LAYER_OR_SAMPLE_SELECTION_REQUIRED' ELSE s END s, CASE WHEN (s = 'VERIFIED_INSIDE_AOI' AND NOT ok) OR (a = 'USE_NEXT' AND NOT ok) THEN 'RUN_AOI_DATA_SAMPLE' ELSE a END a FROM g),
  f AS (SELECT fin.dataset_id, coalesce(h.s, 'NOT_APPLICABLE') override_status, coalesce(h.s, sa[1]) final_status, coalesce(h.a, sa[2]) final_action, coalesce(h.e, evidence) final_evidence FROM fin LEFT JOIN h USING (dataset_id))
  SELECT *, CASE WHEN final_action IN ('USE_NEXT', 'USE_LATER') AND final_status <> 'VERIFIED_INSIDE_AOI' THEN 'UNVERIFIED_MARKED_READY' ELSE 'OK' END gate_status FROM f""")
 def decision_override(spark, d):
     base = ru.strict_status(prioritised(spark, d))
     k = F.col("num")
-    u = inventory(spark, d).where(k % 5 == 0).select(
+    u = inventory(spark, d).where("source_group = 'OWN'").select(
         "dataset_id", F.when(k % 4 < 2, ru.VERIFIED).otherwise("METADATA_ONLY").alias("status"), F.when(k % 3 == 0, "USE_NEXT").otherwise("SELECT_LAYER").alias("action"),
         (k % 8 == 0).alias("confirmed"), F.col("notes").alias("evidence"), F.lit("NONE").alias("failure_reason"))
-    out = ru.decision_override(base, u, group_id="FUTURE_100", group_confirmed=F.lit(True))
+    out = ru.decision_override(base, u, group_id="FUTURE_120", group_confirmed=F.lit(True))
     return out.select("dataset_id", "override_status", "final_status", "final_action", "final_evidence", "gate_status")
 
 

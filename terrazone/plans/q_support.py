@@ -94,9 +94,9 @@ def overlapping_rects(spark, d):
  n AS (SELECT group_id, x, y, count(*) k FROM f GROUP BY ALL), o AS (SELECT group_id, count(*) * .25 union_area, sum(k - 1) * .25 overlap_area FROM n GROUP BY 1),
  t AS (SELECT group_id, count(*) unit_count, sum(w * h) * .25 unit_area, sum(w * h - (CASE WHEN x < 280 THEN least(w, 280 - x) ELSE 0 END) * h) * .25 outside_area FROM r GROUP BY 1)
  SELECT group_id, unit_count, unit_area::DOUBLE unit_area, outside_area::DOUBLE outside_area, union_area::DOUBLE union_area, overlap_area::DOUBLE overlap_area,
-  CASE WHEN overlap_area > 1.4 THEN 'OVERLAPPING_UNITS' WHEN outside_area > 1.4 THEN 'OUTSIDE_ZONE' ELSE 'OK' END status FROM t JOIN o USING (group_id)""")
+  CASE WHEN overlap_area > 1.414 THEN 'OVERLAPPING_UNITS' WHEN outside_area > 1.414 THEN 'OUTSIDE_ZONE' ELSE 'OK' END status FROM t JOIN o USING (group_id)""")
 def unit_overlap_check(spark, d):
-    return sp.unit_overlap_check(overlapping_rects(spark, d), ["group_id"], tile=4.0, zone_box=(0.0, 0.0, 140.0, 100.5))
+    return sp.unit_overlap_check(overlapping_rects(spark, d), ["group_id"], tile=4.0, zone_box=(0.0, 0.0, 140.0, 101.0))
 
 
 @query("missing_members", """WITH a AS (SELECT o_custkey group_id, o_orderpriority model, max(o_totalprice) > 250000 ok FROM orders GROUP BY 1, 2),
