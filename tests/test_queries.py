@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from terrazone import plans
 
 FOLDER = os.environ.get("QUERY_TEST_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -29,13 +30,13 @@ def near(a, b):
     return math.isclose(a, b, rel_tol=1e-6, abs_tol=2e-4) if isinstance(a, float) and isinstance(b, float) else a == b
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(plans.QUERIES))
 def test_query(spark, duck, name):
-    df = driver.queries()[name](spark, FOLDER)
+    df = plans.QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     assert len(set(columns)) == len(columns)
     got = [tuple(r[c] for c in columns) for r in df.collect()]
-    sql = driver.oracle_sql().get(name)
+    sql = plans.ORACLE_SQL.get(name)
     if sql is None:
         assert name == "file_manifest" and len(got) == len(TABLES)
         return
