@@ -54,3 +54,13 @@ def uniform_key(*parts) -> Column:
 def key_slice(key: Column, slices: int) -> Column:
     """The range 0..slices-1 of the key space that holds a uniform key; its order is the order of the keys."""
     return F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(slices) / F.lit(2.0**32)).cast("int")
+
+
+def bounded_sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """At most ``rows`` distinct rows, those of the smallest hash of the ``by`` columns; deterministic, and repeated rows count once.
+
+    The hash at the limit is found among distinct hashes (8 bytes a row are shuffled); the rows themselves are only filtered.
+    """
+    h = F.xxhash64(*by)
+    last = df.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    return df.withColumn("__h", h).where(F.col("__h") <= F.lit(last)).dropDuplicates(["__h"]).drop("__h")

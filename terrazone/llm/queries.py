@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import mixing, sharding, token_count, warc
+from . import mixing, personal_data, quality, sampled_pieces, sharding, token_count, warc
 from .common import let_workers_import, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,31 @@ def op6_warc_revisits(spark, d):
 def op7_source_mix(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_quality_ratio")
+def op5_quality_ratio(spark, d):
+    """No SQL: the buckets are xxHash values, which SQL engines do not share."""
+    trusted = table(spark, d, "labels").where(F.col("quality") == 1)
+    return quality.judge(table(spark, d, "documents").select("doc_id", "text"), trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_score")
+
+
+@query("op8_personal_data")
+def op8_personal_data(spark, d):
+    """No SQL: boosted trees select the added spans."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = personal_data.find_spans(docs, personal_data.fit(docs))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+@query("op10_sampled_pieces")
+def op10_sampled_pieces(spark, d):
+    """No SQL: a segmentation is drawn from a lattice."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    back = sampled_pieces.decode(sampled_pieces.encode(docs))
+    return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
