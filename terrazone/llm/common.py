@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -64,3 +65,37 @@ def bounded_sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
     h = F.xxhash64(*by)
     last = df.select(h.alias("h")).distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     return df.withColumn("__h", h).where(F.col("__h") <= F.lit(last)).dropDuplicates(["__h"]).drop("__h")
+
+
+class KeyIndex:
+    """Positions of 64-bit keys (none below 0) by open addressing, for looking up whole arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys, self.at = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int64)
+        left, slot, mask = np.arange(len(keys)), self.slot(keys), (1 << self.bits) - 1
+        while len(left):
+            free = self.keys[slot] == -1
+            won = np.unique(slot[free], return_index=True)[1]  # of the keys that want a free slot the first gets it
+            won = np.flatnonzero(free)[won]
+            self.keys[slot[won]], self.at[slot[won]] = keys[left[won]], left[won]
+            rest = np.ones(len(left), bool)
+            rest[won] = False
+            left, slot = left[rest], (slot[rest] + 1) & mask
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The position of each key, or -1."""
+        slot = self.slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.at[slot], -1)
+        left = np.flatnonzero((there != keys) & (there != -1))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.keys) - 1)
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.at[slot[left[hit]]]
+            left = left[~hit & (there != -1)]
+        return out

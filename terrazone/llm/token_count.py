@@ -18,7 +18,7 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import model_bytes
+from .common import KeyIndex, model_bytes
 
 NONE = np.int64(2**40)
 PRE_TOKEN = re.compile(r" *[^ ]+| +")
@@ -48,7 +48,8 @@ class PairRanks:
         number = {s: i for i, s in enumerate(symbols) if s}
         rank = {v: i for i, v in enumerate(sorted(set(score.values()), reverse=True))}
         pairs = sorted((number[p[:k]] << 32 | number[p[k:]], rank[score[p]], number[p]) for p in score for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
-        self.keys, self.ranks, self.joined = (np.array(x, np.int64) for x in zip(*pairs))
+        keys, self.ranks, self.joined = (np.array(x, np.int64) for x in zip(*pairs))
+        self.index = KeyIndex(keys)
         singles = sorted((ord(s), i) for s, i in number.items() if len(s) == 1)
         self.points, self.point_symbol = (np.array(x, np.int64) for x in zip(*singles))
         self.inside = {p[i:i + 2] for p in score for i in range(len(p) - 1)}
@@ -61,10 +62,8 @@ class PairRanks:
         return np.where(self.points[at] == points, self.point_symbol[at], unknown)
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        there = self.keys[at] == key
-        return np.where(there, self.ranks[at], NONE), np.where(there, self.joined[at], -1)
+        at = self.index.find(left << 32 | right)
+        return np.where(at >= 0, self.ranks[at], NONE), np.where(at >= 0, self.joined[at], -1)
 
     def pairs_at(self, sym: np.ndarray, seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of the pair that begins at each position; none at the end of a sequence."""
