@@ -18,10 +18,10 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import model_bytes
+from .common import KeyIndex, model_bytes
 from .token_count import PRE_TOKEN, chunks
 
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Weight of the piece of rank r is (r + SHIFT) ** -POWER: the scores of a BPE model are ranks, not probabilities.
 SHIFT, POWER = 2.7, 1.0
 BYTES = -2
@@ -72,7 +72,8 @@ class Lattice:
             self.piece[at], self.weight[at] = i, -power * np.log(rank[i] + SHIFT) - total
         self.piece, self.weight = np.array(self.piece), np.array(self.weight)
         keys = sorted((a << 21 | c, to) for (a, c), to in steps.items())
-        self.keys, self.to = (np.array(x, np.int64) for x in zip(*keys))
+        keys, self.to = (np.array(x, np.int64) for x in zip(*keys))
+        self.index = KeyIndex(keys)
 
     def edges(self, points: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
         """(start, end, piece, weight) of all pieces in the words; ``left`` counts the characters from each position to its word's end.
@@ -82,9 +83,8 @@ class Lattice:
         found, at, state, length = [], np.arange(len(points)), np.zeros(len(points), np.int64), 0
         alone = np.zeros(len(points), bool)
         while len(at):
-            key = state << 21 | points[at + length]
-            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            there = self.keys[i] == key
+            i = self.index.find(state << 21 | points[at + length])
+            there = i >= 0
             at, state, length = at[there], self.to[i[there]], length + 1
             ends = self.piece[state] >= 0
             found.append((at[ends], at[ends] + length, self.piece[state[ends]], self.weight[state[ends]]))
@@ -98,7 +98,7 @@ class Lattice:
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def filtered(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """Forward filtering of all words: first node of each word, and for each node its edges as (cumulated probability, start node, piece)."""
+        """Forward filtering of all words: first node of each word, first edge of each node, and of the edges (running share, start node, piece)."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         first_char = np.cumsum(lengths) - lengths
@@ -106,28 +106,31 @@ class Lattice:
         offset = np.arange(len(points)) - first_char[word]
         start, end, piece, weight = self.edges(points, lengths[word] - offset)
         # word w has one node more than characters: node = character position + w
-        depth, start, end = offset[end - 1] + 1, start + word[start], end + word[start]
-        order = np.lexsort((end, depth))
+        depth, length, start, end = offset[end - 1] + 1, end - start, start + word[start], end + word[start]
+        order = np.argsort(depth << 36 | end << 8 | length)  # edges of a node side by side, short ones first; nodes by their distance from the word's start
         depth, start, end, piece, weight = (x[order] for x in (depth, start, end, piece, weight))
-        total = np.zeros(len(points) + len(words))
-        share = np.empty(len(start))
-        levels = np.r_[np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]]), len(depth)] if len(depth) else []
-        for a, b in zip(levels, levels[1:]):
-            ways, into = total[start[a:b]] + weight[a:b], end[a:b]
-            begins = np.flatnonzero(np.r_[True, into[1:] != into[:-1]])
-            sums = np.logaddexp.reduceat(ways, begins)
-            total[into[begins]] = sums
-            share[a:b] = np.exp(ways - np.repeat(sums, np.diff(np.r_[begins, b - a])))
-        order = np.argsort(end, kind="stable")
-        start, end, piece, share = (x[order] for x in (start, end, piece, share))
-        # cumulated shares plus the node's number: one sorted array in which a draw at a node is one binary search
-        run = np.cumsum(share)
+        total, share = np.zeros(len(points) + len(words)), np.empty(len(start))
         begins = np.flatnonzero(np.r_[True, end[1:] != end[:-1]]) if len(end) else np.zeros(0, np.int64)
         sizes = np.diff(np.r_[begins, len(end)])
-        upper = end + np.minimum(run - np.repeat(run[begins] - share[begins], sizes), 1.0)
-        if len(end):
-            upper[begins + sizes - 1] = end[begins] + 1.0
-        return first_char + np.arange(len(words)), upper, start, piece
+        levels = np.flatnonzero(np.r_[True, np.diff(depth[begins]) != 0, True]) if len(end) else []
+        for i, j in zip(levels, levels[1:]):
+            a, b = begins[i], begins[j - 1] + sizes[j - 1]
+            ways, at, n = total[start[a:b]] + weight[a:b], begins[i:j] - a, sizes[i:j]
+            top = np.maximum.reduceat(ways, at)
+            ways = np.exp(ways - np.repeat(top, n))
+            sums = np.add.reduceat(ways, at)
+            total[end[begins[i:j]]] = top + np.log(sums)
+            share[a:b] = ways / np.repeat(sums, n)
+        # running shares, summed node by node so that they do not depend on the rest of the chunk
+        place = np.arange(len(end)) - np.repeat(begins, sizes)
+        for k in range(1, int(place.max(initial=0)) + 1):
+            at = np.flatnonzero(place == k)
+            share[at] += share[at - 1]
+        run = share
+        run[begins + sizes - 1] = 1.0
+        first_edge = np.zeros(len(total), np.int64)
+        first_edge[end[begins]] = begins
+        return first_char + np.arange(len(words)), first_edge, run, start, piece
 
     def sample(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         """The ids of one segmentation of each text."""
@@ -157,7 +160,7 @@ class Lattice:
 
     def walk(self, words: list[str], places: np.ndarray, held: list[tuple[int, int, str]], seeds: np.ndarray) -> list[np.ndarray]:
         """Backward sampling at all places of the words in the chunks together."""
-        first, upper, back, piece = self.filtered(words)
+        first, first_edge, run, back, piece = self.filtered(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))[places]
         ends = np.cumsum(lengths)
         sizes = np.array([len(c) for _, _, c in held])
@@ -169,7 +172,11 @@ class Lattice:
         chosen = np.full(total, -1, np.int64)
         root, node, at, seed = first[places], first[places] + lengths, ends.copy(), seeds[own]
         while len(node):
-            edge = np.searchsorted(upper, node + draws(seed, (at + shift)), side="right")
+            edge, drawn = first_edge[node], draws(seed, at + shift)
+            later = np.flatnonzero(drawn >= run[edge])
+            while len(later):
+                edge[later] += 1
+                later = later[drawn[later] >= run[edge[later]]]
             step = node - back[edge]
             at, node = at - step, back[edge]
             chosen[at] = piece[edge]
@@ -201,22 +208,38 @@ def seed_of(key: list[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *key)
 
 
-def encode(df: DataFrame, text: str = "text", key: list[str] = ("doc_id",), name: str = "pieces", seed: int = 0, power: float = POWER, path: str | None = None) -> DataFrame:
+def slices(texts: list[str]) -> Iterator[slice]:
+    """Stretches of a batch of about ``CHUNK`` characters."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= CHUNK or i + 1 == len(texts):
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+
+
+def encode(df: DataFrame, text: str = "text", key: list[str] = ("doc_id",), name: str = "pieces", lossless: str | None = None, seed: int = 0, power: float = POWER, path: str | None = None) -> DataFrame:
     """Add one sampled segmentation of each whole text as an array of piece ids.
 
+    With ``lossless`` the name of a column, each segmentation is decoded again where it was made, and the column tells whether that gave the text.
     ``power`` is the inverse temperature: large values come near the heaviest segmentation. Null and empty texts have no pieces; null keys are
-    keys like others; rows repeated with key and text repeat their pieces; an empty table stays empty; other columns pass through, a
-    column already called ``name`` is replaced. One pass without a shuffle.
+    keys like others; rows repeated with key and text repeat their pieces; an empty table stays empty; other columns pass through, columns
+    already called like the new ones are replaced. One pass without a shuffle.
     """
     model = df.sparkSession.sparkContext.broadcast(model_bytes(path))
 
-    @F.pandas_udf("array<int>")
-    def sampled(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<pieces:array<int>,lossless:boolean>")
+    def sampled(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         trie = lattice(model.value, power)
-        for texts, seeds in batches:
-            yield pd.Series(trie.sample(["" if t is None else t for t in texts], seeds.to_numpy(np.int64).view(np.uint64)), dtype=object)
-
-    return df.withColumn(name, sampled(F.col(text), seed_of(list(key), seed)))
+        for batch, seeds in batches:
+            texts, seeds = ["" if t is None else t for t in batch], seeds.to_numpy(np.int64).view(np.uint64)
+            for part in slices(texts):
+                ids = trie.sample(texts[part], seeds[part])
+                yield pd.DataFrame({"pieces": ids, "lossless": [not lossless or trie.decode(x) == t for x, t in zip(ids, texts[part])]})
+
+    out = df.withColumn("__sampled", sampled(F.col(text), seed_of(list(key), seed)))
+    out = out.withColumn(name, F.col("__sampled.pieces"))
+    return (out.withColumn(lossless, F.col("__sampled.lossless")) if lossless else out).drop("__sampled")
 
 
 def decode(df: DataFrame, pieces: str = "pieces", name: str = "decoded", path: str | None = None) -> DataFrame:
