@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import mixing, personal_data, quality, sampled_pieces, sharding, token_count, warc
+from . import mixing, near_vectors, ngram_join, personal_data, quality, sampled_pieces, sharding, token_count, toxicity, warc
 from .common import let_workers_import, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,5 +96,28 @@ def op8_personal_data(spark, d):
 def op10_sampled_pieces(spark, d):
     """No SQL: a segmentation is drawn from a lattice."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    back = sampled_pieces.decode(sampled_pieces.encode(docs))
-    return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    cut = sampled_pieces.encode(docs, lossless="lossless")
+    return cut.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "lossless")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, d):
+    """No SQL: nearest neighbours and trees; the tests measure held-out accuracy and compare the neighbours with brute force."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, table(spark, d, "labels").where(fold != 0))
+    held_out = F.coalesce(fold == 0, F.lit(False)).alias("held_out")
+    found = toxicity.score(docs, model).select("doc_id", held_out, F.col("toxicity.score").alias("score"), F.get("toxicity.evidence", F.lit(0))["key"].alias("nearest_doc_id"))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "nearest_doc_id")
+
+
+@query("op2_vector_duplicates")
+def op2_vector_duplicates(spark, d):
+    """No SQL: the codes draw rotations at random; the tests compare with all pairs."""
+    return near_vectors.link(table(spark, d, "embeddings"))
+
+
+@query("op4_ngram_join")
+def op4_ngram_join(spark, d):
+    """No SQL: all pairs of whole tables are too slow there; the tests compare with all pairs of a small one."""
+    return ngram_join.join(table(spark, d, "documents"), size=3, percent=90)
