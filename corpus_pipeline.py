@@ -1,8 +1,85 @@
-"""Placeholder until its stages exist."""
+"""From raw documents to training pieces, in five stages: quality rules, near-duplicates, personal data, source mixing, sampled pieces.
 
-STAGES = []
+Each stage is a function of (spark, docs, sf_dir). Its result is written as Parquet below the shared folder and read again as the next
+stage's documents, so a lost executor repeats a part of one stage. All stages but the last return the columns of ``docs``, those with
+other names included; columns that operators add on the way do not replace columns of the same name.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from terrazone.llm import mixing, ngram_join, personal_data, quality, sampled_pieces
+from terrazone.llm.common import let_workers_import, stash
+
+#: Near-duplicates share this percentage of their n-grams of so many words.
+WORDS, PERCENT = 5, 80
+
+
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns beside each whole row as one struct, which keeps its columns apart from those of an operator."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    return df.select(*[changed.get(c, F.col("document")[c]).alias(c) for c in docs.columns])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and reach the threshold of the log-likelihood ratio; those labelled good are the target.
+
+    Null and empty texts have too few words and go. Repeated rows stay or go together.
+    """
+    trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.col("quality") == 1)
+    return unpacked(quality.judge(packed(docs, "doc_id", "text"), trusted).where("kept"), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id; rows repeated under one id are one document.
+
+    Documents with an empty text are in no group. A row with a null id cannot be named in a group and stays.
+    """
+    groups = ngram_join.join(docs.select("doc_id", "text"), size=WORDS, percent=PERCENT)
+    removed = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(removed, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    repeated, _ = stash(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*[f"`{c}`" for c in docs.columns])
+
+
+def personal_data_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span of personal data is replaced by its kind; ``n_chars`` follows the new text. Null texts stay null."""
+    let_workers_import(spark)
+    clean = personal_data.redact(packed(docs, "doc_id", "text"), personal_data.fit(docs.select("doc_id", "text")))
+    changed = {"text": F.col("text")} | ({"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return unpacked(clean, docs, **changed)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each document as the mix takes of it, none included. Texts without words are not taken; null is a source."""
+    mixed = mixing.mix(packed(docs, "doc_id", "text", "source"))
+    copies = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return unpacked(copies, docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_pieces, pieces, lossless): a sampled segmentation of each document. Null and empty texts have no pieces."""
+    let_workers_import(spark)
+    cut = sampled_pieces.encode(docs.select("doc_id", "lang", "source", "text"), lossless="lossless")
+    return cut.select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
+
+
+STAGES = [("quality rules", quality_rules), ("n-gram join", near_duplicates), ("personal data", personal_data_redacted), ("source mix", source_mix), ("sampled pieces", pieces)]
+#: Hashes, trees and draws of the stages are not those of SQL engines; the tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over all documents."""
+    let_workers_import(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs, _ = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import remove, stash
+from .common import let_workers_import, remove, stash
 from .components import connected_components
 
 #: Probability of missing a pair exactly at the threshold; standard deviations of the confidence bound.
@@ -136,6 +136,7 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: s
     Cosines are computed in double precision from the vectors as they are; no pair below the threshold links.
     """
     spark = df.sparkSession
+    let_workers_import(spark)
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.withColumn("ok", F.col("id").isNotNull() & F.col("label").isNotNull() & valid(F.col("vector")))
     rows = rows.withColumns({"h1": F.when(F.col("ok"), F.xxhash64("label", "vector")),

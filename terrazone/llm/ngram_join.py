@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import remove, stash
+from .common import let_workers_import, remove, stash
 from .components import connected_components
 from .sampled_pieces import mixed
 
@@ -95,9 +95,9 @@ def token_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
         at = end
 
 
-def profiles(docs: DataFrame, size: int) -> DataFrame:
+def profiles(docs: DataFrame, size: int, leaders: int) -> DataFrame:
     """(doc, n, h1, h2, mins): size of each row's set, a 128-bit hash of it, and its minimum hashes."""
-    salts = mixed(np.arange(1, LEADERS + 1, dtype=np.uint64))
+    salts = mixed(np.arange(1, leaders + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -216,16 +216,17 @@ def links_between_groups(docs: DataFrame, sizes: DataFrame, groups: DataFrame, s
     return links
 
 
-def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, leaders: int = LEADERS) -> DataFrame:
     """(key, n_shingles, component_id) of each row: documents link when 100 times the common n-grams are ``percent`` times all n-grams of both or more.
 
     A row without words has an empty set and links with nothing. Fewer words than ``size`` are one n-gram. A row with a null key links with nothing and has no component.
     Repeated rows have their row each and share a component; different texts under one key are one document to the links. An empty table
-    stays empty. Other columns are dropped. Tokens are 64-bit hashes.
+    stays empty. Other columns are dropped. Tokens are 64-bit hashes. ``leaders`` changes the work and not the result.
     """
+    let_workers_import(df.sparkSession)
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    rows, _ = stash(profiles(docs, size), "profiles")
+    rows, _ = stash(profiles(docs, size, leaders), "profiles")
     named = rows.where("doc IS NOT NULL AND n > 0")
     first, first_path = stash(named.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep")), "sets")
     equal = named.join(first, ["h1", "h2", "n"]).where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
