@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, functions as F
 from . import boosting
 
 #: Hashed terms; the power of the inverse document frequency; the share of documents below which a term is left out.
-TERMS, POWER, RARE = 1 << 18, 1.5, 0.002
+TERMS, POWER, RARE = 1 << 18, 2.0, 0.002
 #: Labelled documents of each class in the index at most; of each class for calibration at most.
 EXAMPLES, CALIBRATION = 1000, (800, 4000)
 #: Neighbours of each class that are looked for; examples in a block.
-NEIGHBOURS, BLOCK = 100, 32
+NEIGHBOURS, BLOCK = 500, 32
 WORD = re.compile(r"\w+")
 
 
@@ -54,26 +54,33 @@ def document_frequencies(df: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
 
 class Index:
-    """Examples in blocks. ``best[b, t]`` is the largest weight of term t in block b; ``row[b, t]`` its row in the block's matrix, or -1."""
+    """An inverted index of examples of several classes, in blocks of similar examples of one class.
 
-    def __init__(self, examples: list[np.ndarray], weight: np.ndarray):
-        self.weight, self.size = weight, len(examples)
+    The postings of a term are the numbers and weights of the examples that have it. ``best[t, b]`` is the largest weight of term t in block b.
+    """
+
+    def __init__(self, classes: list[list[np.ndarray]], weight: np.ndarray):
+        self.weight = weight
         kept = np.flatnonzero(weight > 0)
         self.column = np.full(len(weight), -1)
         self.column[kept] = np.arange(len(kept))
-        vectors = [self.vector(e) for e in examples]
-        self.order = self.similar_first(vectors)
-        blocks = -(-len(examples) // BLOCK)
-        self.best, self.row, self.matrix = np.zeros((blocks, len(kept)), np.float32), np.full((blocks, len(kept)), -1, np.int32), []
-        for b in range(blocks):
-            own = [vectors[i] for i in self.order[b * BLOCK:(b + 1) * BLOCK]]
-            used = np.unique(np.concatenate([c for c, _ in own])) if own else np.zeros(0, np.int64)
-            self.row[b, used] = np.arange(len(used))
-            m = np.zeros((len(used), len(own)))
-            for j, (c, w) in enumerate(own):
-                m[self.row[b, c], j] = w
-            self.matrix.append(m)
-            self.best[b, used] = np.nextafter(m.max(1, initial=0).astype(np.float32), np.float32(2)) if len(used) else 0
+        self.order, self.blocks, vectors, at = [], [], [], 0
+        for examples in classes:
+            own = [self.vector(e) for e in examples]
+            order = similar_first(own)
+            self.order.append(order)
+            vectors += [(at + i, *own[k]) for i, k in enumerate(order)]
+            n = -(-len(own) // BLOCK)
+            self.blocks.append(slice(at // BLOCK, at // BLOCK + n))
+            at += n * BLOCK
+        self.size = at
+        terms_of = np.concatenate([c for _, c, _ in vectors]) if vectors else np.zeros(0, np.int64)
+        by_term = np.argsort(terms_of, kind="stable")
+        self.example = np.repeat([i for i, _, _ in vectors], [len(c) for _, c, _ in vectors]).astype(np.int64)[by_term]
+        self.value = (np.concatenate([w for _, _, w in vectors]) if vectors else np.zeros(0))[by_term]
+        self.start = np.searchsorted(terms_of[by_term], np.arange(len(kept) + 1))
+        self.best = np.zeros((len(kept), at // BLOCK))
+        np.maximum.at(self.best, (terms_of[by_term], self.example // BLOCK), self.value)
 
     def vector(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Columns and weights of a document, of unit length."""
@@ -81,41 +88,53 @@ class Index:
         w = self.weight[found]
         return self.column[found], w / (np.sqrt((w * w).sum()) or 1.0)
 
-    @staticmethod
-    def similar_first(vectors) -> np.ndarray:
-        """Examples ordered so that those sharing common terms stand together: by their commonest terms."""
-        df: dict[int, int] = {}
-        for c, _ in vectors:
-            for t in c.tolist():
-                df[t] = df.get(t, 0) + 1
-        key = [sorted(c.tolist(), key=lambda t: (-df[t], t))[:6] for c, _ in vectors]
-        return np.array(sorted(range(len(vectors)), key=lambda i: (key[i], i)), np.int64)
-
-    def nearest(self, columns: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest cosine, largest first; exact."""
-        if not len(columns) or not self.size:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = self.best[:, columns] @ w.astype(np.float32) + 1e-5
-        ids, cosines, least = np.zeros(0, np.int64), np.zeros(0), -1.0
-        for b in np.argsort(-bound, kind="stable"):
-            if len(ids) >= k and bound[b] < least:
-                break
-            row = self.row[b, columns]
-            there = row >= 0
-            scores = w[there] @ self.matrix[b][row[there]]
-            ids = np.concatenate([ids, self.order[b * BLOCK:b * BLOCK + len(scores)]])
-            cosines = np.concatenate([cosines, scores])
-            if len(ids) > k:
-                top = np.argpartition(-cosines, k - 1)[:k]
-                ids, cosines, least = ids[top], cosines[top], cosines[top].min()
-        order = np.lexsort((ids, -cosines))
-        return ids[order], cosines[order]
+    def nearest(self, columns: np.ndarray, w: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each class the k examples of the largest cosine, largest first; exact.
+
+        The blocks of the highest bounds that hold k examples are opened first; then those whose bound reaches the k-th best cosine found there.
+        """
+        if not len(columns):
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in self.blocks]
+        bound = w @ self.best[columns] + 1e-9
+        counts = self.start[columns + 1] - self.start[columns]
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1]) + np.repeat(self.start[columns] - ends + counts, counts)
+        example, part = self.example[at], self.value[at] * np.repeat(w, counts)
+        opened = np.zeros(len(bound), bool)
+        for own in self.blocks:
+            opened[own.start + np.argsort(-bound[own], kind="stable")[:-(-k // BLOCK) + 1]] = True
+        now = opened[example // BLOCK]
+        scores = np.bincount(example[now], part[now], self.size)
+        more = np.zeros(len(bound), bool)
+        for own, order in zip(self.blocks, self.order):
+            if len(order) > k:
+                mine = scores[own.start * BLOCK:own.start * BLOCK + len(order)]
+                more[own] = bound[own] >= np.partition(mine, len(mine) - k)[len(mine) - k]
+            else:
+                more[own] = True
+        rest = (more & ~opened)[example // BLOCK]
+        scores += np.bincount(example[rest], part[rest], self.size)
+        out = []
+        for own, order in zip(self.blocks, self.order):
+            mine = scores[own.start * BLOCK:own.start * BLOCK + len(order)]
+            top = np.argpartition(-mine, k - 1)[:k] if len(mine) > k else np.arange(len(mine))
+            top = top[np.lexsort((order[top], -mine[top]))]
+            out.append((order[top], mine[top]))
+        return out
+
+
+def similar_first(vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Examples ordered so that those sharing common terms stand together: by their commonest terms."""
+    if not vectors:
+        return np.zeros(0, np.int64)
+    df = np.bincount(np.concatenate([c for c, _ in vectors]))
+    key = [sorted(c.tolist(), key=lambda t: (-df[t], t))[:6] for c, _ in vectors]
+    return np.array(sorted(range(len(vectors)), key=lambda i: (key[i], i)), np.int64)
 
 
 @dataclass
 class Neighbours:
-    toxic: Index
-    clean: Index
+    index: Index
     toxic_ids: list
     clean_ids: list
     trees: boosting.Boosted | None
@@ -123,13 +142,12 @@ class Neighbours:
 
     def look(self, found: np.ndarray) -> tuple[list[float], list[tuple[int, float, int]]]:
         """Features of a document, and its three nearest examples as (key, cosine, label)."""
-        columns, w = self.toxic.vector(found)
-        (ti, tc), (ci, cc) = self.toxic.nearest(columns, w, NEIGHBOURS), self.clean.nearest(columns, w, NEIGHBOURS)
+        (ti, tc), (ci, cc) = self.index.nearest(*self.index.vector(found), NEIGHBOURS)
         cosines, label = np.concatenate([tc, cc]), np.r_[np.ones(len(tc)), np.zeros(len(cc))]
         order = np.argsort(-cosines, kind="stable")
         cosines, label = cosines[order], label[order]
-        votes = [float(cosines[:k] @ label[:k] / (cosines[:k].sum() or 1.0)) for k in (15, 40, NEIGHBOURS)]
-        means = [(tc[:k].mean() if len(tc) else 0.0, cc[:k].mean() if len(cc) else 0.0) for k in (5, 20, 60, NEIGHBOURS)]
+        votes = [float(cosines[:k] @ label[:k] / (cosines[:k].sum() or 1.0)) for k in (15, 40, 100)]
+        means = [(tc[:k].mean() if len(tc) else 0.0, cc[:k].mean() if len(cc) else 0.0) for k in (20, 100, 250, NEIGHBOURS)]
         features = votes + [a - b for a, b in means] + [float(np.log((a + 1e-3) / (b + 1e-3))) for a, b in means]
         names = np.r_[ti, ci][order[:3]]
         return features, [((self.toxic_ids if y else self.clean_ids)[i], float(c), int(y)) for i, c, y in zip(names, cosines, label[:3])]
@@ -173,8 +191,8 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "tox
         index &= np.cumsum(index) <= EXAMPLES
         parts[y] = own[index], own[~index]
     prior = float((table["y"] == 1).mean()) if len(table) else 0.1
-    indexes = {y: Index(list(parts[y][0]["terms"].map(np.asarray)), weight) for y in (1, 0)}
-    model = Neighbours(indexes[1], indexes[0], parts[1][0]["key"].tolist(), parts[0][0]["key"].tolist(), None, prior)
+    index = Index([[np.asarray(t) for t in parts[y][0]["terms"]] for y in (1, 0)], weight)
+    model = Neighbours(index, parts[1][0]["key"].tolist(), parts[0][0]["key"].tolist(), None, prior)
     rest = pd.concat([parts[1][1], parts[0][1]])
     if min(len(p) for pair in parts.values() for p in pair):
         x = np.array([model.look(np.asarray(t))[0] for t in rest["terms"]])
