@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import boosting
 
 #: Hashed terms; the power of the inverse document frequency; the share of documents below which a term is left out.
-TERMS, POWER, RARE = 1 << 18, 2.0, 0.002
+TERMS, POWER, RARE = 1 << 18, 1.5, 0.002
 #: Labelled documents of each class in the index at most; of each class for calibration at most.
 EXAMPLES, CALIBRATION = 1000, (800, 4000)
 #: Neighbours of each class that are looked for; examples in a block.
@@ -140,9 +140,13 @@ class Neighbours:
     trees: boosting.Boosted | None
     prior: float
 
-    def look(self, found: np.ndarray) -> tuple[list[float], list[tuple[int, float, int]]]:
-        """Features of a document, and its three nearest examples as (key, cosine, label)."""
+    def look(self, found: np.ndarray, own: tuple[int, int] | None = None) -> tuple[list[float], list[tuple[int, float, int]]]:
+        """Features of a document, and its three nearest examples as (key, cosine, label). ``own`` names an example (label, number) that is left out: the document itself."""
         (ti, tc), (ci, cc) = self.index.nearest(*self.index.vector(found), NEIGHBOURS)
+        if own and own[0] == 1:
+            ti, tc = ti[ti != own[1]], tc[ti != own[1]]
+        elif own:
+            ci, cc = ci[ci != own[1]], cc[ci != own[1]]
         cosines, label = np.concatenate([tc, cc]), np.r_[np.ones(len(tc)), np.zeros(len(cc))]
         order = np.argsort(-cosines, kind="stable")
         cosines, label = cosines[order], label[order]
@@ -177,26 +181,22 @@ def labelled(df: DataFrame, labels: DataFrame, key: str, label: str, text: str)
 
 
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", text: str = "text") -> Neighbours:
-    """Index and calibration from labelled documents; frequencies of terms from all documents. Of five labelled documents three go to the index, up to its limit, the others to the calibration.
+    """Index and calibration from labelled documents; frequencies of terms from all documents.
 
-    Without labelled documents of both classes every score is the share of toxic ones (0.1 without any).
+    The first labelled documents of each class are the index. Calibration learns from these, each without itself among its neighbours, and from the others.
+    Without two labelled documents of both classes every score is the share of toxic ones (0.1 without any).
     """
     df_count, rows = document_frequencies(df, text)
     weight = np.where(df_count >= max(RARE * rows, 2), np.log((rows + 1) / (df_count + 1)) ** POWER, 0.0)
     table = labelled(df, labels, key, label, text)
-    parts = {}
-    for y in (1, 0):
-        own = table[table["y"] == y]
-        index = np.arange(len(own)) % 5 < 3
-        index &= np.cumsum(index) <= EXAMPLES
-        parts[y] = own[index], own[~index]
+    classes = {y: table[table["y"] == y] for y in (1, 0)}
+    found = {y: [np.asarray(t) for t in classes[y]["terms"]] for y in classes}
     prior = float((table["y"] == 1).mean()) if len(table) else 0.1
-    index = Index([[np.asarray(t) for t in parts[y][0]["terms"]] for y in (1, 0)], weight)
-    model = Neighbours(index, parts[1][0]["key"].tolist(), parts[0][0]["key"].tolist(), None, prior)
-    rest = pd.concat([parts[1][1], parts[0][1]])
-    if min(len(p) for pair in parts.values() for p in pair):
-        x = np.array([model.look(np.asarray(t))[0] for t in rest["terms"]])
-        model.trees = boosting.fit(x, rest["y"].to_numpy(float))
+    index = Index([found[y][:EXAMPLES] for y in (1, 0)], weight)
+    model = Neighbours(index, classes[1]["key"].tolist()[:EXAMPLES], classes[0]["key"].tolist()[:EXAMPLES], None, prior)
+    if min(map(len, found.values())) > 1:
+        x = [model.look(t, (y, i) if i < EXAMPLES else None)[0] for y in (1, 0) for i, t in enumerate(found[y])]
+        model.trees = boosting.fit(np.array(x), np.repeat([1.0, 0.0], [len(found[1]), len(found[0])]))
     return model
 
 
