@@ -1,23 +1,9 @@
-"""Size-checked small tables and salted joins."""
+"""Salted joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DIMENSION_LIMIT = 20_000
-
-
-def local_if_small(df: DataFrame, limit: int = DIMENSION_LIMIT) -> tuple[DataFrame, list | None]:
-    """The same rows as a local relation when there are at most ``limit`` of them, else ``df`` itself.
-
-    Only ``limit + 1`` rows ever reach the driver. A local relation has an exact size, so Spark broadcasts
-    it by itself; beyond the limit the caller keeps an ordinary shuffle join.
-    """
-    found = df.limit(limit + 1).toArrow()
-    if found.num_rows > limit:
-        return df, None
-    return df.sparkSession.createDataFrame(found, df.schema), found.to_pylist()
-
 
 def salted_join(small: DataFrame, big: DataFrame, key: str, spread: list[str], salts: int = 32) -> DataFrame:
     """Inner equi-join on a key that may be hot on the big side.

@@ -76,10 +76,10 @@ def transition_totals(units: DataFrame, keys: list[str], area: str = "area") ->
 DIFFERENCE_METRICS = ["value_a", "value_b", "absolute_difference", "percentage_difference"]
 
 
-def difference_summary(units: DataFrame, keys: list[str], area: str = "area", **limits) -> DataFrame:
+def difference_summary(units: DataFrame, keys: list[str], area: str = "area") -> DataFrame:
     """Weighted summaries of both sides, the difference and the percentage change, as rows per metric."""
     long = units.select(*keys, area, *DIFFERENCE_METRICS).unpivot([*keys, area], DIFFERENCE_METRICS, "metric", "value")
-    return weighted_summary(long, [*keys, "metric"], "value", area, **limits)
+    return weighted_summary(long, [*keys, "metric"], "value", area)
 
 
 def difference_totals(units: DataFrame, keys: list[str], area: str = "area") -> DataFrame:
@@ -125,11 +125,11 @@ def group_metric_units(pair_units: DataFrame, n: int) -> DataFrame:
     return out.withColumns({m: F.col(m.replace("_difference", "_b")) - F.col(m.replace("_difference", "_a")) for m in [*GROUP_DIFFERENCES, "model_median_difference"]})
 
 
-def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", **limits) -> DataFrame:
+def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area: str = "area") -> DataFrame:
     """Weighted summary of b - a for five model metrics on the ten-layer support."""
     long = (group_metric_units(pair_units, n).select(*keys, area, *GROUP_DIFFERENCES)
             .unpivot([*keys, area], GROUP_DIFFERENCES, "metric", "value"))
-    return weighted_summary(long, [*keys, "metric"], "value", area, **limits)
+    return weighted_summary(long, [*keys, "metric"], "value", area)
 
 
 def group_modal_units(pair_units: DataFrame, n: int) -> DataFrame:
@@ -173,11 +173,11 @@ def ensemble_units(units: DataFrame, ensemble: DataFrame, keys: list[str], n: in
 
 
 def ensemble_diagnostic(units: DataFrame, ensemble: DataFrame, group: list[str], keys: list[str], n: int, categorical: bool,
-                        area: str = "area", **limits) -> DataFrame:
+                        area: str = "area") -> DataFrame:
     """Match share with the unique mode (ties excluded), or the weighted difference from the model mean."""
     u = ensemble_units(units, ensemble, keys, n, categorical)
     if not categorical:
-        return weighted_summary(u, group, "ensemble_minus_derived_mean", area, **limits)
+        return weighted_summary(u, group, "ensemble_minus_derived_mean", area)
     part = lambda cond: F.coalesce(F.sum(F.when(cond, col(area))), F.lit(0.0))
     agg = u.groupBy(*group).agg(part(~F.col("tied_mode")).alias("unique_mode_comparable_area"), part(F.col("tied_mode")).alias("tied_mode_excluded_area"),
                                 part(F.col("match_unique_mode")).alias("matching_area"))

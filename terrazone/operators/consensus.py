@@ -151,9 +151,9 @@ def model_class_area(df: DataFrame, group: list[str], models: list[str], classes
             .select(*group, "model", "r.class_code", "r.area", (100 * ratio("r.area", "_common")).alias("percentage_of_common_area")))
 
 
-def model_weighted_summary(df: DataFrame, group: list[str], models: list[str], weight: str, values: str = "values", **limits) -> DataFrame:
+def model_weighted_summary(df: DataFrame, group: list[str], models: list[str], weight: str, values: str = "values") -> DataFrame:
     """Area-weighted summary of each model on the common support."""
-    return weighted_summary(_by_model(df, group, models, values, weight), [*group, "model"], "value", weight, **limits)
+    return weighted_summary(_by_model(df, group, models, values, weight), [*group, "model"], "value", weight)
 
 
 def pairwise_agreement(df: DataFrame, group: list[str], models: list[str], weight: str, values: str = "values") -> DataFrame:
@@ -167,13 +167,13 @@ def pairwise_agreement(df: DataFrame, group: list[str], models: list[str], weigh
             .select(*group, "r.*", "common_area", (100 * ratio("r.agreement_area", "common_area")).alias("agreement_percentage")))
 
 
-def pairwise_difference(df: DataFrame, group: list[str], models: list[str], weight: str, values: str = "values", **limits) -> DataFrame:
+def pairwise_difference(df: DataFrame, group: list[str], models: list[str], weight: str, values: str = "values") -> DataFrame:
     """Weighted summary of model_b - model_a for every model pair."""
     rows = F.array(*[F.struct(F.lit(models[i]).alias("model_a"), F.lit(models[j]).alias("model_b"),
                               (col(values)[j] - col(values)[i]).alias("difference"))
                      for i, j in combinations(range(len(models)), 2)])
     long = df.select(*group, weight, F.explode(rows).alias("r")).select(*group, weight, "r.*")
-    return weighted_summary(long, [*group, "model_a", "model_b"], "difference", weight, **limits)
+    return weighted_summary(long, [*group, "model_a", "model_b"], "difference", weight)
 
 
 def unit_differences(df: DataFrame, models: list[str], values: str = "values") -> DataFrame:
@@ -198,10 +198,10 @@ def agreement_area(df: DataFrame, group: list[str], classes: list[int], weight:
     return agg.select(*group, F.explode(rows).alias("r")).select(*group, "r.*")
 
 
-def metric_spatial_summary(df: DataFrame, group: list[str], metrics: list[str], weight: str, **limits) -> DataFrame:
+def metric_spatial_summary(df: DataFrame, group: list[str], metrics: list[str], weight: str) -> DataFrame:
     """Area-weighted summary of every unit metric; undefined metrics are skipped."""
     long = df.select(*group, weight, *metrics).unpivot([*group, weight], metrics, "metric", "value")
-    return weighted_summary(long, [*group, "metric"], "value", weight, **limits)
+    return weighted_summary(long, [*group, "metric"], "value", weight)
 
 
 def across_model_means(model_summary: DataFrame, group: list[str], models: list[str]) -> DataFrame:

@@ -7,18 +7,14 @@ aggregates, so a hot key is combined map-side before any shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import any_of, col, computed_once, finite, is_finite, join_null_safe, ratio
-from ..functions.small import local_if_small
 
 PROBABILITIES = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
-KEY_LIMIT = 20_000          # per-key tables up to this many rows are broadcast as local relations
-GROUP_LIMIT = 1_000_000     # groups up to this many rows are ordered by one window task
-BINS = 1024
+BINS = 256                  # a square: bins are looked up in two steps
 
 Reach = Callable[[Column, Column], Column]
 
@@ -28,26 +24,22 @@ def at_least(p: float) -> Reach:
     return lambda cum, total: cum / total >= F.lit(p)
 
 
-def _signed_log(x: Column) -> Column:
-    """Monotone, so it keeps order; spreads heavy tails over the bins."""
-    return F.signum(x) * F.log1p(F.least(F.abs(x), F.lit(1e300)) * 1e6)
+def _bin(x: Column, splits: Column) -> Column:
+    """Number of split points below x, counted among every sixteenth first and then among the next fifteen."""
+    step = int(BINS ** 0.5)
+    below = lambda s: F.size(F.filter(s, lambda v: v < x))
+    coarse = below(F.filter(splits, lambda v, i: i % step == step - 1))
+    return F.get(F.transform(F.array(coarse), lambda c: c * step + below(F.slice(splits, c * step + 1, F.lit(step - 1)))), F.lit(0))
 
 
-def _bin(x: Column, lo: Column, hi: Column) -> Column:
-    share = (x / 2 - lo / 2) / (hi / 2 - lo / 2)
-    return F.when(hi > lo, F.least(F.lit(BINS - 1), F.floor(share * BINS)).cast("int")).otherwise(F.lit(0))
-
-
-def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dict[str, Reach],
-                     *, key_limit: int = KEY_LIMIT, group_limit: int | None = GROUP_LIMIT) -> DataFrame:
+def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dict[str, Reach]) -> DataFrame:
     """Per key: count, weight total, min, max, mean, second moment and exact weighted order statistics.
 
-    A target is the first value, in ascending order, whose cumulative weight satisfies its predicate
-    (clamped to the largest value). A counting pass finds the keys with more than ``group_limit`` rows.
-    All other keys share one shuffle and one ordered window. The hot keys are narrowed by two histogram
-    passes (signed-log bins over the group, then linear bins inside each hit bin), both combined map-side,
-    and only the few bins that hold a target are ever ordered: no task sees a whole hot group.
-    ``group_limit=None`` skips the counting pass for groups whose size is bounded by construction.
+    A target is the first value, in ascending order, whose cumulative weight satisfies its predicate (clamped to the largest
+    value). One aggregate gives the totals of every key and split points near its quantiles; the split points choose only
+    in which bin a value is counted, so results are exact. Weights are summed by key and value, then by bin; the prefix sums over at
+    most 256 bins name the bins that hold a target, and only their values are ordered. Rows without a valid value take part in the totals alone,
+    and the plan is the same for every size.
     """
     names, named = list(targets), keys
     if not keys:
@@ -55,108 +47,40 @@ def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dic
     x, w = finite(value), finite(weight)
     ok = F.coalesce(x.isNotNull() & (w > 0), F.lit(False))
     rows = df.select(*keys, F.when(ok, x).alias("_x"), F.when(ok, w).alias("_w"))
-    plain = lambda d: _ordered_by_window(d, keys, targets)
-    if group_limit is None:
-        out = plain(rows)
-    else:
-        totals = rows.groupBy(*keys).agg(
-            F.count("_x").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
-            (F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_mean")).where(F.col("_n") > group_limit)
-        hot, known = local_if_small(totals, key_limit)
-        if known == []:
-            out = plain(rows)
-        else:
-            cold = join_null_safe(rows, hot.select(*keys), keys, "left_anti")
-            out = plain(cold).unionByName(_ordered_by_bins(rows.where("_x IS NOT NULL"), hot, keys, targets, group_limit,
-                                                           local=known is not None, key_limit=key_limit))
+    totals = rows.groupBy(*keys).agg(
+        F.count("_x").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+        (F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_mean"),
+        F.percentile_approx("_x", [i / BINS for i in range(1, BINS)], 1000).alias("_splits"))
+    cells = rows.where("_x IS NOT NULL").groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
+    binned = computed_once(join_null_safe(cells, totals.select(*keys, "_wt", "_mean", "_splits"), keys), "_b", _bin(F.col("_x"), F.col("_splits")))
+    gap = F.col("_x") - F.col("_mean")
+    bins = binned.groupBy(*keys, "_b").agg(F.sum("_w").alias("_wb"), F.sum(F.col("_w") * gap * gap).alias("_m2"), F.max("_wt").alias("_wt"))
+    group = Window.partitionBy(*keys)
+    bins = bins.withColumns({"_before": F.coalesce(F.sum("_wb").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)), "_m2": F.sum("_m2").over(group)})
+    first = {n: F.coalesce(F.min(F.when(reach(F.col("_before") + F.col("_wb"), F.col("_wt")), F.col("_b"))).over(group), F.max("_b").over(group)) for n, reach in targets.items()}
+    bins = bins.withColumns({f"_f_{n}": F.col("_b") == b for n, b in first.items()})
+    hits = bins.where(any_of([F.col(f"_f_{n}") for n in names])).drop("_wb")
+    held = join_null_safe(binned.select(*keys, "_b", "_x", "_w"), hits, [*keys, "_b"])
+    cum = held.withColumn("_cum", F.col("_before") + F.sum("_w").over(Window.partitionBy(*keys, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    found = cum.groupBy(*keys).agg(F.max("_m2").alias("_m2"), *[
+        F.coalesce(F.min(F.when(F.col(f"_f_{n}") & reach(F.col("_cum"), F.col("_wt")), F.col("_x"))), F.max(F.when(F.col(f"_f_{n}"), F.col("_x")))).alias(n)
+        for n, reach in targets.items()])
+    out = join_null_safe(totals.drop("_splits"), found, keys, "left")
     return out.select(*named, F.col("_n").alias("n"), F.col("_wt").alias("weight_total"), F.col("_lo").alias("min"),
                       F.col("_hi").alias("max"), F.col("_mean").alias("mean"), F.col("_m2").alias("m2"), *names)
 
 
-def _ordered_by_window(rows, keys, targets):
-    """One shuffle by key: totals and running weights are windows over the same partitioning."""
-    group = Window.partitionBy(*keys)
-    order = group.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = rows.withColumns({"_cum": F.sum("_w").over(order)}).withColumns({
-        "_wt": F.sum("_w").over(group), "_mean": F.sum(F.col("_x") * F.col("_w")).over(group) / F.sum("_w").over(group)})
-    gap = F.col("_x") - F.col("_mean")
-    return cum.groupBy(*keys).agg(
-        F.count("_x").alias("_n"), F.max("_wt").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.max("_mean").alias("_mean"),
-        F.sum(F.col("_w") * gap * gap).alias("_m2"),
-        *[F.coalesce(F.min(F.when(reach(F.col("_cum"), F.col("_wt")), F.col("_x"))), F.max("_x")).alias(name)
-          for name, reach in targets.items()])
-
-
-def _ordered_by_bins(base, total, keys, targets, group_limit, local, key_limit):
-    settle = (lambda d: local_if_small(d, key_limit)[0]) if local else (lambda d: d)
-
-    def outer(n, lo, hi):
-        return F.when(n <= group_limit, F.lit(0)).otherwise(_bin(_signed_log(F.col("_x")), _signed_log(lo), _signed_log(hi)))
-
-    def first_reached(reach, flag, item):
-        hit = flag & reach(F.col("_before") + F.col("_wb"), F.col("_wt"))
-        return F.coalesce(F.min(F.when(hit, item)), F.max(F.when(flag, item)))
-
-    # Pass 1: weight per signed-log bin, and the bin in which each target is reached.
-    hist = (join_null_safe(base, total, keys)
-            .withColumn("_b", outer(F.col("_n"), F.col("_lo"), F.col("_hi")))
-            .groupBy(*keys, "_b")
-            .agg(F.sum("_w").alias("_wb"), F.count("*").alias("_nb"), F.min("_x").alias("_blo"), F.max("_x").alias("_bhi"),
-                 F.sum(F.col("_w") * (F.col("_x") - F.col("_mean")) * (F.col("_x") - F.col("_mean"))).alias("_m2b"),
-                 F.max("_wt").alias("_wt"), F.max("_n").alias("_n"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_mean").alias("_mean")))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("_before", F.coalesce(F.sum("_wb").over(before), F.lit(0.0)))
-    item = F.struct("_b", "_before", "_blo", "_bhi", "_nb")
-    plan = settle(hist.groupBy(*keys).agg(
-        F.sum("_m2b").alias("_m2"), F.max("_wt").alias("_wt"), F.max("_n").alias("_n"),
-        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_mean").alias("_mean"),
-        *[first_reached(reach, F.lit(True), item).alias(f"_t_{name}") for name, reach in targets.items()]))
-
-    def narrowed(with_plan):
-        d = computed_once(join_null_safe(base, with_plan, keys), "_b", outer(F.col("_n"), F.col("_lo"), F.col("_hi")))
-        match = reduce(lambda a, b: F.coalesce(a, b), [F.when(F.col("_b") == F.col(f"_t_{n}._b"), F.col(f"_t_{n}")) for n in targets])
-        d = d.where(any_of([F.col("_b") == F.col(f"_t_{n}._b") for n in targets]))
-        d = computed_once(d, "_t", match)
-        inner = F.when(F.col("_t._nb") <= group_limit, F.lit(0)).otherwise(_bin(F.col("_x"), F.col("_t._blo"), F.col("_t._bhi")))
-        return computed_once(d, "_s", inner)
-
-    # Pass 2: linear bins inside every hit bin.
-    sub = (narrowed(plan).groupBy(*keys, "_b", "_s")
-           .agg(F.sum("_w").alias("_wb"), F.max("_wt").alias("_wt"), F.max("_t._before").alias("_base"),
-                *[F.max(F.col("_b") == F.col(f"_t_{n}._b")).alias(f"_f_{n}") for n in targets]))
-    before = Window.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    sub = sub.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_wb").over(before), F.lit(0.0)))
-    item = F.struct("_b", "_s", "_before")
-    fine = sub.groupBy(*keys).agg(
-        *[first_reached(reach, F.col(f"_f_{n}"), item).alias(f"_u_{n}") for n, reach in targets.items()])
-    plan = settle(join_null_safe(plan, fine, keys))
-
-    # Pass 3: only the bins that hold a target are ordered.
-    hit = {n: (F.col("_b") == F.col(f"_u_{n}._b")) & (F.col("_s") == F.col(f"_u_{n}._s")) for n in targets}
-    start = reduce(lambda a, b: F.coalesce(a, b), [F.when(hit[n], F.col(f"_u_{n}._before")) for n in targets])
-    final = (narrowed(plan).where(any_of(list(hit.values())))
-             .groupBy(*keys, "_b", "_s", "_x")
-             .agg(F.sum("_w").alias("_w"), F.max("_wt").alias("_wt"), F.max(start).alias("_base"),
-                  *[F.max(hit[n]).alias(f"_f_{n}") for n in targets]))
-    order = Window.partitionBy(*keys, "_b", "_s").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    final = final.withColumn("_cum", F.col("_base") + F.sum("_w").over(order))
-    values = final.groupBy(*keys).agg(*[
-        F.coalesce(F.min(F.when(F.col(f"_f_{n}") & reach(F.col("_cum"), F.col("_wt")), F.col("_x"))),
-                   F.max(F.when(F.col(f"_f_{n}"), F.col("_x")))).alias(n) for n, reach in targets.items()])
-    return join_null_safe(plan.select(*keys, "_n", "_wt", "_lo", "_hi", "_mean", "_m2"), values, keys)
-
-
-def weighted_summary(df: DataFrame, keys: list[str], value, weight, **limits) -> DataFrame:
+def weighted_summary(df: DataFrame, keys: list[str], value, weight) -> DataFrame:
     """min, max, mean, population SD, five quantiles and a quality flag per key."""
-    stats = order_statistics(df, keys, value, weight, {k: at_least(p) for k, p in PROBABILITIES.items()}, **limits)
+    stats = order_statistics(df, keys, value, weight, {k: at_least(p) for k, p in PROBABILITIES.items()})
     flag = (F.when(F.col("n") == 0, "NO_VALID_DATA").when(F.col("n") < 5, "FEW_NATIVE_CELLS").otherwise("OK"))
     return stats.select(*keys, "min", "max", "mean", F.sqrt(ratio("m2", "weight_total")).alias("std"),
                         *PROBABILITIES, flag.alias("quality_flag"))
 
 
-def weighted_quantile(df: DataFrame, keys: list[str], value, weight, probs: dict[str, float], **limits) -> DataFrame:
+def weighted_quantile(df: DataFrame, keys: list[str], value, weight, probs: dict[str, float]) -> DataFrame:
     """First value whose cumulative normalised weight reaches p, per key; never interpolated."""
-    stats = order_statistics(df, keys, value, weight, {k: at_least(p) for k, p in probs.items()}, **limits)
+    stats = order_statistics(df, keys, value, weight, {k: at_least(p) for k, p in probs.items()})
     return stats.select(*keys, *probs)
 
 
@@ -201,21 +125,16 @@ def class_area(df: DataFrame, keys: list[str], class_code, weight, legend: DataF
 
 
 def caption_join(df: DataFrame, code: str, legend: DataFrame) -> DataFrame:
-    """Left lookup of the caption; a code without caption is flagged, never dropped.
-
-    A legend within the dimension limit becomes a local relation and is broadcast, so a class holding a
-    third of all cells is not gathered by a shuffle.
-    """
-    legend, _ = local_if_small(legend)
+    """Left lookup of the caption; a code without caption is flagged, never dropped. Spark broadcasts a small legend by itself."""
     joined = df.join(legend.withColumnRenamed("code", "_code"), F.col(code) == F.col("_code"), "left").drop("_code")
     return joined.withColumn("status", F.when(F.col("caption").isNull(), "UNKNOWN_CLASS").otherwise("OK"))
 
 
-def raster_stats_unweighted(df: DataFrame, keys: list[str], value, **limits) -> DataFrame:
+def raster_stats_unweighted(df: DataFrame, keys: list[str], value) -> DataFrame:
     """Unweighted min, max, mean, median and population SD; the median averages the middle pair."""
     half = {"_low": lambda cum, total: cum >= F.floor((total + 1) / 2),
             "_high": lambda cum, total: cum >= F.floor((total + 2) / 2)}
-    stats = order_statistics(df, keys, value, F.lit(1.0), half, **limits)
+    stats = order_statistics(df, keys, value, F.lit(1.0), half)
     return stats.select(*keys, "min", "max", "mean", ((F.col("_low") + F.col("_high")) / 2).alias("median"),
                         F.sqrt(ratio("m2", "n")).alias("std"), F.col("n").alias("valid_count"))
 
