@@ -80,19 +80,6 @@ def group_key(prefix: str, *dims) -> Column:
     return F.translate(F.concat_ws("_", F.lit(prefix), *[col(d) for d in dims]), "-", "_")
 
 
-def first_failure(*rules: tuple[Column, str]) -> Column:
-    """Text of the first rule whose condition holds (rule order is semantic), else NULL."""
-    out = None
-    for cond, text in rules:
-        out = F.when(cond, F.lit(text)) if out is None else out.when(cond, F.lit(text))
-    return out
-
-
-def on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality on every key, usable as an equi-join condition."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys meet (as they do in groupBy); the left key columns are kept."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],

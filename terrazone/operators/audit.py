@@ -82,12 +82,12 @@ def reconcile_summaries(stored: DataFrame, recomputed: DataFrame, keys: list[str
 def contract_resolve(groups: DataFrame, violations: DataFrame, scenario: list[str], product: str) -> DataFrame:
     """Status per product group from ordered violations (group_id, check_ord, reason).
 
-    The first failing check decides; groups sharing a scenario and product disable each other. Other
-    groups stay resolved.
+    The first failing check decides; groups sharing a scenario and product disable each other, and each row of a repeated id
+    is a duplicate. Other groups stay resolved.
     """
     first = violations.groupBy("group_id").agg(F.min_by("reason", F.struct("check_ord", "reason")).alias("_reason"))
     repeated = groups.groupBy("group_id").agg(F.count("*").alias("_same_id"))
-    live = groups.dropDuplicates(["group_id"]).join(first, "group_id", "left").join(repeated, "group_id")
+    live = groups.join(first, "group_id", "left").join(repeated, "group_id")
     clash = (live.where("_reason IS NULL AND _same_id = 1").groupBy(*scenario, product).agg(F.count("*").alias("_clash")).where("_clash > 1"))
     j = join_null_safe(live, clash, [*scenario, product], "left")
     reason = decide([(F.col("_same_id") > 1, "Duplicate group_id"), (F.col("_reason").isNotNull(), F.col("_reason")), (F.col("_clash").isNotNull(), "Duplicate scenario/product")], F.lit(None).cast("string"))
@@ -105,8 +105,7 @@ def product_violations(groups: DataFrame, support: DataFrame, units: DataFrame,
     outside_area, unit_count. ``support`` holds the same areas; ``units``: group_id, unit_id, area, model_values
     (map); ``layers``: layer_id, climate_model_code, map_code, verification_status.
     """
-    # Groups are audit rows (one per product); a repeated group id is reported by contract_resolve.
-    groups = groups.dropDuplicates(["group_id"])
+    # Every row of a repeated group id is checked; contract_resolve marks each of them as a duplicate.
 
     def failed(df: DataFrame, checks: list[tuple[int, Column, str]]) -> DataFrame:
         """All failing checks of a row in one pass."""

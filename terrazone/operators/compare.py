@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import col, ratio
-from ..functions.small import salted_join
 from .consensus import numeric_metrics, with_consensus, with_numeric
 from .stats import weighted_summary
 
@@ -47,12 +46,12 @@ def pair_units(pairs: DataFrame, cells: DataFrame, categorical: bool, row: str =
                value: str = "value", area: str = "area") -> DataFrame:
     """Valid cells shared by both layers of every pair: one job for all pairs.
 
-    The first join key is a layer, which may be hot, so it is salted by position; the second is unique per cell.
+    The first join key is a layer, which may be hot: both sides are plain exchanges, which adaptive execution splits. The second key is unique per cell.
     """
     good = cells.where(F.col(value).isNotNull()).select("layer_id", row, column, area, F.col(value).cast("double").alias("_v"))
     a = good.select(F.col("layer_id").alias("layer_a"), row, column, area, F.col("_v").alias("value_a"))
     b = good.select(F.col("layer_id").alias("layer_b"), row, column, F.col("_v").alias("value_b"))
-    j = salted_join(pairs, a, "layer_a", [row, column]).join(b, ["layer_b", row, column])
+    j = pairs.join(a, "layer_a").join(b, ["layer_b", row, column])
     if categorical:
         return j.withColumns({"class_a": F.col("value_a").cast("int"), "class_b": F.col("value_b").cast("int"),
                               "class_match": F.col("value_a") == F.col("value_b")})
@@ -113,7 +112,7 @@ def group_pair_units(pairs: DataFrame, units: DataFrame, row: str = "row", colum
     """
     a = units.select(F.col("group_id").alias("group_a"), row, column, area, F.col("values").alias("values_a"))
     b = units.select(F.col("group_id").alias("group_b"), row, column, F.col("values").alias("values_b"))
-    return salted_join(pairs, a, "group_a", [row, column]).join(b, ["group_b", row, column])
+    return pairs.join(a, "group_a").join(b, ["group_b", row, column])
 
 
 GROUP_DIFFERENCES = ["model_mean_difference", "model_standard_deviation_difference", "model_iqr_difference",

@@ -57,7 +57,7 @@ def geo_is_simple(vertices: DataFrame, keys: list[str], **names) -> DataFrame:
                 .agg(F.sum("_n").alias("vertex_count"), F.max("_n").alias("_dup")))
     box = e.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("x1").alias("_bx"), F.min("y1").alias("_by"),
                                (F.max("x1") - F.min("x1")).alias("_w"), (F.max("y1") - F.min("y1")).alias("_h"))
-    side = F.least(F.lit(4096), F.ceil(F.sqrt("_n"))).cast("int")
+    side = F.ceil(F.sqrt("_n")).cast("int")
     tile = lambda v, low, size: F.when(F.col(size) > 0, F.least(side - 1, F.floor((v - F.col(low)) / F.col(size) * side))).otherwise(F.lit(0)).cast("int")
     span = lambda a, b, low, size: F.explode(F.sequence(tile(F.least(a, b), low, size), tile(F.greatest(a, b), low, size)))
     t = (join_null_safe(e, box, keys)
@@ -112,37 +112,61 @@ def cell_window(boxes: DataFrame, x0, y0, dx, dy, width=None, height=None, buffe
                             "window_status": F.when(F.abs(col(rotation)) > 1e-12, "ROTATED_GRID").when(empty, "NO_COVERAGE").otherwise("OK")})
 
 
-def _strips(edges: DataFrame, zone: list[str], x0, dx, project) -> DataFrame:
-    """Edges cut at the column borders of the grid: zone, column, direction, xa, xb, ya, yb in projected units."""
-    px, _ = project
-    e = edges.where("x1 <> x2")
-    lo, hi = F.least("x1", "x2"), F.greatest("x1", "x2")
-    first, last = F.floor((lo - col(x0)) / col(dx)), F.ceil((hi - col(x0)) / col(dx)) - 1
+# Abscissas and weights of five-point Gauss-Legendre quadrature on [-1, 1].
+GAUSS = [(0.0, 0.5688888888888889), (-0.5384693101056831, 0.47862867049936647), (0.5384693101056831, 0.47862867049936647),
+         (-0.906179845938664, 0.23692688505618908), (0.906179845938664, 0.23692688505618908)]
+
+
+def _edge_pieces(edges: DataFrame, zone: list[str], x0, y0, dx, dy, project) -> DataFrame:
+    """Edges cut at the column and row borders of the grid: zone, column, row, _lower, _width, _own.
+
+    ``_width`` is the signed projected width of a piece and ``_own`` the signed area between it and the lower border of its
+    cell. A piece lies in one cell, so its height is smooth and five points integrate it.
+    """
+    px, py = project
+    e = edges.where("x1 <> x2").withColumns({
+        "_west": F.least("x1", "x2"), "_east": F.greatest("x1", "x2"), "_slope": (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1")),
+        "_sign": F.signum(F.col("x1") - F.col("x2")) * F.col("_role")})
+    first, last = F.floor((F.col("_west") - col(x0)) / col(dx)), F.ceil((F.col("_east") - col(x0)) / col(dx)) - 1
     e = e.withColumn("column", F.explode(F.sequence(first, F.greatest(first, last))))
-    # Spread the column pieces before they are expanded to rows: one long edge must not stay in one task.
+    # Spread the column pieces before they are cut at rows: one long edge must not stay in one task.
     e = e.repartition(*zone, "column")
-    left, right = px(col(x0) + F.col("column") * col(dx)), px(col(x0) + (F.col("column") + 1) * col(dx))
-    xa = F.greatest(F.least("_px1", "_px2"), left)
-    xb = F.least(F.greatest("_px1", "_px2"), right)
-    slope = (F.col("_py2") - F.col("_py1")) / (F.col("_px2") - F.col("_px1"))
-    e = e.withColumns({"_xa": xa, "_xb": xb}).where("_xa < _xb")
-    y_at = lambda v: F.col("_py1") + (v - F.col("_px1")) * slope
-    low, high = F.least("_py1", "_py2"), F.greatest("_py1", "_py2")
-    fit = lambda v: F.greatest(low, F.least(high, v))
-    return e.withColumns({"_ya": fit(y_at(F.col("_xa"))), "_yb": fit(y_at(F.col("_xb")))})
+    at = lambda x: F.least(F.greatest("y1", "y2"), F.greatest(F.least("y1", "y2"), F.col("y1") + (x - F.col("x1")) * F.col("_slope")))
+    e = e.withColumns({"_xa": F.greatest("_west", col(x0) + F.col("column") * col(dx)), "_xb": F.least("_east", col(x0) + (F.col("column") + 1) * col(dx))}).where("_xa < _xb")
+    e = e.withColumns({"_ya": at(F.col("_xa")), "_yb": at(F.col("_xb"))})
+    top = F.floor((col(y0) - F.greatest("_ya", "_yb")) / col(dy))
+    bottom = F.ceil((col(y0) - F.least("_ya", "_yb")) / col(dy)) - 1
+    e = e.withColumn("row", F.explode(F.sequence(top, F.greatest(top, bottom))))
+    # The part of the piece between the borders of its row; a level piece lies in one row as a whole.
+    level = F.col("_ya") == F.col("_yb")
+    cross = lambda y: F.col("_xa") + (y - F.col("_ya")) * (F.col("_xb") - F.col("_xa")) / (F.col("_yb") - F.col("_ya"))
+    upper_y, lower_y = col(y0) - F.col("row") * col(dy), col(y0) - (F.col("row") + 1) * col(dy)
+    inside = lambda x: F.least("_xb", F.greatest(F.col("_xa"), x))
+    e = e.withColumns({"_c1": F.when(~level, inside(cross(upper_y))), "_c2": F.when(~level, inside(cross(lower_y)))})
+    touches_top, touches_bottom = F.greatest("_ya", "_yb") > upper_y, F.least("_ya", "_yb") < lower_y
+    high_end = F.when(F.col("_ya") > F.col("_yb"), F.col("_xa")).otherwise(F.col("_xb"))
+    low_end = F.when(F.col("_ya") > F.col("_yb"), F.col("_xb")).otherwise(F.col("_xa"))
+    p, q = F.when(touches_top, F.col("_c1")).otherwise(high_end), F.when(touches_bottom, F.col("_c2")).otherwise(low_end)
+    e = e.withColumns({"_l": F.when(level, F.col("_xa")).otherwise(F.least(p, q)), "_r": F.when(level, F.col("_xb")).otherwise(F.greatest(p, q))}).where("_l < _r")
+    e = computed_once(e, "_lower", py(lower_y))
+    middle, half = (F.col("_l") + F.col("_r")) / 2, (F.col("_r") - F.col("_l")) / 2
+    height = sum((py(at(middle + half * x)) * w for x, w in GAUSS), F.lit(0.0)) / 2 - F.col("_lower")
+    width = F.col("_sign") * (px(F.col("_r")) - px(F.col("_l")))
+    e = computed_once(e, "_width", width)
+    return e.select(*zone, "column", "row", "_lower", "_width", (F.col("_width") * height).alias("_own"))
 
 
 PLANAR = (lambda v: v, lambda v: v)
 EQUAL_AREA = (g.equal_area_x, g.equal_area_y)
 
 
-def cell_weights(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, *, geographic: bool = True, densify: float | None = 0.0005,
+def cell_weights(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, *, geographic: bool = True,
                  ring: list[str] = ("part", "ring"), x: str = "x", y: str = "y") -> DataFrame:
-    """Exact area of every grid cell inside every zone: zone, row, column, weight, zone_area.
+    """Area of every grid cell inside every zone: zone, row, column, weight, zone_area.
 
-    For a polygon, the area inside a cell is the signed sum over its edges of the integral of the edge
-    height clamped to the cell: additive per edge, so edges are expanded over the columns they span and
-    the rows below them and summed. Geographic grids are measured in EPSG:6933, where their cells are
+    Edges are cut into pieces of one cell each. A piece adds the area below it inside its own cell, and its width times the full
+    height to each cell further down in its column; the latter is one running sum of signed widths per zone and column, so rows are
+    pieces plus result cells. Geographic grids are measured in EPSG:6933, where their cells are
     exact rectangles; other grids are measured in their own plane. Outer rings (ring 0) count positive
     and holes negative whatever their winding. Weights below 1e-14 of the larger of zone and cell are 0.
     """
@@ -152,27 +176,20 @@ def cell_weights(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, *, geogra
     turn = raw.groupBy(*zone, *ring).agg(F.signum(F.sum((F.col("x2") - F.col("x1")) * (F.col("y1") + F.col("y2")))).alias("_turn"))
     # Positive for outer rings and negative for holes, whatever the winding of the input.
     turn = turn.withColumn("_role", F.when(F.col(ring[-1]) == 0, -1.0).otherwise(1.0) * F.col("_turn")).drop("_turn")
-    e = join_null_safe(raw, turn, [*zone, *ring])
-    if densify:
-        e = geo_densify(e, densify)
-    e = e.withColumns({"_px1": px(F.col("x1")), "_py1": py(F.col("y1")), "_px2": px(F.col("x2")), "_py2": py(F.col("y2"))})
-    swept = F.col("_role") * (F.col("_px1") - F.col("_px2")) * (F.col("_py1") + F.col("_py2")) / 2
-    zones = e.groupBy(*zone).agg(F.sum(swept).alias("zone_area"), F.min("y1").alias("_low"))
-    parts = _strips(join_null_safe(e, zones, zone), zone, x0, dx, project)
-    row_of = lambda v: F.floor((col(y0) - v) / col(dy))
-    # The top row is taken from the unprojected edge, which bounds every piece of it.
-    top = row_of(F.greatest("y1", "y2"))
-    bottom = F.ceil((col(y0) - F.col("_low")) / col(dy)) - 1
-    cells = parts.withColumn("row", F.explode(F.sequence(top, F.greatest(top, bottom))))
-    upper, lower = py(col(y0) - F.col("row") * col(dy)), py(col(y0) - (F.col("row") + 1) * col(dy))
-    sign = F.signum(F.col("_px1") - F.col("_px2")) * F.col("_role")
-    piece = sign * g.clamped_integral(F.col("_xb") - F.col("_xa"), F.col("_ya"), F.col("_yb"), F.col("_lower"), F.col("_upper"))
-    # The pieces are already partitioned by (zone, column), which also serves this aggregate.
-    out = (computed_once(computed_once(cells, "_upper", upper), "_lower", lower)
-           .groupBy(*zone, "row", "column").agg(F.sum(piece).alias("weight"), F.max("zone_area").alias("zone_area")))
-    cell_area = ((px(col(x0) + (F.col("column") + 1) * col(dx)) - px(col(x0) + F.col("column") * col(dx)))
-                 * (py(col(y0) - F.col("row") * col(dy)) - py(col(y0) - (F.col("row") + 1) * col(dy))))
-    return out.where(F.col("weight") > F.greatest(F.col("zone_area"), F.abs(cell_area)) * TINY)
+    pieces = _edge_pieces(join_null_safe(raw, turn, [*zone, *ring]), zone, x0, y0, dx, dy, project)
+    events = pieces.groupBy(*zone, "column", "row").agg(F.sum("_own").alias("_own"), F.sum("_width").alias("_width"), F.max("_lower").alias("_lower"))
+    area = events.groupBy(*zone).agg(F.sum(F.col("_own") + F.col("_width") * F.col("_lower")).alias("zone_area"))
+    down = Window.partitionBy(*zone, "column").orderBy("row")
+    events = events.withColumns({"_through": F.sum("_width").over(down), "_next": F.lead("row").over(down)})
+    column_width = F.abs(px(col(x0) + (F.col("column") + 1) * col(dx)) - px(col(x0) + F.col("column") * col(dx)))
+    filled = F.abs(F.col("_through")) > column_width * 1e-9
+    last = F.when(filled, F.coalesce(F.col("_next") - 1, F.col("_row"))).otherwise(F.col("_row"))
+    cells = events.withColumnRenamed("row", "_row").withColumn("row", F.explode(F.sequence(F.col("_row"), last)))
+    height = py(col(y0) - F.col("row") * col(dy)) - py(col(y0) - (F.col("row") + 1) * col(dy))
+    cells = computed_once(cells, "_height", height)
+    weight = F.when(F.col("row") == F.col("_row"), F.col("_own") + (F.col("_through") - F.col("_width")) * F.col("_height")).otherwise(F.col("_through") * F.col("_height"))
+    out = join_null_safe(cells.select(*zone, "row", "column", weight.alias("weight"), (column_width * F.col("_height")).alias("_cell")), area, zone)
+    return out.where(F.col("weight") > F.greatest(F.col("zone_area"), F.col("_cell")) * TINY).drop("_cell")
 
 
 def zone_cells(weights: DataFrame, cells: DataFrame, grid: list[str] = ()) -> DataFrame:
@@ -200,7 +217,7 @@ def edge_cells(edges: DataFrame, zone: list[str], x0, y0, dx, dy) -> DataFrame:
 def touched_cells(vertices: DataFrame, zone: list[str], x0, y0, dx, dy, ring: list[str] = ("part", "ring"),
                   x: str = "x", y: str = "y") -> DataFrame:
     """Cells touching the zone at all, unweighted: inside cells plus cells met by its boundary."""
-    inside = cell_weights(vertices, zone, x0, y0, dx, dy, geographic=False, densify=None, ring=ring, x=x, y=y)
+    inside = cell_weights(vertices, zone, x0, y0, dx, dy, geographic=False, ring=ring, x=x, y=y)
     edges = ring_edges(vertices, [*zone, *ring], x=x, y=y)
     return inside.select(*zone, "row", "column").unionByName(edge_cells(edges, zone, x0, y0, dx, dy)).distinct()
 
@@ -254,20 +271,18 @@ def _edge_pairs(features: DataFrame, zones: DataFrame, feature: list[str], zone:
     return f.join(z, ["_tx", "_ty"]).where(~apart("x", "x") & ~apart("y", "y"))
 
 
-def feature_intersects(features: DataFrame, zones: DataFrame, feature: list[str], zone: list[str], tile: float,
-                       limit: int | None = None) -> DataFrame:
+def feature_intersects(features: DataFrame, zones: DataFrame, feature: list[str], zone: list[str], tile: float) -> DataFrame:
     """(feature, zone) pairs that intersect, from the edge tables of polygons or lines.
 
     Edges meet, or one contains a vertex of the other; each test is a tile- or strip-keyed equi-join.
-    ``limit`` is the feature's own head cap, applied per call in key order.
+    A caller that wants only some pairs orders and limits them with ``tables.head_limit``.
     """
     meet = (_edge_pairs(features, zones, feature, zone, tile)
             .where(g.segments_meet([F.col(c) for c in EDGE], [F.col(f"_{c}") for c in EDGE])).select(*feature, *zone))
     corner = lambda e, key: e.where("seq = 0").select(*key, F.col("x1").alias("x"), F.col("y1").alias("y"))
     inside = points_in_zones(corner(features, feature), zones, feature, zone, tile)
     around = points_in_zones(corner(zones, zone), features, zone, feature, tile).select(*feature, *zone)
-    out = meet.unionByName(inside).unionByName(around).distinct()
-    return out.orderBy(*feature, *zone).limit(limit) if limit is not None else out
+    return meet.unionByName(inside).unionByName(around).distinct()
 
 
 def features_near(features: DataFrame, zones: DataFrame, feature: list[str], zone: list[str], tile: float, distance: float) -> DataFrame:

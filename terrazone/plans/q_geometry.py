@@ -118,7 +118,7 @@ SZ = """WITH z AS (SELECT s_suppkey zone_id, s_suppkey % 50 + .13::DOUBLE x0, s_
  b AS (SELECT *, greatest(x0, -180 + "column" * .25) l, least(x1, -180 + ("column" + 1) * .25) rr, greatest(y0, 90 - ("row" + 1) * .25) bt, least(y1, 90 - "row" * .25) tp FROM r)
  SELECT zone_id, "row", "column", round(({_x_sql('rr')} - {_x_sql('l')}) * ({_y_sql('tp')} - {_y_sql('bt')}) / 1e4, 4) weight_ha, round(({_x_sql('x1')} - {_x_sql('x0')}) * ({_y_sql('y1')} - {_y_sql('y0')}) / 1e4, 3) zone_area_ha FROM b WHERE rr > l AND tp > bt""")
 def cell_weights(spark, d):
-    out = geo.cell_weights(supplier_zones(spark, d), ["zone_id"], -180.0, 90.0, 0.25, 0.25, geographic=True, densify=0.05)
+    out = geo.cell_weights(supplier_zones(spark, d), ["zone_id"], -180.0, 90.0, 0.25, 0.25, geographic=True)
     return out.select("zone_id", "row", "column", rnd(F.col("weight") / 1e4, 4).alias("weight_ha"), rnd(F.col("zone_area") / 1e4, 3).alias("zone_area_ha"))
 
 
@@ -132,7 +132,7 @@ WEIGHTS = f"""{SZ}, c AS (SELECT *, unnest(range(floor((x0 + 180) / .25)::BIGINT
   round("median", 4) AS "median", round(p75, 4) AS p75, round(p95, 4) AS p95) FROM ({summary_sql('zc', 'zone_id, layer_id', 'v', 'weight')})""")
 def zonal_summary(spark, d):
     """The whole raster path: cell weights per zone, joined with every layer, decoded and summarised."""
-    w = geo.cell_weights(supplier_zones(spark, d), ["zone_id"], -180.0, 90.0, 0.25, 0.25, geographic=True, densify=0.05)
+    w = geo.cell_weights(supplier_zones(spark, d), ["zone_id"], -180.0, 90.0, 0.25, 0.25, geographic=True)
     cells = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("layer_id"), (300 + F.col("o_custkey") % 100).alias("row"), (720 + F.col("o_orderkey") % 210).alias("column")).agg(
         F.max(F.sqrt("o_totalprice")).alias("raw"))
     inside = stats.decode_cells(geo.zone_cells(w.withColumn("weight", F.col("weight") / 1e4), cells), "raw", F.col("raw") > 250, "weight")
@@ -221,13 +221,13 @@ def modal_composite(spark, d):
     return geo.modal_composite(e, ["cell_id"], "label", ["p_a", "p_b"])
 
 
-@query("bilinear_resample", """WITH s AS (SELECT l_returnflag layer_id, l_orderkey % 100 "row", l_partkey % 80 "column", sqrt(max(l_extendedprice)) v FROM lineitem WHERE l_discount > .02 GROUP BY 1, 2, 3),
+@query("bilinear_resample", """WITH s AS (SELECT l_returnflag layer_id, l_orderkey % 100 "row", l_partkey % 80 "column", sqrt(max(CASE WHEN l_discount > .02 THEN l_extendedprice END)) v FROM lineitem GROUP BY 1, 2, 3),
  t AS (SELECT f.layer_id, c_custkey target_id, (c_acctbal + 1000) / 140 - .5 u, (1000 - c_custkey % 1000) / 10.0::DOUBLE - .5 vv FROM customer, (SELECT DISTINCT l_returnflag layer_id FROM lineitem) f),
  n AS (SELECT layer_id, target_id, floor(vv)::BIGINT + dr "row", floor(u)::BIGINT + dc "column", (CASE dr WHEN 1 THEN vv - floor(vv) ELSE 1 - (vv - floor(vv)) END) * (CASE dc WHEN 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) w FROM t, range(2) a(dr), range(2) b(dc))
  SELECT n.layer_id, n.target_id, round(sum(w * v) FILTER (WHERE v IS NOT NULL AND w > 0) / nullif(sum(w) FILTER (WHERE v IS NOT NULL AND w > 0), 0), 3) "value", count(*) FILTER (WHERE v IS NOT NULL AND w > 0) neighbour_count
  FROM n LEFT JOIN s ON s.layer_id = n.layer_id AND s."row" = n."row" AND s."column" = n."column" GROUP BY ALL""")
 def bilinear_resample(spark, d):
-    s = table(spark, d, "lineitem").where("l_discount > 0.02").groupBy(F.col("l_returnflag").alias("layer_id"), (F.col("l_orderkey") % 100).alias("row"), (F.col("l_partkey") % 80).alias("column")).agg(F.sqrt(F.max("l_extendedprice")).alias("value"))
+    s = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("layer_id"), (F.col("l_orderkey") % 100).alias("row"), (F.col("l_partkey") % 80).alias("column")).agg(F.sqrt(F.max(F.when(F.col("l_discount") > 0.02, F.col("l_extendedprice")))).alias("value"))
     t = table(spark, d, "customer").select(F.col("c_custkey").alias("target_id"), "c_acctbal", (F.col("c_custkey") % 1000).alias("y"),
                                            F.explode(F.array(*[F.lit(x) for x in "ANR"])).alias("layer_id"))
     return rounded(geo.bilinear_resample(s, t, ["layer_id"], ["target_id"], "c_acctbal", "y", -1000.0, 1000.0, 140.0, 10.0), ["value"], 3)

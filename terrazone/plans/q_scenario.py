@@ -72,16 +72,16 @@ def sort_scenarios(spark, d):
     return sc.sort_scenarios(scenarios(spark, d), DIMS).select(*DIMS, "top_value")
 
 
-@query("period_line_up", f"""{SC}, k AS (SELECT DISTINCT crop, ssp, management FROM s WHERE period IN ('1995', '1999', '2001') AND top_value > 480000) SELECT k.crop, k.ssp, k.management, p.period, s.crop IS NOT NULL available, s.top_value, s.order_count
-  FROM k CROSS JOIN (VALUES ('1995'), ('1999'), ('2001'), ('2050')) p(period) LEFT JOIN s ON s.crop = k.crop AND s.ssp = k.ssp AND s.management = k.management AND s.period = p.period AND s.top_value > 480000""")
+@query("period_line_up", f"""{SC}, k AS (SELECT DISTINCT crop, ssp, management FROM s WHERE period IN ('1995', '1999', '2001')) SELECT k.crop, k.ssp, k.management, p.period, s.crop IS NOT NULL available, s.top_value, s.order_count
+  FROM k CROSS JOIN (VALUES ('1995'), ('1999'), ('2001'), ('2050')) p(period) LEFT JOIN s ON s.crop = k.crop AND s.ssp = k.ssp AND s.management = k.management AND s.period = p.period""")
 def period_line_up(spark, d):
-    s = scenarios(spark, d).where("top_value > 480000")
+    s = scenarios(spark, d)
     return sc.period_line_up(s, ["crop", "ssp", "management"], "period", ["1995", "1999", "2001", "2050"], ["top_value", "order_count"])
 
 
-@query("management_side_by_side", f"""{SC} SELECT crop, period, ssp, max(top_value) FILTER (WHERE management = 'HRLM') "HRLM", max(top_value) FILTER (WHERE management = 'HILM') "HILM" FROM s WHERE top_value > 450000 GROUP BY ALL""")
+@query("management_side_by_side", f"""{SC} SELECT crop, period, ssp, max(top_value) FILTER (WHERE management = 'HRLM') "HRLM", max(top_value) FILTER (WHERE management = 'HILM') "HILM" FROM s GROUP BY ALL""")
 def management_side_by_side(spark, d):
-    return sc.management_side_by_side(scenarios(spark, d).where("top_value > 450000"), ["crop", "period", "ssp"], "management", ["HRLM", "HILM"], "top_value")
+    return sc.management_side_by_side(scenarios(spark, d), ["crop", "period", "ssp"], "management", ["HRLM", "HILM"], "top_value")
 
 
 @query("follow_up_checks", f"""{SC}, b AS (SELECT crop, period, ssp, management, order_count % 4 <> 0 sv, order_count % 3 <> 0 yv, top_value / 5000 sco, CASE WHEN order_count % 2 = 0 THEN 100.0::DOUBLE ELSE top_value / 4999 END yco, order_count % 5 tied, CASE WHEN low_value < 5000 THEN low_value ELSE 0 END zero FROM s),

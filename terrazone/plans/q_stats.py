@@ -110,11 +110,11 @@ def pooled_domain(spark, d):
     return stats.pooled_domain(cells(spark, d).where("valid"), ["zone_id", "class_code"], "value")
 
 
-@query("observed_classes", """WITH o AS (SELECT DISTINCT l_returnflag layer_id, l_linenumber c FROM lineitem WHERE l_quantity > 49 AND l_discount > .09),
+@query("observed_classes", """WITH o AS (SELECT DISTINCT l_returnflag layer_id, CASE WHEN l_quantity > 49 AND l_discount > .09 THEN l_linenumber END c FROM lineitem),
   g AS (SELECT layer_id, class_code::INT class_code FROM (SELECT DISTINCT layer_id FROM o), range(1, 10) r(class_code))
   SELECT g.layer_id, g.class_code, o.c IS NOT NULL present FROM g LEFT JOIN o ON o.layer_id = g.layer_id AND o.c = g.class_code""")
 def observed_classes(spark, d):
-    c = cells(spark, d).where("weight > 49 AND discount > 0.09")
+    c = cells(spark, d).withColumn("class_code", F.expr("CASE WHEN weight > 49 AND discount > 0.09 THEN class_code END"))
     return stats.observed_classes(c, "layer_id", "class_code", list(range(1, 10)))
 
 

@@ -115,13 +115,13 @@ def observation_count(spark, d):
     return out.select("layer_id", F.date_format("period_start", "yyyy-MM").alias("period"), "observation_count")
 
 
-@query("point_month_value", """WITH o AS (SELECT event_type layer_id, date_trunc('day', ts) s, avg(value) v FROM events WHERE value > 1 GROUP BY 1, 2), g AS (SELECT layer_id, date_trunc('month', s) a, count(*) cov, sum(v) sm FROM o GROUP BY 1, 2),
+@query("point_month_value", """WITH o AS (SELECT event_type layer_id, date_trunc('day', ts) s, avg(CASE WHEN value > 1 THEN value END) v FROM events GROUP BY 1, 2), g AS (SELECT layer_id, date_trunc('month', s) a, count(v) cov, sum(v) sm FROM o GROUP BY 1, 2),
  q AS (SELECT *, date_diff('day', a, a + INTERVAL 1 MONTH)::DOUBLE nd FROM g)
  SELECT layer_id, strftime(a, '%Y-%m') period, CASE WHEN cov / nd >= .9 - 1e-10 THEN round(sm, 4) END "value", NULL::DOUBLE spatial_coverage_percentage, round(100 * cov / nd, 6) temporal_coverage_percentage,
   cov::DOUBLE covered_days_area_weighted, nd expected_days, CASE WHEN cov / nd < .9 - 1e-10 THEN 'INSUFFICIENT_COVERAGE' WHEN cov < nd THEN 'PARTIAL_TOTAL' ELSE 'OK' END quality_flag FROM q""")
 def point_month_value(spark, d):
     day = F.date_trunc("day", F.col("ts").cast("timestamp"))
-    daily = table(spark, d, "events").where("value > 1").groupBy(F.col("event_type").alias("layer_id"), day.alias("s")).agg(F.avg("value").alias("value"))
+    daily = table(spark, d, "events").groupBy(F.col("event_type").alias("layer_id"), day.alias("s")).agg(F.avg(F.when(F.col("value") > 1, F.col("value"))).alias("value"))
     obs = daily.withColumn("e", tc.interval_end("s", F.lit("daily")))
     out = ta.point_month_value(obs, ["layer_id"], "s", "e", "value", F.lit("integrate_rate"))
     out = out.withColumn("period", F.date_format("period_start", "yyyy-MM")).drop("period_start", "period_end")

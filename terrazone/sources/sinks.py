@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,10 +11,9 @@ from ..operators.tables import union_tables
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``; a local one only where it is unset (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
-    return f"{base}/tables-{uuid.uuid4().hex}"
+    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``; below the warehouse, which is shared too, where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -67,11 +65,10 @@ def append_table(spark: SparkSession, path: str, new: DataFrame, append: bool) -
 def split_sink(df: DataFrame, path: str, by: list[str], mode: str = "errorifexists") -> None:
     """One folder per combination of the partition columns.
 
-    Rows are spread by the partition columns and a hash bucket, so a dominant combination is written by
-    several tasks.
+    Rows are rebalanced by the partition columns: adaptive execution splits a dominant combination over as many writers
+    as its size asks for, and joins small ones.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(16))
-    df.withColumn("_b", spread).repartition(*by, "_b").drop("_b").write.mode(mode).partitionBy(*by).json(path)
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).json(path)
 
 
 def explode_references(df: DataFrame, references: str, name: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_simple_rings(spark):
 
 
 def test_cell_weights_golden_box(spark):
-    w = geo.cell_weights(vertices(spark, [(0, 0), (1.5, 0), (1.5, 1), (0, 1)]), ["zone_id"], 0.0, 1.0, 1.0, 1.0, geographic=False, densify=None).orderBy("column").collect()
+    w = geo.cell_weights(vertices(spark, [(0, 0), (1.5, 0), (1.5, 1), (0, 1)]), ["zone_id"], 0.0, 1.0, 1.0, 1.0, geographic=False).orderBy("column").collect()
     assert [(r["row"], r["column"], r["weight"] / r["zone_area"]) for r in w] == [(0, 0, pytest.approx(2 / 3)), (0, 1, pytest.approx(1 / 3))]
 
 
@@ -74,7 +74,7 @@ def test_cell_weights_equal_polygon_clipping(spark, seed):
         pts = [(5 + rng.uniform(1, 4) * math.cos(2 * math.pi * i / n), 5 + rng.uniform(1, 4) * math.sin(2 * math.pi * i / n)) for i in range(n)]
         rings.append((f"z{k}", 0, 0, pts if k % 2 else pts[::-1]))
     rings.append(("L", 0, 0, L_SHAPE))
-    got = {(r["zone_id"], r["row"], r["column"]): r["weight"] for r in geo.cell_weights(vertices(spark, rings), ["zone_id"], 0.0, 10.0, 0.75, 0.6, geographic=False, densify=None).collect()}
+    got = {(r["zone_id"], r["row"], r["column"]): r["weight"] for r in geo.cell_weights(vertices(spark, rings), ["zone_id"], 0.0, 10.0, 0.75, 0.6, geographic=False).collect()}
     for z, _, _, pts in rings:
         for row in range(-1, 18):
             for column in range(-1, 15):
@@ -84,7 +84,7 @@ def test_cell_weights_equal_polygon_clipping(spark, seed):
 
 def test_cell_weights_with_hole_and_parts(spark):
     rings = [("z", 0, 0, [(0, 0), (4, 0), (4, 4), (0, 4)]), ("z", 0, 1, [(1, 1), (3, 1), (3, 3), (1, 3)]), ("z", 1, 0, [(10, 0), (11, 0), (11, 1), (10, 1)])]
-    w = geo.cell_weights(vertices(spark, rings), ["zone_id"], 0.0, 4.0, 2.0, 2.0, geographic=False, densify=None).collect()
+    w = geo.cell_weights(vertices(spark, rings), ["zone_id"], 0.0, 4.0, 2.0, 2.0, geographic=False).collect()
     assert sum(r["weight"] for r in w) == pytest.approx(13) and w[0]["zone_area"] == pytest.approx(13)
     assert {(r["row"], r["column"]): round(r["weight"], 9) for r in w} == {(0, 0): 3, (0, 1): 3, (1, 0): 3, (1, 1): 3, (1, 5): 1}
 
@@ -110,8 +110,6 @@ def test_l_shape_intersection_containment_and_clip(spark):
     assert hit == {"inside", "around", "cross"}
     near = {r["feature_id"] for r in geo.features_near(f, z, ["feature_id"], ["zone_id"], 1.0, 0.5).collect()}
     assert near == {"inside", "around", "cross", "notch", "near"}
-    capped = geo.feature_intersects(f, z, ["feature_id"], ["zone_id"], 1.0, limit=2).collect()
-    assert [r["feature_id"] for r in capped] == ["around", "cross"]
     rows = [(n, f"name {n}", [(float(x), float(y)) for x, y in pts]) for n, _, _, pts in boxes]
     features = spark.createDataFrame(rows, "feature_id string, name string, ring array<struct<x:double,y:double>>")
     area = {r["feature_id"]: r["a"] for r in geo.feature_clip(features, z, ["zone_id"], 1.0).groupBy("feature_id").agg(F.sum("piece_area").alias("a")).collect()}
