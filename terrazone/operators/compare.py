@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.scalars import col, ratio
+from ..functions.scalars import col, join_null_safe, ratio
 from .consensus import numeric_metrics, with_consensus, with_numeric
 from .stats import weighted_summary
 
@@ -42,6 +42,21 @@ def pairs_historical(layers: DataFrame, historical: DataFrame) -> DataFrame:
         F.lit("historical_future").alias("comparison_kind"), "layer_a", "layer_b", *PRODUCT_DIMS)
 
 
+def for_every(result: DataFrame, keys: list[str], every: DataFrame | None, areas: list[str] = (), metrics: list[str] = ()) -> DataFrame:
+    """One row per comparison of ``every`` (and per metric): those without a shared valid cell have no area and NO_COMMON_VALID_SUPPORT.
+
+    Without ``every`` the result has the comparisons that share a cell, and no status.
+    """
+    if every is None:
+        return result
+    base = every.select(*keys).distinct()
+    if metrics:
+        base, keys = base.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics]))), [*keys, "metric"]
+    out = join_null_safe(base, result.withColumn("_found", F.lit(True)), keys, "left")
+    status = F.when(F.col("_found").isNull(), "NO_COMMON_VALID_SUPPORT").otherwise("OK")
+    return out.withColumns({**{a: F.coalesce(a, F.lit(0.0)) for a in areas}, "support_status": status}).drop("_found")
+
+
 def pair_units(pairs: DataFrame, cells: DataFrame, categorical: bool, row: str = "row", column: str = "column",
                value: str = "value", area: str = "area") -> DataFrame:
     """Valid cells shared by both layers of every pair: one job for all pairs.
@@ -65,30 +80,31 @@ def transition_matrix(units: DataFrame, keys: list[str], area: str = "area") ->
     return units.groupBy(*keys, "class_a", "class_b").agg(F.sum(area).alias("area"))
 
 
-def transition_totals(units: DataFrame, keys: list[str], area: str = "area") -> DataFrame:
-    """Unchanged area and agreement share per comparison."""
+def transition_totals(units: DataFrame, keys: list[str], area: str = "area", every: DataFrame | None = None) -> DataFrame:
+    """Unchanged area and agreement share per comparison; one row for each of ``every`` (see ``for_every``)."""
     agg = units.groupBy(*keys).agg(F.sum(area).alias("common_area"),
                                    F.coalesce(F.sum(F.when(F.col("class_match"), F.col(area))), F.lit(0.0)).alias("unchanged_area"))
-    return agg.withColumn("agreement_percentage", 100 * ratio("unchanged_area", "common_area"))
+    return for_every(agg.withColumn("agreement_percentage", 100 * ratio("unchanged_area", "common_area")), keys, every, ["common_area", "unchanged_area"])
 
 
 DIFFERENCE_METRICS = ["value_a", "value_b", "absolute_difference", "percentage_difference"]
 
 
-def difference_summary(units: DataFrame, keys: list[str], area: str = "area") -> DataFrame:
+def difference_summary(units: DataFrame, keys: list[str], area: str = "area", every: DataFrame | None = None) -> DataFrame:
     """Weighted summaries of both sides, the difference and the percentage change, as rows per metric."""
     long = units.select(*keys, area, *DIFFERENCE_METRICS).unpivot([*keys, area], DIFFERENCE_METRICS, "metric", "value")
-    return weighted_summary(long, [*keys, "metric"], "value", area)
+    return for_every(weighted_summary(long, [*keys, "metric"], "value", area), keys, every, metrics=DIFFERENCE_METRICS)
 
 
-def difference_totals(units: DataFrame, keys: list[str], area: str = "area") -> DataFrame:
+def difference_totals(units: DataFrame, keys: list[str], area: str = "area", every: DataFrame | None = None) -> DataFrame:
     """Area on which the percentage is defined and the percentage change of the two zone means."""
     w = F.col(area)
     agg = units.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col("value_a") != 0, w)), F.lit(0.0)).alias("percentage_defined_area"),
         (F.sum(w * F.col("value_a")) / F.sum(w)).alias("_ma"), (F.sum(w * F.col("value_b")) / F.sum(w)).alias("_mb"))
-    return agg.select(*keys, "percentage_defined_area",
-                      (100 * ratio(F.col("_mb") - F.col("_ma"), "_ma")).alias("percentage_change_of_means"))
+    out = agg.select(*keys, "percentage_defined_area",
+                     (100 * ratio(F.col("_mb") - F.col("_ma"), "_ma")).alias("percentage_change_of_means"))
+    return for_every(out, keys, every, ["percentage_defined_area"])
 
 
 def group_pairs(groups: DataFrame) -> DataFrame:
@@ -124,11 +140,11 @@ def group_metric_units(pair_units: DataFrame, n: int) -> DataFrame:
     return out.withColumns({m: F.col(m.replace("_difference", "_b")) - F.col(m.replace("_difference", "_a")) for m in [*GROUP_DIFFERENCES, "model_median_difference"]})
 
 
-def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area: str = "area") -> DataFrame:
+def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", every: DataFrame | None = None) -> DataFrame:
     """Weighted summary of b - a for five model metrics on the ten-layer support."""
     long = (group_metric_units(pair_units, n).select(*keys, area, *GROUP_DIFFERENCES)
             .unpivot([*keys, area], GROUP_DIFFERENCES, "metric", "value"))
-    return weighted_summary(long, [*keys, "metric"], "value", area)
+    return for_every(weighted_summary(long, [*keys, "metric"], "value", area), keys, every, metrics=GROUP_DIFFERENCES)
 
 
 def group_modal_units(pair_units: DataFrame, n: int) -> DataFrame:
@@ -140,7 +156,7 @@ def group_modal_units(pair_units: DataFrame, n: int) -> DataFrame:
     return out.withColumn("modal_comparison_status", F.when(defined, "DEFINED").otherwise("EXCLUDED_TIED_MODE"))
 
 
-def group_modal_comparison(pair_units: DataFrame, keys: list[str], n: int, area: str = "area") -> DataFrame:
+def group_modal_comparison(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", every: DataFrame | None = None) -> DataFrame:
     """Comparable and tied area plus unanimity and strong-agreement area per side."""
     w = F.col(area)
     part = lambda cond: F.coalesce(F.sum(F.when(cond, w)), F.lit(0.0))
@@ -148,7 +164,8 @@ def group_modal_comparison(pair_units: DataFrame, keys: list[str], n: int, area:
     agg = u.groupBy(*keys).agg(
         F.sum(w).alias("common_area"), part(F.col("modal_comparison_status") == "DEFINED").alias("modal_comparable_area"),
         *[part(F.col(f"{m}_{s}") == 1).alias(f"{m}_{s}_area") for m in ("unanimity", "strong_agreement") for s in ("a", "b")])
-    return agg.withColumn("tied_mode_excluded_area", F.col("common_area") - F.col("modal_comparable_area"))
+    out = agg.withColumn("tied_mode_excluded_area", F.col("common_area") - F.col("modal_comparable_area"))
+    return for_every(out, keys, every, [c for c in out.columns if c.endswith("_area")])
 
 
 def group_transitions(pair_units: DataFrame, keys: list[str], n: int, area: str = "area") -> DataFrame:
@@ -172,12 +189,13 @@ def ensemble_units(units: DataFrame, ensemble: DataFrame, keys: list[str], n: in
 
 
 def ensemble_diagnostic(units: DataFrame, ensemble: DataFrame, group: list[str], keys: list[str], n: int, categorical: bool,
-                        area: str = "area") -> DataFrame:
+                        area: str = "area", every: DataFrame | None = None) -> DataFrame:
     """Match share with the unique mode (ties excluded), or the weighted difference from the model mean."""
     u = ensemble_units(units, ensemble, keys, n, categorical)
     if not categorical:
-        return weighted_summary(u, group, "ensemble_minus_derived_mean", area)
+        return for_every(weighted_summary(u, group, "ensemble_minus_derived_mean", area), group, every)
     part = lambda cond: F.coalesce(F.sum(F.when(cond, col(area))), F.lit(0.0))
     agg = u.groupBy(*group).agg(part(~F.col("tied_mode")).alias("unique_mode_comparable_area"), part(F.col("tied_mode")).alias("tied_mode_excluded_area"),
                                 part(F.col("match_unique_mode")).alias("matching_area"))
-    return agg.withColumn("matching_percentage", 100 * ratio("matching_area", "unique_mode_comparable_area"))
+    out = agg.withColumn("matching_percentage", 100 * ratio("matching_area", "unique_mode_comparable_area"))
+    return for_every(out, group, every, [c for c in out.columns if c.endswith("_area")])

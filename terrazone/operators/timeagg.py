@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.scalars import col, finite, ratio
-from ..functions.timecols import days_between, interval_end, month_start, next_month, overlap_days
+from ..functions.scalars import col, finite, join_null_safe, ratio
+from ..functions.timecols import days_between, expected_count, interval_end, month_start, next_month, overlap_days
 
 SERIES_KEY = ["layer_id", "variable", "interval_start", "interval_end", "spatial_statistic",
               "temporal_aggregation", "depth", "management_code", "climate_scenario"]   # fixed key of a series row
@@ -85,6 +85,24 @@ def observation_counts(obs: DataFrame, keys: list[str], start: str, end: str, va
     return seen.groupBy(*keys, "period_start", "period_end").agg(F.count("*").alias("observation_count"))
 
 
+def every_month(months: DataFrame, keys: list[str], spans: DataFrame, start: str, end: str, counts: DataFrame | None = None, cadence=None) -> DataFrame:
+    """Monthly rows for all months of each key's span; a month without observations is INSUFFICIENT_COVERAGE with coverage 0.
+
+    ``counts`` (from ``observation_counts``) and ``cadence`` add observation_count and expected_observation_count.
+    """
+    periods = [*keys, "period_start", "period_end"]
+    calendar = period_calendar(spans.select(*keys, F.col(start).alias("_from"), F.col(end).alias("_to")), "_from", "_to").select(*periods)
+    out = join_null_safe(calendar, months, periods, "left")
+    share = lambda c: F.when(F.col("expected_days").isNull(), F.lit(0.0)).otherwise(F.col(c))
+    out = out.withColumns({**{c: share(c) for c in ("spatial_coverage_percentage", "temporal_coverage_percentage", "covered_days_area_weighted")},
+                           "quality_flag": F.coalesce("quality_flag", F.lit("INSUFFICIENT_COVERAGE"))})
+    out = out.withColumn("expected_days", days_between("period_start", "period_end"))
+    if counts is not None:
+        out = join_null_safe(out, counts, periods, "left").withColumns({
+            "observation_count": F.coalesce("observation_count", F.lit(0)), "expected_observation_count": expected_count("period_start", "period_end", cadence)})
+    return out
+
+
 def zone_month_value(cells: DataFrame, keys: list[str], weight: str, zone_area, method, minimum_spatial: float = 0.9) -> DataFrame:
     """Area-weighted mean of accepted cells per period with coverage shares and the quality flag.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..operators import audit as au, consensus as cs
-from ..sources.readers import file_manifest as files
+from ..sources.readers import content_manifest
 from .q_consensus import CLASSES, COUNTS, MEMBERS, MODELS, NUMERIC, members, units as five_units
 from .registry import query, rnd, rounded, table
 
@@ -123,9 +123,10 @@ def verify_manifest(spark, d):
     return au.verify_manifest(files_.where(k % 10 != 1), files_.where(k % 10 != 0).withColumn("sha256", F.when(k % 10 == 2, F.sha2(F.col("sha256"), 256)).otherwise(F.col("sha256"))))
 
 
-@query("file_manifest")
+@query("file_manifest", """SELECT 'documents/' || doc_id || '.txt' path, strlen(coalesce(text, ''))::BIGINT size, sha256(coalesce(text, '')) sha256, 'input' origin, 'OK' status FROM documents""")
 def file_manifest(spark, d):
-    return files(spark, d, "*.parquet", "input")
+    doc = table(spark, d, "documents")
+    return content_manifest(doc, F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".txt")), "text", "input")
 
 
 @query("pending_work", """SELECT p_partkey layer_id, p_brand, p_size FROM part WHERE p_size % 4 = 0 OR p_partkey % 10 = 3""")

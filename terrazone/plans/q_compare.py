@@ -95,25 +95,34 @@ def transition_matrix(spark, d):
     return cp.transition_matrix(cp.pair_units(all_pairs(cells), cells, True, value="class_code"), KEYS)
 
 
-@query("transition_totals", f"""{UNITS} SELECT comparison_kind, layer_a, layer_b, sum(area) common_area, sum(CASE WHEN ka = kb THEN area ELSE 0 END) unchanged_area,
-  round(100 * sum(CASE WHEN ka = kb THEN area ELSE 0 END) / sum(area), 6) agreement_percentage FROM pu GROUP BY ALL""")
+@query("transition_totals", f"""{UNITS}, t AS (SELECT comparison_kind, layer_a, layer_b, sum(area) c, sum(CASE WHEN ka = kb THEN area ELSE 0 END) u FROM pu GROUP BY ALL)
+  SELECT p.comparison_kind, p.layer_a, p.layer_b, coalesce(c, 0)::DOUBLE common_area, coalesce(u, 0)::DOUBLE unchanged_area, round(100 * u / c, 6) agreement_percentage, CASE WHEN c IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status
+  FROM (SELECT comparison_kind, layer_a, layer_b FROM pm UNION ALL SELECT comparison_kind, layer_a, layer_b FROM ph) p LEFT JOIN t USING (comparison_kind, layer_a, layer_b)""")
 def transition_totals(spark, d):
     cells = layer_cells(spark, d)
-    return rounded(cp.transition_totals(cp.pair_units(all_pairs(cells), cells, True, value="class_code"), KEYS), ["agreement_percentage"], 6)
+    pairs = all_pairs(cells)
+    return rounded(cp.transition_totals(cp.pair_units(pairs, cells, True, value="class_code"), KEYS, every=pairs), ["agreement_percentage"], 6)
 
 
 @query("difference_summary", f"""{UNITS}, z AS (SELECT comparison_kind, layer_a, layer_b, sqrt(area) area, unnest(['value_a', 'value_b', 'absolute_difference', 'percentage_difference']) metric,
-  unnest([va, vb, vb - va, 100 * (vb - va) / va]) v FROM pu) SELECT {ROUND_ALL} FROM ({summary_sql('z', 'comparison_kind, layer_a, layer_b, metric', 'v', 'area')})""")
+  unnest([va, vb, vb - va, 100 * (vb - va) / va]) v FROM pu),
+ r AS (SELECT {ROUND_ALL} FROM ({summary_sql('z', 'comparison_kind, layer_a, layer_b, metric', 'v', 'area')}))
+ SELECT r.* REPLACE (p.comparison_kind AS comparison_kind, p.layer_a AS layer_a, p.layer_b AS layer_b, p.metric AS metric), CASE WHEN r.metric IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status
+ FROM (SELECT comparison_kind, layer_a, layer_b, unnest(['value_a', 'value_b', 'absolute_difference', 'percentage_difference']) metric FROM (SELECT comparison_kind, layer_a, layer_b FROM pm UNION ALL SELECT comparison_kind, layer_a, layer_b FROM ph)) p
+ LEFT JOIN r ON r.comparison_kind = p.comparison_kind AND r.layer_a = p.layer_a AND r.layer_b = p.layer_b AND r.metric = p.metric""")
 def difference_summary(spark, d):
     cells = layer_cells(spark, d).withColumn("area", F.sqrt("area"))   # weights that avoid exact rounding ties
-    return rounded(cp.difference_summary(cp.pair_units(all_pairs(cells), cells, False), KEYS), SUMMARY)
+    pairs = all_pairs(cells)
+    return rounded(cp.difference_summary(cp.pair_units(pairs, cells, False), KEYS, every=pairs), SUMMARY)
 
 
 @query("difference_totals", f"""{UNITS}, z AS (SELECT comparison_kind, layer_a, layer_b, sum(area) w, sum(area * va) / sum(area) ma, sum(area * vb) / sum(area) mb FROM pu GROUP BY ALL)
-  SELECT comparison_kind, layer_a, layer_b, w percentage_defined_area, round(100 * (mb - ma) / ma, 6) percentage_change_of_means FROM z""")
+  SELECT p.comparison_kind, p.layer_a, p.layer_b, coalesce(w, 0)::DOUBLE percentage_defined_area, round(100 * (mb - ma) / ma, 6) percentage_change_of_means, CASE WHEN w IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status
+  FROM (SELECT comparison_kind, layer_a, layer_b FROM pm UNION ALL SELECT comparison_kind, layer_a, layer_b FROM ph) p LEFT JOIN z USING (comparison_kind, layer_a, layer_b)""")
 def difference_totals(spark, d):
     cells = layer_cells(spark, d)
-    return rounded(cp.difference_totals(cp.pair_units(all_pairs(cells), cells, False), KEYS), ["percentage_change_of_means"], 6)
+    pairs = all_pairs(cells)
+    return rounded(cp.difference_totals(cp.pair_units(pairs, cells, False), KEYS, every=pairs), ["percentage_change_of_means"], 6)
 
 
 # Four individual models form a group here; each group's own support comes from support_aligned.
@@ -133,24 +142,31 @@ def group_units(spark, d, value="value"):
     return u.withColumn("group_id", group_key("GRP", *dims))
 
 
+def every_group_pair(u):
+    return cp.group_pairs(u.select("group_id", "map_code", "management_code", "period_code", "ssp_code").distinct())
+
+
 def group_pair_units(spark, d, value="value"):
     u = group_units(spark, d, value)
-    pairs = cp.group_pairs(u.select("group_id", "map_code", "management_code", "period_code", "ssp_code").distinct())
-    return cp.group_pair_units(pairs, u)
+    return cp.group_pair_units(every_group_pair(u), u)
 
 
 @query("group_pairs", f"{GROUPS} SELECT * FROM gp")
 def group_pairs(spark, d):
-    u = group_units(spark, d)
-    return cp.group_pairs(u.select("group_id", "map_code", "management_code", "period_code", "ssp_code").distinct())
+    return every_group_pair(group_units(spark, d))
 
 
 @query("group_metric_difference", f"""{GROUPS}, n AS (SELECT comparison_kind, group_a, group_b, sqrt(area) area, list_avg(va) ma, list_avg(vb) mb, list_stddev_pop(va) sa, list_stddev_pop(vb) sb,
    list_aggregate(va, 'quantile_cont', .75) - list_aggregate(va, 'quantile_cont', .25) ia, list_aggregate(vb, 'quantile_cont', .75) - list_aggregate(vb, 'quantile_cont', .25) ib, list_max(va) - list_min(va) ra, list_max(vb) - list_min(vb) rb FROM gu),
  z AS (SELECT comparison_kind, group_a, group_b, area, unnest(['model_mean_difference', 'model_standard_deviation_difference', 'model_iqr_difference', 'model_range_difference', 'model_coefficient_of_variation_difference']) metric,
-   unnest([mb - ma, sb - sa, ib - ia, rb - ra, sb / mb - sa / ma]) v FROM n) SELECT {ROUND_ALL} FROM ({summary_sql('z', 'comparison_kind, group_a, group_b, metric', 'v', 'area')})""")
+   unnest([mb - ma, sb - sa, ib - ia, rb - ra, sb / mb - sa / ma]) v FROM n),
+ t AS (SELECT {ROUND_ALL} FROM ({summary_sql('z', 'comparison_kind, group_a, group_b, metric', 'v', 'area')}))
+ SELECT t.* REPLACE (p.comparison_kind AS comparison_kind, p.group_a AS group_a, p.group_b AS group_b, p.metric AS metric), CASE WHEN t.metric IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status
+ FROM (SELECT comparison_kind, group_a, group_b, unnest(['model_mean_difference', 'model_standard_deviation_difference', 'model_iqr_difference', 'model_range_difference', 'model_coefficient_of_variation_difference']) metric FROM gp) p
+ LEFT JOIN t ON t.comparison_kind = p.comparison_kind AND t.group_a = p.group_a AND t.group_b = p.group_b AND t.metric = p.metric""")
 def group_metric_difference(spark, d):
-    return rounded(cp.group_metric_difference(group_pair_units(spark, d).withColumn("area", F.sqrt("area")), GKEYS, 4), SUMMARY)
+    every = every_group_pair(group_units(spark, d))
+    return rounded(cp.group_metric_difference(group_pair_units(spark, d).withColumn("area", F.sqrt("area")), GKEYS, 4, every=every), SUMMARY)
 
 
 MODAL = f"""{GROUPS}, cnt AS (SELECT comparison_kind, group_a, group_b, "row", "column", area, side, k, count(*) n FROM (SELECT comparison_kind, group_a, group_b, "row", "column", area, 'a' side, unnest(ka) k FROM gu
@@ -160,11 +176,15 @@ MODAL = f"""{GROUPS}, cnt AS (SELECT comparison_kind, group_a, group_b, "row", "
  x AS (SELECT a.comparison_kind, a.group_a, a.group_b, a.area, a.modal ma, b.modal mb, a.m ca, b.m cb, a.kinds na, b.kinds nb FROM sd a JOIN sd b USING (comparison_kind, group_a, group_b, "row", "column") WHERE a.side = 'a' AND b.side = 'b')"""
 
 
-@query("group_modal_comparison", f"""{MODAL} SELECT comparison_kind, group_a, group_b, sum(area) common_area, sum(CASE WHEN ma IS NOT NULL AND mb IS NOT NULL THEN area ELSE 0 END) modal_comparable_area,
+@query("group_modal_comparison", f"""{MODAL}, t AS (SELECT comparison_kind, group_a, group_b, sum(area) common_area, sum(CASE WHEN ma IS NOT NULL AND mb IS NOT NULL THEN area ELSE 0 END) modal_comparable_area,
   sum(CASE WHEN ca = 4 THEN area ELSE 0 END) unanimity_a_area, sum(CASE WHEN cb = 4 THEN area ELSE 0 END) unanimity_b_area, sum(CASE WHEN ca >= 3 THEN area ELSE 0 END) strong_agreement_a_area,
-  sum(CASE WHEN cb >= 3 THEN area ELSE 0 END) strong_agreement_b_area, sum(CASE WHEN ma IS NULL OR mb IS NULL THEN area ELSE 0 END) tied_mode_excluded_area FROM x GROUP BY ALL""")
+  sum(CASE WHEN cb >= 3 THEN area ELSE 0 END) strong_agreement_b_area, sum(CASE WHEN ma IS NULL OR mb IS NULL THEN area ELSE 0 END) tied_mode_excluded_area FROM x GROUP BY ALL)
+ SELECT p.comparison_kind, p.group_a, p.group_b, coalesce(common_area, 0)::DOUBLE common_area, coalesce(modal_comparable_area, 0)::DOUBLE modal_comparable_area, coalesce(unanimity_a_area, 0)::DOUBLE unanimity_a_area, coalesce(unanimity_b_area, 0)::DOUBLE unanimity_b_area,
+  coalesce(strong_agreement_a_area, 0)::DOUBLE strong_agreement_a_area, coalesce(strong_agreement_b_area, 0)::DOUBLE strong_agreement_b_area, coalesce(tied_mode_excluded_area, 0)::DOUBLE tied_mode_excluded_area, CASE WHEN common_area IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status
+ FROM (SELECT comparison_kind, group_a, group_b FROM gp) p LEFT JOIN t USING (comparison_kind, group_a, group_b)""")
 def group_modal_comparison(spark, d):
-    return cp.group_modal_comparison(group_pair_units(spark, d, "class_code"), GKEYS, 4)
+    every = every_group_pair(group_units(spark, d, "class_code"))
+    return cp.group_modal_comparison(group_pair_units(spark, d, "class_code"), GKEYS, 4, every=every)
 
 
 @query("group_transitions", f"""{MODAL} SELECT comparison_kind, group_a, group_b, 'modal' kind, ma::INT from_code, mb::INT to_code, sum(area) area FROM x WHERE ma IS NOT NULL AND mb IS NOT NULL GROUP BY ALL
@@ -177,19 +197,23 @@ ENS = ["map_code", "period_code", "ssp_code", "management_code", "row", "column"
 
 
 @query("ensemble_diagnostic", f"""{GROUPS}, y AS (SELECT s.group_id, sqrt(s.area) area, e.v - list_avg(s.vs) v FROM s JOIN lc e ON e.climate_model_code = 'ENSEMBLE' AND e.map_code = s.map_code AND e.period_code = s.period_code
-   AND e.ssp_code = s.ssp_code AND e.management_code = s.management_code AND e."row" = s."row" AND e."column" = s."column") SELECT {ROUND_ALL} FROM ({summary_sql('y', 'group_id', 'v', 'area')})""")
+   AND e.ssp_code = s.ssp_code AND e.management_code = s.management_code AND e."row" = s."row" AND e."column" = s."column"), r AS (SELECT {ROUND_ALL} FROM ({summary_sql('y', 'group_id', 'v', 'area')}))
+ SELECT r.* REPLACE (g.group_id AS group_id), CASE WHEN r.group_id IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status FROM gr g LEFT JOIN r ON r.group_id = g.group_id""")
 def ensemble_diagnostic(spark, d):
     e = layer_cells(spark, d).where("climate_model_code = 'ENSEMBLE'").select(*ENS, F.col("value").alias("ensemble_value"))
-    return rounded(cp.ensemble_diagnostic(group_units(spark, d).withColumn("area", F.sqrt("area")), e, ["group_id"], ENS, 4, categorical=False), SUMMARY)
+    u = group_units(spark, d).withColumn("area", F.sqrt("area"))
+    return rounded(cp.ensemble_diagnostic(u, e, ["group_id"], ENS, 4, categorical=False, every=u), SUMMARY)
 
 
 @query("ensemble_class_match", f"""{GROUPS}, q AS (SELECT s.group_id, s.area, s."row", s."column", unnest(s.ks) k FROM s), c AS (SELECT group_id, "row", "column", area, k, count(*) n FROM q GROUP BY ALL),
  t AS (SELECT *, max(n) OVER (PARTITION BY group_id, "row", "column") m FROM c), o AS (SELECT group_id, "row", "column", area, CASE WHEN count(*) FILTER (WHERE n = m) = 1 THEN min(k) FILTER (WHERE n = m) END modal FROM t GROUP BY ALL),
  w AS (SELECT o.group_id, o.area, o.modal, e.k FROM o JOIN gr g USING (group_id) JOIN lc e ON e.climate_model_code = 'ENSEMBLE' AND e.map_code = g.map_code AND e.period_code = g.period_code AND e.ssp_code = g.ssp_code
    AND e.management_code = g.management_code AND e."row" = o."row" AND e."column" = o."column")
- SELECT group_id, sum(CASE WHEN modal IS NOT NULL THEN area ELSE 0 END) unique_mode_comparable_area, sum(CASE WHEN modal IS NULL THEN area ELSE 0 END) tied_mode_excluded_area, sum(CASE WHEN modal = k THEN area ELSE 0 END) matching_area,
-  round(100 * sum(CASE WHEN modal = k THEN area ELSE 0 END) / nullif(sum(CASE WHEN modal IS NOT NULL THEN area ELSE 0 END), 0), 6) matching_percentage FROM w GROUP BY ALL""")
+, f AS (SELECT group_id, sum(CASE WHEN modal IS NOT NULL THEN area ELSE 0 END) u, sum(CASE WHEN modal IS NULL THEN area ELSE 0 END) x, sum(CASE WHEN modal = k THEN area ELSE 0 END) m FROM w GROUP BY ALL)
+ SELECT g.group_id, coalesce(u, 0)::DOUBLE unique_mode_comparable_area, coalesce(x, 0)::DOUBLE tied_mode_excluded_area, coalesce(m, 0)::DOUBLE matching_area, round(100 * m / nullif(u, 0), 6) matching_percentage, CASE WHEN f.group_id IS NULL THEN 'NO_COMMON_VALID_SUPPORT' ELSE 'OK' END support_status
+ FROM gr g LEFT JOIN f ON f.group_id = g.group_id""")
 def ensemble_class_match(spark, d):
     e = layer_cells(spark, d).where("climate_model_code = 'ENSEMBLE'").select(*ENS, F.col("class_code").alias("ensemble_value"))
-    out = cp.ensemble_diagnostic(group_units(spark, d, "class_code"), e, ["group_id"], ENS, 4, categorical=True)
+    u = group_units(spark, d, "class_code")
+    out = cp.ensemble_diagnostic(u, e, ["group_id"], ENS, 4, categorical=True, every=u)
     return rounded(out, ["matching_percentage"], 6)

@@ -23,8 +23,10 @@ def scan_csv_evidence(spark, d):
 def scan_json_records(spark, d):
     path = sk.work_dir(spark)
     c = table(spark, d, "conversations")
-    sk.sink_json(c, path)
-    return rd.scan_json_lines(spark, path, c.schema).select("conv_id", "turn", "role", F.md5("text").alias("text_hash"))
+    # one file per list of the records of 200 conversations
+    lists = c.groupBy(F.floor(F.col("conv_id") / 200).alias("part")).agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
+    lists.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return rd.scan_json_records(spark, path, c.schema).select("conv_id", "turn", "role", F.md5("text").alias("text_hash"))
 
 
 @query("typed_decode", """WITH t AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'True' WHEN 2 THEN 'False' WHEN 3 THEN props ELSE ' ' || event_type || ' ' END raw, props FROM events)

@@ -98,13 +98,22 @@ def completeness_gate(spark, d):
 
 @query("zone_month_value", f"""{AGG}, z AS (SELECT layer_id, a, b, any_value(method) method, coalesce(sum(w) FILTER (WHERE comp >= .25 AND cov > 0), 0) acc, sum(w * val) FILTER (WHERE comp >= .25 AND cov > 0) wx,
    sum(w * comp) wc, coalesce(bool_or(comp >= .25 AND cov > 0 AND comp < 1 - 1e-10), false) part FROM h GROUP BY layer_id, a, b),
- q AS (SELECT *, date_diff('day', a, b)::DOUBLE nd, CASE WHEN acc / 800 >= .02 THEN wx / nullif(acc, 0) END val FROM z)
- SELECT layer_id, strftime(a, '%Y-%m') period, round(val, 2) "value", round(100 * acc / 800, 6) spatial_coverage_percentage, round(100 * wc / 800, 6) temporal_coverage_percentage,
-  round(wc / 800 * nd, 6) covered_days_area_weighted, nd expected_days, CASE WHEN val IS NULL THEN 'INSUFFICIENT_COVERAGE' WHEN part AND method <> 'duration_mean' THEN 'PARTIAL_TOTAL' WHEN part THEN 'PARTIAL_PERIOD' ELSE 'OK' END quality_flag FROM q""")
+ q AS (SELECT *, date_diff('day', a, b)::DOUBLE nd, CASE WHEN acc / 800 >= .02 THEN wx / nullif(acc, 0) END val FROM z),
+ r AS (SELECT layer_id, strftime(a, '%Y-%m') period, round(val, 2) "value", round(100 * acc / 800, 6) spatial_coverage_percentage, round(100 * wc / 800, 6) temporal_coverage_percentage,
+  round(wc / 800 * nd, 6) covered_days_area_weighted, nd expected_days, CASE WHEN val IS NULL THEN 'INSUFFICIENT_COVERAGE' WHEN part AND method <> 'duration_mean' THEN 'PARTIAL_TOTAL' WHEN part THEN 'PARTIAL_PERIOD' ELSE 'OK' END quality_flag FROM q),
+ n AS (SELECT layer_id, a, count(DISTINCT s) c FROM x WHERE v IS NOT NULL GROUP BY ALL)
+ SELECT l.layer_id, strftime(m.a, '%Y-%m') period, r."value", coalesce(r.spatial_coverage_percentage, 0) spatial_coverage_percentage, coalesce(r.temporal_coverage_percentage, 0) temporal_coverage_percentage,
+  coalesce(r.covered_days_area_weighted, 0) covered_days_area_weighted, date_diff('day', m.a, m.b)::DOUBLE expected_days, coalesce(r.quality_flag, 'INSUFFICIENT_COVERAGE') quality_flag,
+  coalesce(n.c, 0) observation_count, date_diff('day', m.a, m.b) expected_observation_count
+ FROM (SELECT DISTINCT layer_id FROM o) l CROSS JOIN (SELECT a, a + INTERVAL 1 MONTH b FROM generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2003-12-01', INTERVAL 1 MONTH) g(a)) m
+ LEFT JOIN r ON r.layer_id = l.layer_id AND r.period = strftime(m.a, '%Y-%m') LEFT JOIN n ON n.layer_id = l.layer_id AND n.a = m.a""")
 def zone_month_value(spark, d):
     m = ta.completeness_gate(monthly(spark, d), 0.25, "weight")
     method = F.when(F.col("layer_id") == "F", "sum_amount").when(F.col("layer_id") == "O", "integrate_rate").otherwise("duration_mean")
     out = ta.zone_month_value(m.withColumn("method", method), ["layer_id"], "weight", F.lit(800.0), "method", 0.02)
+    seen = ta.observation_counts(observations(spark, d), ["layer_id"], "interval_start", "interval_end", "value", "weight")
+    spans = observations(spark, d).select("layer_id").distinct().withColumns({"first": F.lit("1994-01-01").cast("timestamp"), "last": F.lit("2004-01-01").cast("timestamp")})
+    out = ta.every_month(out, ["layer_id"], spans, "first", "last", seen, F.lit("daily"))
     out = out.withColumn("period", F.date_format("period_start", "yyyy-MM")).drop("period_start", "period_end")
     return rounded(rounded(out, ["value"], 2), ["spatial_coverage_percentage", "temporal_coverage_percentage", "covered_days_area_weighted"], 6)
 
@@ -117,13 +126,21 @@ def observation_count(spark, d):
 
 @query("point_month_value", """WITH o AS (SELECT event_type layer_id, date_trunc('day', ts) s, avg(CASE WHEN value > 1 THEN value END) v FROM events GROUP BY 1, 2), g AS (SELECT layer_id, date_trunc('month', s) a, count(v) cov, sum(v) sm FROM o GROUP BY 1, 2),
  q AS (SELECT *, date_diff('day', a, a + INTERVAL 1 MONTH)::DOUBLE nd FROM g)
- SELECT layer_id, strftime(a, '%Y-%m') period, CASE WHEN cov / nd >= .9 - 1e-10 THEN round(sm, 4) END "value", NULL::DOUBLE spatial_coverage_percentage, round(100 * cov / nd, 6) temporal_coverage_percentage,
-  cov::DOUBLE covered_days_area_weighted, nd expected_days, CASE WHEN cov / nd < .9 - 1e-10 THEN 'INSUFFICIENT_COVERAGE' WHEN cov < nd THEN 'PARTIAL_TOTAL' ELSE 'OK' END quality_flag FROM q""")
+ , r AS (SELECT layer_id, a, CASE WHEN cov / nd >= .9 - 1e-10 THEN round(sm, 4) END "value", NULL::DOUBLE spatial_coverage_percentage, round(100 * cov / nd, 6) temporal_coverage_percentage,
+  cov::DOUBLE covered_days_area_weighted, nd expected_days, CASE WHEN cov / nd < .9 - 1e-10 THEN 'INSUFFICIENT_COVERAGE' WHEN cov < nd THEN 'PARTIAL_TOTAL' ELSE 'OK' END quality_flag FROM q)
+ SELECT l.layer_id, strftime(m.a, '%Y-%m') period, r."value", CASE WHEN r.a IS NULL THEN 0::DOUBLE END spatial_coverage_percentage, coalesce(r.temporal_coverage_percentage, 0) temporal_coverage_percentage,
+  coalesce(r.covered_days_area_weighted, 0) covered_days_area_weighted, date_diff('day', m.a, m.a + INTERVAL 1 MONTH)::DOUBLE expected_days, coalesce(r.quality_flag, 'INSUFFICIENT_COVERAGE') quality_flag
+ FROM (SELECT DISTINCT layer_id FROM o) l CROSS JOIN (SELECT a FROM generate_series((SELECT date_trunc('month', min(ts)) - INTERVAL 2 MONTH FROM events), (SELECT date_trunc('month', max(ts)) + INTERVAL 1 MONTH FROM events), INTERVAL 1 MONTH) g(a)) m
+ LEFT JOIN r ON r.layer_id = l.layer_id AND r.a = m.a""")
 def point_month_value(spark, d):
     day = F.date_trunc("day", F.col("ts").cast("timestamp"))
     daily = table(spark, d, "events").groupBy(F.col("event_type").alias("layer_id"), day.alias("s")).agg(F.avg(F.when(F.col("value") > 1, F.col("value"))).alias("value"))
     obs = daily.withColumn("e", tc.interval_end("s", F.lit("daily")))
     out = ta.point_month_value(obs, ["layer_id"], "s", "e", "value", F.lit("integrate_rate"))
+    month = F.date_trunc("month", F.col("ts").cast("timestamp"))
+    span = table(spark, d, "events").agg(F.min(month).alias("low"), F.max(month).alias("high")).select((F.col("low") - F.expr("INTERVAL 2 MONTH")).alias("first"), (F.col("high") + F.expr("INTERVAL 2 MONTH")).alias("last"))
+    keys = daily.select("layer_id").distinct().withColumn("one", F.lit(1)).join(span.withColumn("one", F.lit(1)), "one")
+    out = ta.every_month(out, ["layer_id"], keys, "first", "last")
     out = out.withColumn("period", F.date_format("period_start", "yyyy-MM")).drop("period_start", "period_end")
     return rounded(rounded(out, ["value"]), ["temporal_coverage_percentage", "covered_days_area_weighted"], 6)
 

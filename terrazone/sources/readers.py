@@ -111,7 +111,25 @@ def scan_power_points(documents: DataFrame, accepted_units: list[str], default_f
     return d.select("point_id", "variable", F.to_date("_k", "yyyyMMdd").alias("day"), F.when(F.col("_v") != F.col("fill"), finite("_v")).alias("value"), "unit_status")
 
 
+#: Bytes of a file that can be held as one value.
+LARGEST_FILE = 1 << 30
+
+
 def file_manifest(spark: SparkSession, folder: str, glob: str = "*", origin: str = "") -> DataFrame:
-    """Path (relative to the folder), size, SHA-256 and origin of every file; files are hashed in parallel."""
-    f = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
-    return f.select(F.regexp_extract("path", "([^/]+)$", 1).alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.lit(origin).alias("origin"))
+    """Path (relative to the folder), size, SHA-256, origin and status of every file; files are hashed in parallel.
+
+    A file beyond ``LARGEST_FILE`` does not fit into a row: it is listed without a digest, as TOO_LARGE.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    small = files.load(folder).where(F.col("length") <= LARGEST_FILE)
+    large = files.load(folder).where(F.col("length") > LARGEST_FILE)
+    # what comes before the folder in a path (scheme and host) goes, and the folder itself
+    prefix = "^.*?\\Q/" + folder.split("://", 1)[-1].removeprefix("file:").strip("/") + "/\\E"
+    row = lambda df, digest, status: df.select(F.regexp_replace("path", prefix, "").alias("path"), F.col("length").alias("size"), digest.alias("sha256"), F.lit(origin).alias("origin"), F.lit(status).alias("status"))
+    return row(small, F.sha2("content", 256), "OK").unionByName(row(large.drop("content"), F.lit(None).cast("string"), "TOO_LARGE"))
+
+
+def content_manifest(df: DataFrame, path, content, origin: str = "") -> DataFrame:
+    """The same manifest of contents that stand in a table: path, size in bytes, SHA-256, origin, status."""
+    body = F.coalesce(col(content).cast("string"), F.lit(""))
+    return df.select(col(path).cast("string").alias("path"), F.octet_length(body).cast("long").alias("size"), F.sha2(body, 256).alias("sha256"), F.lit(origin).alias("origin"), F.lit("OK").alias("status"))
