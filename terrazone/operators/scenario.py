@@ -23,7 +23,10 @@ def support_gate(units: DataFrame, keys: list[str], area: str, common, zone, tol
 
 
 def scenario_yield_summary(units: DataFrame, keys: list[str], area: str = "area") -> DataFrame:
-    """Zone means, positive and valid-zero areas, spread and extremes of numeric units (``model_numeric`` output)."""
+    """Zone means, positive and valid-zero areas, spread and extremes of numeric units (``model_numeric`` output).
+
+    A group with a negative model value is rejected: NEGATIVE_VALUE in ``input_status``.
+    """
     w, mean, cv = F.col(area), F.col("model_mean"), F.col("model_coefficient_of_variation")
     average = lambda v, cond=None: ratio(F.sum(F.when(v.isNotNull() & (cond if cond is not None else F.lit(True)), w * v)), F.sum(F.when(v.isNotNull() & (cond if cond is not None else F.lit(True)), w)))
     agg = units.groupBy(*keys).agg(
@@ -36,14 +39,22 @@ def scenario_yield_summary(units: DataFrame, keys: list[str], area: str = "area"
     closes = F.abs(F.col("positive_yield_area") + F.col("valid_zero_area") - F.col("common_valid_area")) <= F.col("common_valid_area") * 1e-4
     return agg.withColumns({"positive_yield_percentage": share("positive_yield_area"), "valid_zero_percentage": share("valid_zero_area"),
                             "positive_area_mean_status": F.when(F.col("positive_yield_area") > 0, "DEFINED").otherwise("NO_POSITIVE_AREA"),
-                            "partition_status": F.when(closes, "OK").otherwise("PARTITION_FAILED")})
+                            "partition_status": F.when(closes, "OK").otherwise("PARTITION_FAILED"),
+                            "input_status": F.when(F.col("model_minimum") < 0, "NEGATIVE_VALUE").otherwise("OK")})
 
 
 def scenario_class_summary(units: DataFrame, keys: list[str], classes: list[int], area: str = "area") -> DataFrame:
-    """Dominant modal class (NULL on equal areas), flag areas and shares, and areas by distinct class count."""
+    """Dominant modal class (NULL on equal areas), flag areas and shares, and areas by distinct class count.
+
+    A group with a class that is not listed is rejected: UNLISTED_CLASS in ``input_status``.
+    """
     w = F.col(area)
+    listed = [float(c) for c in classes]
+    unlisted = F.coalesce(~F.col("modal_class").isin(*classes), F.lit(False))
+    if "values" in units.columns:
+        unlisted = unlisted | F.coalesce(F.exists("values", lambda v: ~v.cast("double").isin(*listed)), F.lit(False))
     agg = units.groupBy(*keys).agg(
-        F.sum(w).alias("common_valid_area"), F.count("*").alias("analytical_unit_count"),
+        F.sum(w).alias("common_valid_area"), F.count("*").alias("analytical_unit_count"), F.bool_or(unlisted).alias("_unlisted"),
         *[_part(F.col("modal_class") == c, w).alias(f"_m{c}") for c in classes],
         *[_part(F.col(f) == 1, w).alias(f"{f}_area") for f in CLASS_FLAGS],
         *[_part(F.col("unique_class_count") == n, w).alias(f"unique_class_count_{n}_area") for n in range(1, 6)])
@@ -54,6 +65,7 @@ def scenario_class_summary(units: DataFrame, keys: list[str], classes: list[int]
     single = sum([c.cast("int") for c in leads], F.lit(0)) == 1
     dominant = F.when(single, F.coalesce(*[F.when(c, F.lit(code)) for c, code in zip(leads, classes)]))
     out = agg.withColumns({"dominant_class": dominant, "dominant_class_area": F.when(single, top)})
+    out = out.withColumn("input_status", F.when(F.col("_unlisted"), "UNLISTED_CLASS").otherwise("OK")).drop("_unlisted")
     out = out.withColumn("dominant_class_percentage", 100 * ratio("dominant_class_area", "common_valid_area"))
     return out.withColumns({f"{f}_percentage": 100 * ratio(f"{f}_area", "common_valid_area") for f in CLASS_FLAGS}).drop(*[f"_m{c}" for c in classes])
 

@@ -20,7 +20,7 @@ def class_units(spark, d):
 
 @query("scenario_yield_summary", f"""{NUMERIC}, y AS (SELECT group_id, sum(area) a, count(*) n, sum(area * mean) / sum(area) m, sum(area * (sd / mean)) / sum(area) cv, sum(area * sd) / sum(area) sd, sum(area * iqr) / sum(area) iqr, sum(area * (hi - lo)) / sum(area) rg, min(lo) lo, max(hi) hi FROM x GROUP BY 1)
  SELECT group_id, a common_valid_area, n analytical_unit_count, round(m, 3) whole_mean, a positive_yield_area, round(m, 3) positive_area_mean, 0.0::DOUBLE valid_zero_area, round(cv, 6) inter_model_cv, a cv_valid_area, round(sd, 3) population_sd, round(iqr, 3) iqr,
-  round(rg, 3) model_range, lo model_minimum, hi model_maximum, 100.0::DOUBLE positive_yield_percentage, 0.0::DOUBLE valid_zero_percentage, 'DEFINED' positive_area_mean_status, 'OK' partition_status FROM y""")
+  round(rg, 3) model_range, lo model_minimum, hi model_maximum, 100.0::DOUBLE positive_yield_percentage, 0.0::DOUBLE valid_zero_percentage, 'DEFINED' positive_area_mean_status, 'OK' partition_status, CASE WHEN lo < 0 THEN 'NEGATIVE_VALUE' ELSE 'OK' END input_status FROM y""")
 def scenario_yield_summary(spark, d):
     out = sc.scenario_yield_summary(numeric_units(spark, d), ["group_id"])
     return rounded(rounded(out, ["whole_mean", "positive_area_mean", "population_sd", "iqr", "model_range"], 3), ["inter_model_cv"], 6)
@@ -34,7 +34,7 @@ CLASS_SUM = f"""{COUNTS}, ma AS (SELECT group_id, modal, sum(area) a FROM x WHER
 
 @query("scenario_class_summary", f"""{CLASS_SUM} SELECT group_id, c common_valid_area, n analytical_unit_count, dom dominant_class, CASE WHEN dom IS NOT NULL THEN top END dominant_class_area, round(CASE WHEN dom IS NOT NULL THEN 100 * top / c END, 6) dominant_class_percentage,
   f5 full_agreement_area, f4 strong_agreement_area, f3 majority_agreement_area, ft tied_or_dispersed_area, fe tie_flag_area, round(100 * f5 / c, 6) full_agreement_percentage, round(100 * f4 / c, 6) strong_agreement_percentage, round(100 * f3 / c, 6) majority_agreement_percentage,
-  round(100 * ft / c, 6) tied_or_dispersed_percentage, round(100 * fe / c, 6) tie_flag_percentage, {', '.join(f'u{n} unique_class_count_{n}_area' for n in range(1, 6))} FROM fl JOIN dm USING (group_id)""")
+  round(100 * ft / c, 6) tied_or_dispersed_percentage, round(100 * fe / c, 6) tie_flag_percentage, {', '.join(f'u{n} unique_class_count_{n}_area' for n in range(1, 6))}, 'OK' input_status FROM fl JOIN dm USING (group_id)""")
 def scenario_class_summary(spark, d):
     out = sc.scenario_class_summary(class_units(spark, d), ["group_id"], CLASSES)
     return rounded(out, [c for c in out.columns if c.endswith("percentage")], 6)

@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from terrazone.operators import audit, compare as cp, rules, timeagg as ta
+from terrazone.operators import audit, compare as cp, rules, scenario, timeagg as ta
 from terrazone.sources import readers as rd, sinks as sk
 
 
@@ -57,3 +57,12 @@ def test_manifest_paths_are_relative_to_the_folder(spark):
     assert sorted(r["path"].split("/")[0] for r in rows if r["size"]) == ["a", "b"]
     assert {r["sha256"] for r in rows if r["size"]} == {hashlib.sha256(t).hexdigest() for t in (b"one|", b"two two|")}
     assert {r["status"] for r in rows} == {"OK"}
+
+
+def test_negative_values_and_unlisted_classes_are_rejected(spark):
+    numeric = spark.createDataFrame([("a", 1.0, 2.0, -1.0), ("b", 1.0, 2.0, 0.0)], "group_id string, area double, model_mean double, model_minimum double").selectExpr(
+        "*", "0.1D model_coefficient_of_variation", "1.0D model_standard_deviation", "1.0D model_iqr", "1.0D model_range", "3.0D model_maximum")
+    assert {r["group_id"]: r["input_status"] for r in scenario.scenario_yield_summary(numeric, ["group_id"]).collect()} == {"a": "NEGATIVE_VALUE", "b": "OK"}
+    classes = spark.createDataFrame([("a", 1.0, 12, [12.0, 1.0]), ("b", 1.0, 1, [1.0, 2.0]), ("c", 1.0, 1, [1.0, 7.5])], "group_id string, area double, modal_class int, values array<double>")
+    classes = classes.withColumns({f: F.lit(0) for f in scenario.CLASS_FLAGS}).withColumn("unique_class_count", F.lit(2))
+    assert {r["group_id"]: r["input_status"] for r in scenario.scenario_class_summary(classes, ["group_id"], [1, 2, 3]).collect()} == {"a": "UNLISTED_CLASS", "b": "OK", "c": "UNLISTED_CLASS"}
