@@ -13,12 +13,13 @@ with the vectors of the rows that remain.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .blocks import blocked, by_groups, near_components, opposite
 from .common import let_workers_import, remove, stash
 from .components import connected_components
 
@@ -74,59 +75,6 @@ def valid(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def by_groups(df: DataFrame, compare: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
-    """Apply a function to the rows of each (label, band, part, i, j): bounded groups, many to a task, streamed in sorted order."""
-    keys = [*BAND, "i", "j"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            starts = np.flatnonzero((batch[keys] != batch[keys].shift()).any(axis=1).to_numpy())
-            yield from found(batch, starts[:-1], starts[1:])
-            rest = batch.iloc[starts[-1]:] if len(starts) else None
-        if rest is not None and len(rest):
-            yield from found(rest.reset_index(drop=True), [0], [len(rest)])
-
-    def found(batch, starts, ends):
-        out = [r for a, b in zip(starts, ends) if b - a > 1 and (r := compare(batch.iloc[a:b])) is not None]
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
-
-
-def blocked(df: DataFrame) -> DataFrame:
-    """Each row of a bucket once for every pair (i, j) of blocks that its block is in; buckets of up to ``BLOCK`` rows are one block.
-
-    Buckets beyond that are found by counting inside tasks; a bucket with n rows makes n / BLOCK copies of each.
-    """
-    large = df.groupBy(*BAND).count().where(F.col("count") > BLOCK).select(*BAND, F.ceil(F.col("count") / BLOCK).cast("int").alias("__blocks"))
-    rows = df.join(large, BAND, "left").withColumn("__blocks", F.coalesce("__blocks", F.lit(1)))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("__blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__other")
-    return rows.select("*", other).withColumns({"i": F.least("block", "__other"), "j": F.greatest("block", "__other")}).drop("__blocks", "__other")
-
-
-def opposite(group: pd.DataFrame) -> np.ndarray:
-    """Which pairs of a group belong to it: of two blocks only those across, of one block all but a row with itself."""
-    block = group["block"].to_numpy()
-    if group["i"].iloc[0] != group["j"].iloc[0]:
-        return block[:, None] != block
-    return ~np.eye(len(block), dtype=bool)
-
-
-def near_components(adjacent: np.ndarray) -> np.ndarray:
-    """Number of the smallest member of each row's component."""
-    label = np.arange(len(adjacent))
-    while True:
-        low = np.minimum(label, np.where(adjacent, label, len(label)).min(1))
-        low = low[low]
-        if (low == label).all():
-            return label
-        label = low
-
-
 def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.93, seed: int = 0) -> DataFrame:
     """(key, n_links, component_id, kept) of each row: rows of equal label and dimension link at a cosine of ``threshold`` or more.
 
@@ -171,7 +119,7 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: s
         return group.loc[some, [*BAND, "rep"]] if some.any() else None
 
     banded = groups.select("label", "rep", "vector", "size").mapInPandas(bands, "label string, band int, part long, rep long, codes binary, f double, g double, size int")
-    near = by_groups(blocked(banded), by_codes, "label string, band int, part long, rep long").distinct()
+    near = by_groups(blocked(banded, BAND, "rep", BLOCK), BAND, by_codes, "label string, band int, part long, rep long").distinct()
     with_vectors = near.join(groups.select("rep", "copies", "vector", "size"), "rep")
 
     def by_vectors(group: pd.DataFrame) -> pd.DataFrame:
@@ -188,7 +136,7 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: s
         out = pd.DataFrame({"rep": reps, "links": own @ group["copies"].to_numpy(), "low": low})
         return out[(out["links"] > 0)]
 
-    found, found_path = stash(by_groups(blocked(with_vectors), by_vectors, "rep long, links long, low long"), "vector-links")
+    found, found_path = stash(by_groups(blocked(with_vectors, BAND, "rep", BLOCK), BAND, by_vectors, "rep long, links long, low long"), "vector-links")
     parents = connected_components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")), "vector-components")
     links = found.groupBy(F.col("rep").alias("__rep")).agg(F.sum("links").alias("links"))
     each = groups.select("h1", "h2", "rep", "copies").join(links, F.col("rep") == F.col("__rep"), "left").join(parents.withColumnRenamed("node", "__node"), F.col("rep") == F.col("__node"), "left")

@@ -1,14 +1,17 @@
 """Self-join of documents by the Jaccard similarity of their word n-grams, through a token-group matrix.
 
-A document is the set of its hashed n-grams (tokens). Similar documents are first partitioned into groups: those of equal sets, and
-those that link, by an exact comparison, with the leader of a bucket of one of a few minimum hashes. A group's row of the
-matrix is the union of its members' tokens. A document can only link with a member of a group if the union holds the
+A document is the set of its hashed n-grams (tokens). Similar documents are first partitioned into groups: those that share
+several minimum hashes with the leader of their bucket. Where an exact comparison with the leader shows a link at once, the two are one
+component. A group that is not one component yet is compared inside, in blocks of bounded size. A group's row of the
+matrix is the union of its members' tokens. A document can only link with a member of another group if that union holds the
 required overlap, so the overlap of document and union decides whether the group is opened, that is whether its members are
-compared one by one. What remains are links between different groups, and only those decide which groups are one component.
+compared with the document one by one.
 
-Pairs of document and group that share nothing are never formed. The hash space is cut into more parts than two linked documents
+Pairs of groups that share nothing are never formed. The hash space is cut into more parts than two linked documents
 can have different tokens, so that linked documents agree on whole parts; only groups that agree on a part meet. The
-number of parts follows from the size of the larger document, for which documents are put into size classes.
+number of parts follows from the size of the larger document, for which documents are put into size classes. Parts are made of the
+tokens that are not frequent, as frequent ones would let unrelated documents agree; documents with hardly any others list parts of all their tokens
+as well. Which tokens count as frequent, and which leaders are tried, changes the work and not the result.
 """
 
 from __future__ import annotations
@@ -20,12 +23,17 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import let_workers_import, remove, stash
+from .blocks import blocked, by_groups, near_components, opposite
+from .common import bounded_sample, let_workers_import, remove, stash
 from .components import connected_components
 from .sampled_pieces import mixed
 
-#: Minimum hashes whose buckets name a leader each.
-LEADERS = 6
+#: Minimum hashes whose buckets name a leader each; how many of them two documents share that are put into one group.
+LEADERS, ALIKE = 6, 3
+#: Documents of the sample in which frequent tokens are sought; documents of it that have a frequent token; frequent tokens at most.
+SAMPLE, OFTEN, MOST = 5000, 3, 1 << 16
+#: Documents of a group that are compared in one piece, and tokens that are compared at once.
+BLOCK, COLUMNS = 512, 8192
 SALT = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of text that are made into sets at once.
 CHUNK = 1 << 21
@@ -48,30 +56,43 @@ class Shapes:
         spare = 1 + int(self.differ[c]) // 40
         return int(self.differ[c]) + 1 + spare, spare
 
-    def signatures(self, tokens: np.ndarray) -> np.ndarray:
+    def signatures(self, tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         """Hashes of the parts of a set, for its own class and for the next, in which a larger set may be.
 
-        Two linked sets agree on all parts but as many as they differ in tokens: on more parts than ``spare``. If neither has more empty parts
-        than that, they agree on one that is not empty; a set with more empty ones lists those as well. Sets of a class in which
-        links allow no difference list nothing, as equal sets are one already.
+        Two linked sets agree on all parts but as many as they differ in tokens: on more parts than ``spare``. That also holds for the parts of
+        the tokens outside any fixed list. If one of the two has no more empty parts than ``spare``, they agree on one that is not empty. A set with more
+        empty ones lists, in a second family, the parts of all its tokens, and the empty ones among those if these are still more than ``spare``.
+        Sets of a class in which links allow no difference list nothing, as equal sets are one already.
         """
         own = int(np.searchsorted(self.upper, len(tokens)))
+        rare = tokens[frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] != tokens] if len(frequent) else tokens
         found = []
         for c in (own, own + 1):
             if not self.differ[c]:
                 continue
             n, spare = self.parts(c)
-            part = (mixed(tokens ^ SALT) % np.uint64(n)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            begins = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0])
-            content = np.add.reduceat(mixed(tokens[order] + SALT), begins)
-            listed = part[order[begins]]
-            if n - len(listed) > spare:
-                empty = np.setdiff1d(np.arange(n), listed)
-                content, listed = np.r_[content, np.zeros(len(empty), np.uint64)], np.r_[listed, empty]
-            found.append(mixed(content + mixed(np.uint64(c << 32) + listed.astype(np.uint64))))
+            parts, content = self.listed(rare, n)
+            if n - len(parts) > spare:
+                found.append(mixed(content + mixed(np.uint64((2 * c + 1) << 32) + parts)))
+                parts, content = self.listed(tokens, n)
+                if n - len(parts) > spare:
+                    empty = np.setdiff1d(np.arange(n, dtype=np.uint64), parts)
+                    parts, content = np.r_[parts, empty], np.r_[content, np.zeros(len(empty), np.uint64)]
+                found.append(mixed(content + mixed(np.uint64((2 * c) << 32) + parts)))
+            else:
+                found.append(mixed(content + mixed(np.uint64((2 * c + 1) << 32) + parts)))
         return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
 
+    @staticmethod
+    def listed(tokens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The parts, of n, that hold a token, and a hash of the content of each."""
+        if not len(tokens):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        part = mixed(tokens ^ SALT) % np.uint64(n)
+        order = np.argsort(part, kind="stable")
+        begins = np.flatnonzero(np.r_[True, np.diff(part[order].astype(np.int64)) != 0])
+        return part[order[begins]], np.add.reduceat(mixed(tokens[order] + SALT), begins)
+
 
 def token_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     """The sorted distinct hashes of each whole text's n-grams of words, A-Z in lower case; fewer words than ``size`` are one token."""
@@ -110,8 +131,22 @@ def profiles(docs: DataFrame, size: int, leaders: int) -> DataFrame:
     return docs.mapInPandas(run, "doc long, n long, h1 long, h2 long, mins array<long>")
 
 
+def frequent_tokens(docs: DataFrame, size: int) -> np.ndarray:
+    """The tokens of several documents of a bounded sample, a bounded number of them, sorted."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for t in token_sets(batch["text"].tolist(), size):
+                yield pd.DataFrame({"token": t.view(np.int64)})
+
+    tokens = bounded_sample(docs.where(F.col("text").isNotNull()), ["doc", "text"], SAMPLE).mapInPandas(run, "token long")
+    often = tokens.groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.col("count").desc(), "token").limit(MOST)
+    return np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+
+
 def signature_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(sig, doc) of all parts of all named documents; equal sets of a batch are listed once."""
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shapes = Shapes(percent)
         for batch in batches:
@@ -120,7 +155,7 @@ def signature_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 if not len(t) or (name := t.tobytes() if len(t) < 8 else xxhash.xxh3_128_digest(t.tobytes())) in seen:
                     continue
                 seen.add(name)
-                s = shapes.signatures(t)
+                s = shapes.signatures(t, frequent.value)
                 sigs.append(s)
                 docs.append(np.full(len(s), doc, np.int64))
                 held += len(s)
@@ -155,13 +190,13 @@ def linked_by_text(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -
     return first.join(docs.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
-def leader_pairs(reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of each set and the leader of each bucket of minimum hashes that it is in, where their sizes allow a link."""
+def leader_pairs(reps: DataFrame) -> DataFrame:
+    """(a, an, b, bn, shared): each set, the leader of a bucket of minimum hashes that it is in, and how many buckets name that leader for it."""
     rows = reps.select("doc", "n", F.posexplode("mins").alias("k", "m"))
-    leaders, _ = stash(rows.groupBy("k", "m").agg(F.min(F.struct(F.xxhash64("doc", "k").alias("h"), "doc", "n")).alias("lead"), F.count(F.lit(1)).alias("rows"))
+    leaders, _ = stash(rows.groupBy("k", "m").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("lead"), F.count(F.lit(1)).alias("rows"))
                        .where("rows > 1").select("k", "m", F.col("lead.doc").alias("b"), F.col("lead.n").alias("bn")), "leaders")
-    near = rows.join(leaders, ["k", "m"]).where((F.col("doc") != F.col("b")) & may_be_as_large(F.col("n"), F.col("bn"), F.col("bn"), percent))
-    return near.select(F.greatest("doc", "b").alias("a"), F.least("doc", "b").alias("b")).distinct()
+    near = rows.join(leaders, ["k", "m"]).where(F.col("doc") != F.col("b"))
+    return near.groupBy(F.col("doc").alias("a"), F.col("n").alias("an"), "b", "bn").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def group_meetings(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
@@ -175,31 +210,49 @@ def group_meetings(docs: DataFrame, groups: DataFrame, size: int, percent: int)
     return rows.join(rows.withColumnRenamed("g", "h"), "sig").where("g < h").select("g", "h").distinct()
 
 
-def links_between_groups(docs: DataFrame, sizes: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b) of linked documents in different groups; enough to connect all groups that are linked at all."""
-    spark = docs.sparkSession
-    members, members_path = stash(sizes.join(groups.select(F.col("node").alias("doc"), "component"), "doc", "left").select("doc", "n", F.coalesce("component", "doc").alias("g")), "members")
-    of = members.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
-    side = lambda c, p: of.select(F.col("g").alias(c), *[F.col(x).alias(f"{p}_{x}") for x in ("rows", "low", "high")])
-    met = group_meetings(docs, groups, size, percent).join(side("g", "g"), "g").join(side("h", "h"), "h")
-    met = met.where((F.col("g_low") * percent <= F.col("h_high") * 100) & (F.col("h_low") * percent <= F.col("g_high") * 100))
-    small_g = F.struct("g_rows", "g") < F.struct("h_rows", "h")
-    pick = lambda a, b: F.when(small_g, F.col(a)).otherwise(F.col(b))
-    met = met.select(pick("g", "h").alias("from"), pick("h", "g").alias("g"), pick("h_rows", "g_rows").alias("rows"), pick("h_low", "g_low").alias("low"), pick("h_high", "g_high").alias("high"))
-    queries, queries_path = stash(met.join(members.select(F.col("g").alias("from"), F.col("doc").alias("x"), F.col("n").alias("xn")), "from")
-                                  .where(may_be_as_large(F.col("xn"), F.col("low"), F.col("high"), percent)).select("x", "xn", "g", "rows", "low").distinct(), "queries")
-    if queries.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
-    targets, targets_path = stash(members.join(queries.select("g").distinct(), "g", "left_semi").select("g", F.col("doc").alias("y"), F.col("n").alias("yn")), "targets")
-    wanted = queries.select(F.col("x").alias("doc")).unionByName(targets.select(F.col("y").alias("doc"))).distinct()
-
+def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFrame, str]:
+    """(doc, tokens) of the wanted documents, as a table."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 some = batch.iloc[at:at + 500]
                 yield pd.DataFrame({"doc": some["doc"], "tokens": [t.view(np.int64) for t in token_sets(some["text"].tolist(), size)]})
 
-    sets, sets_path = stash(docs.join(wanted, "doc", "left_semi").mapInPandas(run, "doc long, tokens array<long>").dropDuplicates(["doc"]), "sets")
+    return stash(docs.join(wanted, "doc", "left_semi").mapInPandas(run, "doc long, tokens array<long>").dropDuplicates(["doc"]), "sets")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Common tokens of all pairs of sets; only tokens of several sets are looked at, so many at once."""
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    known, column, often = np.unique(tokens, return_inverse=True, return_counts=True)
+    use = often[column] > 1
+    column, owner = (np.cumsum(often > 1) - 1)[column[use]], owner[use]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int((often > 1).sum()), COLUMNS):
+        here = (column >= at) & (column < at + COLUMNS)
+        m = np.zeros((len(sets), min(COLUMNS, int((often > 1).sum()) - at)), np.float32)
+        m[owner[here], column[here] - at] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def links_inside_groups(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every document of a group linked to the smallest that it reaches inside a pair of blocks."""
+    def compare(group: pd.DataFrame) -> pd.DataFrame | None:
+        group = group.sort_values("doc")
+        n, c = group["n"].to_numpy(), group["c"].to_numpy()
+        common = overlaps(list(group["tokens"]))
+        linked = (common * (100 + percent) >= percent * (n[:, None] + n)) & opposite(group) & (c[:, None] != c)
+        low = near_components(linked)
+        far = low != np.arange(len(low))
+        return pd.DataFrame({"a": group["doc"].to_numpy()[far], "b": group["doc"].to_numpy()[low[far]]}) if far.any() else None
+
+    rows = blocked(members.select("g", "doc", "n", "c"), ["g"], "doc", BLOCK).join(sets, "doc")
+    return by_groups(rows, ["g"], compare, "a long, b long")
+
+
+def links_between_groups(queries: DataFrame, targets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of linked documents in different groups, from queries (x, xn, g, rows, low): documents and the groups they met."""
     of_x, of_y = sets.select(F.col("doc").alias("x"), F.col("tokens").alias("tx")), sets.select(F.col("doc").alias("y"), F.col("tokens").alias("ty"))
     # the matrix, one row per token and group; a group of one member needs none, its bound is the comparison itself
     several = queries.where("rows > 1")
@@ -210,9 +263,31 @@ def links_between_groups(docs: DataFrame, sizes: DataFrame, groups: DataFrame, s
     opened = bound.where(F.col("overlap") * (100 + percent) >= percent * (F.col("xn") + least)).select("x", "xn", "g").unionByName(queries.where("rows = 1").select("x", "xn", "g"))
     pairs = opened.join(targets, "g").where(may_be_as_large(F.col("xn"), F.col("yn"), F.col("yn"), percent))
     common = F.size(F.array_intersect("tx", "ty"))
-    links = pairs.join(of_x, "x").join(of_y, "y").where(common * (100 + percent) >= percent * (F.col("xn") + F.col("yn"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    links, _ = stash(links, "group-links")
-    remove(spark, members_path, queries_path, targets_path, sets_path)
+    return pairs.join(of_x, "x").join(of_y, "y").where(common * (100 + percent) >= percent * (F.col("xn") + F.col("yn"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, components: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b) of links between different components: enough to connect all that are linked at all."""
+    spark = docs.sparkSession
+    named = lambda t, c: t.select(F.col("node").alias("doc"), F.col("component").alias(c))
+    members, members_path = stash(sizes.join(named(groups, "g"), "doc", "left").join(named(components, "c"), "doc", "left")
+                                  .select("doc", "n", F.coalesce("g", "doc").alias("g"), F.coalesce("c", "doc").alias("c")), "members")
+    of = members.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
+    side = lambda c, p: of.select(F.col("g").alias(c), *[F.col(x).alias(f"{p}_{x}") for x in ("rows", "low", "high")])
+    met = group_meetings(docs, groups, size, percent).join(side("g", "g"), "g").join(side("h", "h"), "h")
+    met = met.where((F.col("g_low") * percent <= F.col("h_high") * 100) & (F.col("h_low") * percent <= F.col("g_high") * 100))
+    small_g = F.struct("g_rows", "g") < F.struct("h_rows", "h")
+    pick = lambda a, b: F.when(small_g, F.col(a)).otherwise(F.col(b))
+    met = met.select(pick("g", "h").alias("from"), pick("h", "g").alias("g"), pick("h_rows", "g_rows").alias("rows"), pick("h_low", "g_low").alias("low"), pick("h_high", "g_high").alias("high"))
+    queries, queries_path = stash(met.join(members.select(F.col("g").alias("from"), F.col("doc").alias("x"), F.col("n").alias("xn")), "from")
+                                  .where(may_be_as_large(F.col("xn"), F.col("low"), F.col("high"), percent)).select("x", "xn", "g", "rows", "low").distinct(), "queries")
+    targets, targets_path = stash(members.join(queries.select("g").distinct(), "g", "left_semi").select("g", F.col("doc").alias("y"), F.col("n").alias("yn")), "targets")
+    open_groups = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
+    inside, inside_path = stash(members.join(open_groups, "g", "left_semi"), "inside")
+    wanted = queries.select(F.col("x").alias("doc")).unionByName(targets.select(F.col("y").alias("doc"))).unionByName(inside.select("doc")).distinct()
+    sets, sets_path = sets_of(docs, wanted, size)
+    links, _ = stash(links_inside_groups(inside, sets, percent).unionByName(links_between_groups(queries, targets, sets, percent)), "group-links")
+    remove(spark, members_path, queries_path, targets_path, inside_path, sets_path)
     return links
 
 
@@ -231,11 +306,15 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3,
     first, first_path = stash(named.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep")), "sets")
     equal = named.join(first, ["h1", "h2", "n"]).where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
     reps = named.join(first.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", "n", "mins").dropDuplicates(["doc"])
-    led = linked_by_text(leader_pairs(reps, percent), docs, size, percent)
-    groups = connected_components(equal.unionByName(led), "groups")
-    more = links_between_groups(docs, named.groupBy("doc").agg(F.max("n").alias("n")), groups, size, percent)
+    near, near_path = stash(leader_pairs(reps).where(F.col("shared") >= F.lit(min(ALIKE, leaders))).select("a", "an", "b", "bn"), "near")
+    led, led_path = stash(linked_by_text(near.where(may_be_as_large(F.col("an"), F.col("bn"), F.col("bn"), percent)).select("a", "b"), docs, size, percent), "led")
+    linked = equal.unionByName(led)
+    components = connected_components(linked, "components")
+    groups = connected_components(linked.unionByName(near.select("a", "b")), "groups")
+    more = remaining_links(docs, named.groupBy("doc").agg(F.max("n").alias("n")), groups, components, size, percent)
     if not more.isEmpty():
-        groups = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "components")
+        components = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "components")
+    remove(spark, near_path, led_path)
     remove(spark, first_path)
-    out = rows.select("doc", "n").join(groups.select(F.col("node").alias("doc"), "component"), "doc", "left")
+    out = rows.select("doc", "n").join(components.select(F.col("node").alias("doc"), "component"), "doc", "left")
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))

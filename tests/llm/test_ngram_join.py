@@ -50,9 +50,11 @@ def made(seed=3, groups=40):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("size,percent,leaders", [(3, 90, 6), (3, 90, 0), (5, 80, 1), (1, 80, 0), (2, 60, 1)])
-def test_all_pairs(documents, size, percent, leaders):
-    """Without leaders all links are found through parts and the matrix."""
+@pytest.mark.parametrize("size,percent,leaders,block,often", [(3, 90, 6, 512, 3), (3, 90, 0, 512, 1), (5, 80, 1, 4, 3), (1, 80, 0, 512, 10**9), (2, 60, 1, 7, 2), (3, 80, 6, 3, 1)])
+def test_all_pairs(documents, size, percent, leaders, block, often, monkeypatch):
+    """Without leaders all links are found through parts and the matrix; small blocks and any list of frequent tokens change nothing."""
+    monkeypatch.setattr(nj, "BLOCK", block)
+    monkeypatch.setattr(nj, "OFTEN", often)
     rows = made()
     got = nj.join(documents(rows), size=size, percent=percent, leaders=leaders).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, size, percent)
@@ -88,4 +90,5 @@ def test_linked_sets_agree_on_a_listed_part():
             y = np.unique(np.concatenate([x[drop:], rng.integers(0, 2**63, int(rng.integers(0, n // 4 + 1))).astype(np.uint64)]))
             common = len(np.intersect1d(x, y))
             if len(x) != common and 100 * common >= percent * (len(x) + len(y) - common):
-                assert set(shapes.signatures(x)) & set(shapes.signatures(y))
+                for frequent in (x[:0], x[::2], np.sort(x), np.union1d(x, y)[5:]):
+                    assert set(shapes.signatures(x, frequent)) & set(shapes.signatures(y, frequent))
