@@ -24,12 +24,13 @@ def at_least(p: float) -> Reach:
     return lambda cum, total: cum / total >= F.lit(p)
 
 
-def _bin(x: Column, splits: Column) -> Column:
-    """Number of split points below x, counted among every sixteenth first and then among the next fifteen."""
-    step = int(BINS ** 0.5)
+STEP = int(BINS ** 0.5)
+
+
+def _bin(x: Column, coarse: Column, splits: Column) -> Column:
+    """Number of split points below x, counted among every sixteenth (``coarse``) first and then among the next fifteen."""
     below = lambda s: F.size(F.filter(s, lambda v: v < x))
-    coarse = below(F.filter(splits, lambda v, i: i % step == step - 1))
-    return F.get(F.transform(F.array(coarse), lambda c: c * step + below(F.slice(splits, c * step + 1, F.lit(step - 1)))), F.lit(0))
+    return F.get(F.transform(F.array(below(coarse)), lambda c: c * STEP + below(F.slice(splits, c * STEP + 1, F.lit(STEP - 1)))), F.lit(0))
 
 
 def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dict[str, Reach]) -> DataFrame:
@@ -51,8 +52,9 @@ def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dic
         F.count("_x").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
         (F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_mean"),
         F.percentile_approx("_x", [i / BINS for i in range(1, BINS)], 1000).alias("_splits"))
+    totals = totals.withColumn("_coarse", F.filter("_splits", lambda v, i: i % STEP == STEP - 1))
     cells = rows.where("_x IS NOT NULL").groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
-    binned = computed_once(join_null_safe(cells, totals.select(*keys, "_wt", "_mean", "_splits"), keys), "_b", _bin(F.col("_x"), F.col("_splits")))
+    binned = computed_once(join_null_safe(cells, totals.select(*keys, "_wt", "_mean", "_coarse", "_splits"), keys), "_b", _bin(F.col("_x"), F.col("_coarse"), F.col("_splits")))
     gap = F.col("_x") - F.col("_mean")
     bins = binned.groupBy(*keys, "_b").agg(F.sum("_w").alias("_wb"), F.sum(F.col("_w") * gap * gap).alias("_m2"), F.max("_wt").alias("_wt"))
     group = Window.partitionBy(*keys)
@@ -65,7 +67,7 @@ def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dic
     found = cum.groupBy(*keys).agg(F.max("_m2").alias("_m2"), *[
         F.coalesce(F.min(F.when(F.col(f"_f_{n}") & reach(F.col("_cum"), F.col("_wt")), F.col("_x"))), F.max(F.when(F.col(f"_f_{n}"), F.col("_x")))).alias(n)
         for n, reach in targets.items()])
-    out = join_null_safe(totals.drop("_splits"), found, keys, "left")
+    out = join_null_safe(totals.drop("_splits", "_coarse"), found, keys, "left")
     return out.select(*named, F.col("_n").alias("n"), F.col("_wt").alias("weight_total"), F.col("_lo").alias("min"),
                       F.col("_hi").alias("max"), F.col("_mean").alias("mean"), F.col("_m2").alias("m2"), *names)
 
