@@ -9,13 +9,15 @@ compared with the document one by one.
 
 Pairs of groups that share nothing are never formed. The hash space is cut into more parts than two linked documents
 can have different tokens, so that linked documents agree on whole parts; only groups that agree on a part meet. The
-number of parts follows from the size of the larger document, for which documents are put into size classes. Parts are made of the
+number of parts follows from the size of the larger document, for which documents are put into size classes; documents too small for
+parts meet on single tokens. Parts are made of the
 tokens that are not frequent, as frequent ones would let unrelated documents agree; documents with hardly any others list parts of all their tokens
 as well. Which tokens count as frequent, and which leaders are tried, changes the work and not the result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,8 @@ SAMPLE, OFTEN, MOST = 5000, 3, 1 << 16
 BLOCK, COLUMNS = 512, 8192
 SALT = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of text that are made into sets at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 class Shapes:
@@ -48,39 +51,59 @@ class Shapes:
         upper = [1]
         while upper[-1] < 1 << 40:
             upper.append(max(upper[-1] + 1, upper[-1] * 100 // percent))
-        self.upper = np.array(upper)
+        self.percent, self.upper = percent, np.array(upper)
         self.differ = 2 * self.upper * (100 - percent) // (100 + percent)
 
-    def parts(self, c: int) -> tuple[int, int]:
-        """Parts for the class of the larger set, and how many of them may be empty without being listed."""
-        spare = 1 + int(self.differ[c]) // 40
-        return int(self.differ[c]) + 1 + spare, spare
+        self.chosen: dict[int, tuple[int, int] | None] = {}
+
+    def parts(self, c: int) -> tuple[int, int] | None:
+        """Parts for the class of the larger set, and how many of them may be empty without being listed.
+
+        The latter leaves room for the empty parts of nearly all sets that use the class, of which the smallest are two classes below. None
+        where parts would hold too few tokens for that.
+        """
+        if c not in self.chosen:
+            differ, least, spare = int(self.differ[c]), int(self.upper[max(c - 2, 0)]), 1
+            for _ in range(60):
+                n = differ + 1 + spare
+                empty = n * math.exp(-least / n)
+                wanted = 1 + math.ceil(empty + 4 * math.sqrt(empty))
+                if wanted <= spare or spare > differ // 2 + 2:
+                    break
+                spare = wanted
+            self.chosen[c] = (differ + 1 + spare, spare) if spare <= differ // 2 + 2 else None
+        return self.chosen[c]
 
     def signatures(self, tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-        """Hashes of the parts of a set, for its own class and for the next, in which a larger set may be.
+        """Hashes on which two linked sets agree at least once, for a set's own class and for the next, in which a larger set may be.
 
         Two linked sets agree on all parts but as many as they differ in tokens: on more parts than ``spare``. That also holds for the parts of
         the tokens outside any fixed list. If one of the two has no more empty parts than ``spare``, they agree on one that is not empty. A set with more
         empty ones lists, in a second family, the parts of all its tokens, and the empty ones among those if these are still more than ``spare``.
-        Sets of a class in which links allow no difference list nothing, as equal sets are one already.
+        Small sets have no parts; they list their first tokens in one order of all tokens, frequent ones last, as many as cannot all be missing in a set that
+        links. Sets of a class in which links allow no difference list nothing, as equal sets are one already.
         """
         own = int(np.searchsorted(self.upper, len(tokens)))
-        rare = tokens[frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] != tokens] if len(frequent) else tokens
-        found = []
+        often = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens if len(frequent) else np.zeros(len(tokens), bool)
+        found, small = [], False
         for c in (own, own + 1):
             if not self.differ[c]:
                 continue
+            if self.parts(c) is None:
+                small = True
+                continue
             n, spare = self.parts(c)
-            parts, content = self.listed(rare, n)
+            parts, content = self.listed(tokens[~often], n)
+            found.append(mixed(content + mixed(np.uint64((2 * c + 1) << 32) + parts)))
             if n - len(parts) > spare:
-                found.append(mixed(content + mixed(np.uint64((2 * c + 1) << 32) + parts)))
                 parts, content = self.listed(tokens, n)
                 if n - len(parts) > spare:
                     empty = np.setdiff1d(np.arange(n, dtype=np.uint64), parts)
                     parts, content = np.r_[parts, empty], np.r_[content, np.zeros(len(empty), np.uint64)]
                 found.append(mixed(content + mixed(np.uint64((2 * c) << 32) + parts)))
-            else:
-                found.append(mixed(content + mixed(np.uint64((2 * c + 1) << 32) + parts)))
+        if small:
+            first = len(tokens) - -(-self.percent * len(tokens) // 100) + 1
+            found.append(mixed(tokens[np.lexsort((mixed(tokens ^ SALT), often))][:first] + SALT))
         return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
 
     @staticmethod
@@ -94,6 +117,35 @@ class Shapes:
         return part[order[begins]], np.add.reduceat(mixed(tokens[order] + SALT), begins)
 
 
+def powers(n: int) -> np.ndarray:
+    """The first n powers of the odd factor of the word hash, modulo 2**64."""
+    factors = np.full(n, SALT)
+    factors[:1] = 1
+    return np.multiply.accumulate(factors)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every word of the texts, one after another, and the number of words of each text: a polynomial of the bytes, then mixed."""
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    at = np.flatnonzero(~SPACE[data])
+    limits = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    begins = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+    lengths = np.diff(np.r_[begins, len(at)])
+    offset = np.arange(len(at)) - np.repeat(begins, lengths)
+    sums = np.add.reduceat((data[at].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[offset], begins)
+    return mixed(sums), np.diff(np.r_[0, np.searchsorted(at[begins], limits)])
+
+
+def chained(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each n neighbouring word hashes."""
+    token = np.full(len(h) - n + 1, n, np.uint64)
+    for k in range(n):
+        token = mixed(token * SALT + h[k:len(h) - n + 1 + k])
+    return token
+
+
 def token_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     """The sorted distinct hashes of each whole text's n-grams of words, A-Z in lower case; fewer words than ``size`` are one token."""
     at = 0
@@ -102,17 +154,13 @@ def token_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
         while end < len(texts) and (held < CHUNK or end == at):
             held += len(texts[end] or "")
             end += 1
-        known: dict[bytes, int] = {}
-        words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts[at:end]]  # both as ASCII
-        for w in {w for ws in words for w in ws}:
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        for ws in words:
-            h = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-            n = min(size, len(h))
-            token = np.full(max(len(h) - n + 1, 0) if n else 0, n, np.uint64)
-            for k in range(n):
-                token = mixed(token * SALT + h[k:len(h) - n + 1 + k])
-            yield np.unique(token)
+        h, counts = word_hashes([(t or "").encode("utf-8", "surrogatepass").lower() for t in texts[at:end]])  # bytes: A-Z alone
+        windows = chained(h, size) if len(h) >= size else h[:0]
+        first = 0
+        for n in counts.tolist():
+            token = np.sort(windows[first:first + n - size + 1] if n >= size else chained(h[first:first + n], n) if n else h[:0])
+            yield token[np.r_[True, token[1:] != token[:-1]]] if len(token) > 1 else token
+            first += n
         at = end
 
 

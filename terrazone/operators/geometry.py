@@ -17,16 +17,21 @@ TINY = 1e-14
 
 
 def ring_edges(vertices: DataFrame, keys: list[str], seq: str = "seq", x: str = "x", y: str = "y") -> DataFrame:
-    """Directed edges of closed rings: keys, seq, x1, y1, x2, y2, by an equi-join on the next seq.
+    """Directed edges of closed rings: keys, seq, x1, y1, x2, y2, from one scan of the vertices.
 
-    A window over a ring would order the whole ring in one task; the join spreads any ring evenly.
+    A vertex is the start of the edge of its own number and the end of the one before, and the two halves of an edge meet in one aggregate. The
+    halves that find no partner belong to the closing edge of the ring. No task orders or holds a whole ring.
     """
-    v = vertices.select(*keys, F.col(seq).cast("int").alias("seq"), F.col(x).alias("x1"), F.col(y).alias("y1"))
-    ends = v.select(*keys, "seq", F.col("x1").alias("x2"), F.col("y1").alias("y2"))
-    last = v.groupBy(*keys).agg(F.max("seq").alias("_last"))
-    first = join_null_safe(ends.where("seq = 0"), last, keys).withColumn("seq", F.col("_last")).drop("_last")
-    follow = ends.where("seq > 0").withColumn("seq", F.col("seq") - 1).unionByName(first)
-    return join_null_safe(v, follow, [*keys, "seq"])
+    point = F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    none = F.lit(None).cast("struct<x:double,y:double>")
+    s = F.col(seq).cast("int")
+    ends = F.explode(F.array(F.struct(s.alias("seq"), point.cast("struct<x:double,y:double>").alias("a"), none.alias("b")),
+                             F.struct((s - 1).alias("seq"), none.alias("a"), point.cast("struct<x:double,y:double>").alias("b")))).alias("_e")
+    halves = vertices.select(*keys, ends).select(*keys, "_e.seq", "_e.a", "_e.b")
+    edges = halves.groupBy(*keys, "seq").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    closing = edges.where("a IS NULL OR b IS NULL").groupBy(*keys).agg(F.max("seq").alias("seq"), F.max("a").alias("a"), F.max("b").alias("b"))
+    return edges.where("a IS NOT NULL AND b IS NOT NULL").unionByName(closing).select(
+        *keys, "seq", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
 
 
 def geo_ring_metrics(vertices: DataFrame, keys: list[str], **names) -> DataFrame:

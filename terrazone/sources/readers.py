@@ -81,7 +81,8 @@ def zone_vertices(documents: DataFrame, id_property: str, default_crs: str | Non
     return v.select("zone_id", "crs", "part", "ring", "seq", finite(F.get("p", F.lit(0))).alias("x"), finite(F.get("p", F.lit(1))).alias("y"), "status")
 
 
-def scan_zone_features(spark: SparkSession, path, id_property: str, default_crs: str | None = None, multi_line: bool = True) -> DataFrame:
+def scan_zone_features(spark: SparkSession, path, id_property: str, default_crs: str | None = None, multi_line: bool = False) -> DataFrame:
+    """One feature document per line, so that files are split; ``multi_line`` reads one document per file."""
     docs = spark.read.option("multiLine", multi_line).schema(FEATURES).json(path)
     return zone_vertices(docs, id_property, default_crs)
 
