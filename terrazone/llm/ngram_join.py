@@ -74,18 +74,19 @@ class Shapes:
             self.chosen[c] = (differ + 1 + spare, spare) if spare <= differ // 2 + 2 else None
         return self.chosen[c]
 
-    def signatures(self, tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-        """Hashes on which two linked sets agree at least once, for a set's own class and for the next, in which a larger set may be.
+    def signatures(self, tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+        """Hashes, and on how many of them a set that links agrees at least; for a set's own class and for the next, in which a larger set may be.
 
         Two linked sets agree on all parts but as many as they differ in tokens: on more parts than ``spare``. That also holds for the parts of
-        the tokens outside any fixed list. If one of the two has no more empty parts than ``spare``, they agree on one that is not empty. A set with more
+        the tokens outside any fixed list. At most as many of these are empty as either of the two has empty parts, so that all above that, one at
+        least if one has no more empty parts than ``spare``, are not. A set with more
         empty ones lists, in a second family, the parts of all its tokens, and the empty ones among those if these are still more than ``spare``.
         Small sets have no parts; they list their first tokens in one order of all tokens, frequent ones last, as many as cannot all be missing in a set that
         links. Sets of a class in which links allow no difference list nothing, as equal sets are one already.
         """
         own = int(np.searchsorted(self.upper, len(tokens)))
         often = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens if len(frequent) else np.zeros(len(tokens), bool)
-        found, small = [], False
+        found, small, least = [], False, []
         for c in (own, own + 1):
             if not self.differ[c]:
                 continue
@@ -95,6 +96,7 @@ class Shapes:
             n, spare = self.parts(c)
             parts, content = self.listed(tokens[~often], n)
             found.append(mixed(content + mixed(np.uint64((2 * c + 1) << 32) + parts)))
+            least.append(max(1, 1 + spare - (n - len(parts))))
             if n - len(parts) > spare:
                 parts, content = self.listed(tokens, n)
                 if n - len(parts) > spare:
@@ -104,7 +106,8 @@ class Shapes:
         if small:
             first = len(tokens) - -(-self.percent * len(tokens) // 100) + 1
             found.append(mixed(tokens[np.lexsort((mixed(tokens ^ SALT), often))][:first] + SALT))
-        return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            least.append(1)
+        return (np.concatenate(found).view(np.int64), min(least)) if found else (np.zeros(0, np.int64), 1)
 
     @staticmethod
     def listed(tokens: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,19 +167,20 @@ def token_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
         at = end
 
 
-def profiles(docs: DataFrame, size: int, leaders: int) -> DataFrame:
-    """(doc, n, h1, h2, mins): size of each row's set, a 128-bit hash of it, and its minimum hashes."""
+def profiles(docs: DataFrame, size: int, percent: int, leaders: int, frequent) -> DataFrame:
+    """(doc, n, h1, h2, mins, least): size of each row's set, a 128-bit hash of it, its minimum hashes, and on how many signatures a linked set agrees at least."""
     salts = mixed(np.arange(1, leaders + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shapes = Shapes(percent)
         for batch in batches:
             rows = []
             for t in token_sets(batch["text"].tolist(), size):
                 h = (mixed(t).sum(dtype=np.uint64), mixed(t ^ SALT).sum(dtype=np.uint64))
-                rows.append((len(t), *np.array(h, np.uint64).view(np.int64), [mixed(t ^ s).min().view(np.int64) for s in salts] if len(t) else []))
-            yield pd.DataFrame({"doc": batch["doc"], **{c: [r[i] for r in rows] for i, c in enumerate(("n", "h1", "h2", "mins"))}})
+                rows.append((len(t), *np.array(h, np.uint64).view(np.int64), [mixed(t ^ s).min().view(np.int64) for s in salts] if len(t) else [], shapes.signatures(t, frequent.value)[1]))
+            yield pd.DataFrame({"doc": batch["doc"], **{c: [r[i] for r in rows] for i, c in enumerate(("n", "h1", "h2", "mins", "least"))}})
 
-    return docs.mapInPandas(run, "doc long, n long, h1 long, h2 long, mins array<long>")
+    return docs.mapInPandas(run, "doc long, n long, h1 long, h2 long, mins array<long>, least int")
 
 
 def frequent_tokens(docs: DataFrame, size: int) -> np.ndarray:
@@ -191,27 +195,27 @@ def frequent_tokens(docs: DataFrame, size: int) -> np.ndarray:
     return np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def signature_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def signature_rows(docs: DataFrame, size: int, percent: int, frequent) -> DataFrame:
     """(sig, doc) of all parts of all named documents; equal sets of a batch are listed once."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shapes = Shapes(percent)
         for batch in batches:
-            seen, sigs, docs, held = set(), [], [], 0
+            seen, rows, held = set(), [], 0
             for doc, t in zip(batch["doc"], token_sets(batch["text"].tolist(), size)):
                 if not len(t) or (name := t.tobytes() if len(t) < 8 else xxhash.xxh3_128_digest(t.tobytes())) in seen:
                     continue
                 seen.add(name)
-                s = shapes.signatures(t, frequent.value)
-                sigs.append(s)
-                docs.append(np.full(len(s), doc, np.int64))
+                s, _ = shapes.signatures(t, frequent.value)
+                rows.append((s, doc))
                 held += len(s)
                 if held > 200_000:
-                    yield pd.DataFrame({"sig": np.concatenate(sigs), "doc": np.concatenate(docs)})
-                    sigs, docs, held = [], [], 0
-            if sigs:
-                yield pd.DataFrame({"sig": np.concatenate(sigs), "doc": np.concatenate(docs)})
+                    yield frame(rows)
+                    rows, held = [], 0
+            if rows:
+                yield frame(rows)
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({"sig": np.concatenate([s for s, _ in rows]), "doc": np.repeat(np.array([d for _, d in rows], np.int64), [len(s) for s, _ in rows])})
 
     return docs.where(F.col("doc").isNotNull()).mapInPandas(run, "sig long, doc long")
 
@@ -247,15 +251,20 @@ def leader_pairs(reps: DataFrame) -> DataFrame:
     return near.groupBy(F.col("doc").alias("a"), F.col("n").alias("an"), "b", "bn").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def group_meetings(docs: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
-    """(g, h) of different groups that agree on a part of a member each, g the smaller id."""
-    by_sig = Window.partitionBy("sig").orderBy("doc")
-    shared = (signature_rows(docs, size, percent).withColumns({"before": F.lag("doc").over(by_sig), "after": F.lead("doc").over(by_sig)})
+def group_meetings(docs: DataFrame, members: DataFrame, size: int, percent: int, frequent) -> DataFrame:
+    """(g, h) of different groups whose members agree on as many parts as those of any linked members must, g the smaller id.
+
+    ``members`` has doc, g and least of every document.
+    """
+    by_doc, by_sig = Window.partitionBy("sig").orderBy("doc"), Window.partitionBy("sig")
+    shared = (signature_rows(docs, size, percent, frequent).withColumns({"before": F.lag("doc").over(by_doc), "after": F.lead("doc").over(by_doc)})
               .where((F.col("before") != F.col("doc")) | (F.col("after") != F.col("doc"))).select("sig", "doc"))
-    rows = shared.join(groups.select(F.col("node").alias("doc"), "component"), "doc", "left").select("sig", F.coalesce("component", "doc").alias("g")).distinct()
-    ends = rows.groupBy("sig").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("sig")
-    rows, path = stash(rows.join(ends, "sig", "left_semi"), "parts")
-    return rows.join(rows.withColumnRenamed("g", "h"), "sig").where("g < h").select("g", "h").distinct()
+    rows = shared.join(members.select("doc", "g", "least"), "doc").select("sig", "g", "least")
+    rows = rows.withColumns({"low": F.min("g").over(by_sig), "high": F.max("g").over(by_sig)}).where("low < high").groupBy("sig", "g").agg(F.min("least").alias("least"))
+    rows, _ = stash(rows, "parts")
+    met = rows.join(rows.select("sig", F.col("g").alias("h"), F.col("least").alias("h_least")), "sig").where("g < h")
+    agreed = met.groupBy("g", "h").agg(F.count(F.lit(1)).alias("agreed"), F.min("least").alias("least"), F.min("h_least").alias("h_least"))
+    return agreed.where(F.col("agreed") >= F.greatest("least", "h_least")).select("g", "h")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFrame, str]:
@@ -314,15 +323,15 @@ def links_between_groups(queries: DataFrame, targets: DataFrame, sets: DataFrame
     return pairs.join(of_x, "x").join(of_y, "y").where(common * (100 + percent) >= percent * (F.col("xn") + F.col("yn"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, components: DataFrame, size: int, percent: int) -> DataFrame:
+def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, components: DataFrame, size: int, percent: int, frequent) -> DataFrame:
     """(a, b) of links between different components: enough to connect all that are linked at all."""
     spark = docs.sparkSession
     named = lambda t, c: t.select(F.col("node").alias("doc"), F.col("component").alias(c))
     members, members_path = stash(sizes.join(named(groups, "g"), "doc", "left").join(named(components, "c"), "doc", "left")
-                                  .select("doc", "n", F.coalesce("g", "doc").alias("g"), F.coalesce("c", "doc").alias("c")), "members")
+                                  .select("doc", "n", "least", F.coalesce("g", "doc").alias("g"), F.coalesce("c", "doc").alias("c")), "members")
     of = members.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
     side = lambda c, p: of.select(F.col("g").alias(c), *[F.col(x).alias(f"{p}_{x}") for x in ("rows", "low", "high")])
-    met = group_meetings(docs, groups, size, percent).join(side("g", "g"), "g").join(side("h", "h"), "h")
+    met = group_meetings(docs, members, size, percent, frequent).join(side("g", "g"), "g").join(side("h", "h"), "h")
     met = met.where((F.col("g_low") * percent <= F.col("h_high") * 100) & (F.col("h_low") * percent <= F.col("g_high") * 100))
     small_g = F.struct("g_rows", "g") < F.struct("h_rows", "h")
     pick = lambda a, b: F.when(small_g, F.col(a)).otherwise(F.col(b))
@@ -331,7 +340,7 @@ def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, compon
                                   .where(may_be_as_large(F.col("xn"), F.col("low"), F.col("high"), percent)).select("x", "xn", "g", "rows", "low").distinct(), "queries")
     targets, targets_path = stash(members.join(queries.select("g").distinct(), "g", "left_semi").select("g", F.col("doc").alias("y"), F.col("n").alias("yn")), "targets")
     open_groups = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
-    inside, inside_path = stash(members.join(open_groups, "g", "left_semi"), "inside")
+    inside, inside_path = stash(members.join(open_groups, "g", "left_semi").drop("least"), "inside")
     wanted = queries.select(F.col("x").alias("doc")).unionByName(targets.select(F.col("y").alias("doc"))).unionByName(inside.select("doc")).distinct()
     sets, sets_path = sets_of(docs, wanted, size)
     links, _ = stash(links_inside_groups(inside, sets, percent).unionByName(links_between_groups(queries, targets, sets, percent)), "group-links")
@@ -349,7 +358,8 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3,
     let_workers_import(df.sparkSession)
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    rows, _ = stash(profiles(docs, size, leaders), "profiles")
+    frequent = spark.sparkContext.broadcast(frequent_tokens(docs, size))
+    rows, _ = stash(profiles(docs, size, percent, leaders, frequent), "profiles")
     named = rows.where("doc IS NOT NULL AND n > 0")
     first, first_path = stash(named.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep")), "sets")
     equal = named.join(first, ["h1", "h2", "n"]).where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
@@ -359,7 +369,7 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3,
     linked = equal.unionByName(led)
     components = connected_components(linked, "components")
     groups = connected_components(linked.unionByName(near.select("a", "b")), "groups")
-    more = remaining_links(docs, named.groupBy("doc").agg(F.max("n").alias("n")), groups, components, size, percent)
+    more = remaining_links(docs, named.groupBy("doc").agg(F.max("n").alias("n"), F.min("least").alias("least")), groups, components, size, percent, frequent)
     if not more.isEmpty():
         components = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "components")
     remove(spark, near_path, led_path)

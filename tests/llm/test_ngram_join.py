@@ -91,4 +91,5 @@ def test_linked_sets_agree_on_a_listed_part():
             common = len(np.intersect1d(x, y))
             if len(x) != common and 100 * common >= percent * (len(x) + len(y) - common):
                 for frequent in (x[:0], x[::2], np.sort(x), np.union1d(x, y)[5:]):
-                    assert set(shapes.signatures(x, frequent)) & set(shapes.signatures(y, frequent))
+                    (a, least_a), (b, least_b) = shapes.signatures(x, frequent), shapes.signatures(y, frequent)
+                    assert len(set(a) & set(b)) >= max(least_a, least_b)
