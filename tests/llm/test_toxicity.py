@@ -87,6 +87,35 @@ def test_without_labels_or_documents(labelled, documents):
         assert model.trees is None and all(r["toxicity"]["score"] == model.prior for r in tx.score(documents(["a", None]), model).collect())
 
 
+def test_toxic_words_of_few_documents_count(spark, documents):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{j}" for j in rng.integers(0, 300, 30)) for _ in range(4000)]
+    for i in range(0, 200, 2):
+        texts[i] += f" slur{i // 20}"
+    for i in range(0, 200, 40):
+        texts[i] += " scarce"
+    labels = spark.createDataFrame([(i, int(i % 2 == 0 and i < 200)) for i in range(800)], "doc_id long, toxic int")
+    df = documents(texts + ["scarce", "slur3", "slur7 scarce"])
+    model = tx.fit(df, labels)
+    numbers = model.vocabulary.number
+    counts, n = tx.document_frequencies(df, "text", model.vocabulary)
+    assert n == 4003 and counts[numbers["scarce"]] == 7 < 0.002 * n
+    assert all(model.index.weight[numbers[w]] > 0 for w in ("scarce", "slur3", "slur7"))
+    for r in tx.score(df.where("doc_id >= 4000"), model).collect():
+        assert r["toxicity"]["score"] > 0.5 and [e["label"] for e in r["toxicity"]["evidence"]] == [1, 1, 1]
+
+
+def test_words_of_one_hash_are_two_terms():
+    seen = {}
+    for word in (f"{i * 2654435761 % 2**32:x}" for i in range(10_000)):
+        other = seen.setdefault(zlib.crc32(word.encode()) & (tx.TERMS - 1), word)
+        if other != word:
+            break
+    assert other != word and tx.terms(other).tolist() == tx.terms(word).tolist()
+    known = tx.Vocabulary({other, word})
+    assert known.terms(other).tolist() != known.terms(word).tolist() and len(known.terms(f"{word} {other} unknown")) == 2
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="benchmark tables are not available")
 def test_held_out_accuracy_on_the_shared_tables(spark):
     rows = queries.QUERIES["op9_toxicity"](spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("held_out").collect()
