@@ -2,7 +2,8 @@
 
 A span that satisfies the strict pattern of its kind is always kept. The generators also propose looser spans, which may
 overlap: numbers in other groupings, telephone numbers without a plus, written-out e-mail addresses. A model of format and context
-scores those; per kind, the lowest threshold that keeps the wanted precision on unseen rows selects what is added.
+scores those; per kind, the lowest threshold that keeps the wanted precision on unseen rows selects what is added. The trees are fitted
+on a bounded number of documents, as many as possible of each kind of span; thresholds come from all other documents.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from . import boosting
-from .common import bounded_sample
 
 # fixed values: the kinds in their order, and the strict patterns (possessive where that changes no match)
 KINDS = ("email", "ip", "card", "phone")
@@ -35,8 +35,11 @@ LOOSE_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{2,4}\)\x20?|[0-9]{1,4}[\x20.-])
 LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?[\[({\x20]at[\])}\x20]\x20?[A-Za-z0-9-]{1,64}(?:\x20?[\[({\x20]dot[\])}\x20]\x20?[A-Za-z0-9-]{1,64}|\.[A-Za-z0-9-]{1,64})+")
 WORDS_BEFORE = re.compile(r"card|visa|credit|phone|tel|call|mobile|fax|mail|contact|write|server|host|addr", re.I)
 SPANS = "array<struct<kind:string,start:int,end:int,score:double,base:boolean>>"
-#: Documents from which the trees are fitted, and the wanted precision of added spans.
-SAMPLE, PRECISION = 4000, 0.98
+#: Documents from which the trees are fitted, examples of each kind and label among theirs, and the wanted precision of added spans.
+SAMPLE, EXAMPLES, PRECISION = 4000, 20_000, 0.98
+#: Steps of scores, of which thresholds are one.
+STEPS = 1000
+DATE = re.compile(r"(?:19|20)[0-9]{2}[\x20./-](?:0?[1-9]|1[0-2])[\x20./-][0-3]?[0-9](?![0-9])")
 
 
 def luhn(digits: str) -> bool:
@@ -84,6 +87,19 @@ def propose(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int,
     return sorted(set(base)), sorted(set(loose) - set(base))
 
 
+def malformed(kind: int, span: str) -> bool:
+    """Whether a looser candidate cannot be of its kind, by its format alone."""
+    digits = re.sub("[^0-9]", "", span)
+    if kind == 0:
+        top = re.split(r"[^A-Za-z0-9-]+", span)[-1]
+        return len(top) < 2 or not top.isalpha()
+    if kind == 1:
+        return any(int(p[-4:]) > 255 or p[:-4].strip("0") for p in span.split("."))
+    if kind == 2:
+        return not 13 <= len(digits) <= 19 or not luhn(digits)
+    return not 9 <= len(digits) <= 15 or DATE.match(span) is not None
+
+
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
     """Format and context of a span."""
     span, before, after = text[start:end], text[max(0, start - 24):start], text[end:end + 2]
@@ -120,6 +136,7 @@ def variants(text: str, kind: int, start: int, end: int, rng: random.Random) ->
         yield put(f"({number[:3]}) {number[3:6]}-{number[6:]}", 1)
         yield put(f"{number[:3]}-{number[3:6]}-{number[6:]}", 1)
         yield put(f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)} {rng.randint(10, 23)}", 0)
+        yield put(f"{rng.randint(1900, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}", 0)
         yield put(f"{rng.randint(1, 99)} {rng.randint(100, 999)} {rng.randint(100, 999)}", 0)
 
 
@@ -142,7 +159,7 @@ class Cover:
 
 
 def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:
-    """Training rows of a text: strict spans, their variants, and the other candidates as negatives."""
+    """Labelled rows of a text: strict spans, their variants, and as negatives the other candidates of a wrong format; those of a right one have no label."""
     rng, (base, loose) = random.Random(seed), propose(text)
     for k, a, b in base:
         yield features(text, k, a, b), 1
@@ -152,7 +169,7 @@ def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:
     for _, a, b in base:
         known.add(a, b)
     for k, a, b in loose:
-        if not known.meets(a, b):
+        if malformed(k, text[a:b]) and not known.meets(a, b):
             yield features(text, k, a, b), 0
 
 
@@ -178,34 +195,100 @@ class Detector:
         return sorted(chosen)
 
 
-def fit(df: DataFrame, text: str = "text", key: list[str] = ("doc_id",), sample: int = SAMPLE, precision: float = PRECISION) -> Detector:
-    """Fit on at most ``sample`` documents; only feature rows come to the driver. A third of them sets the thresholds.
+def documents_of_each_kind(rows: DataFrame, sample: int) -> list[np.ndarray]:
+    """Hashes of documents with a strict span of each kind, then with a looser candidate of each kind: the smallest of each, ``sample`` in all.
 
-    Without rows of both labels nothing is added to the strict spans.
+    All documents are looked through; each task passes on the smallest hashes of its own.
     """
-    chosen = bounded_sample(df.where(F.col(text).isNotNull()).select(*key, text), [*key, text], sample).select(F.col(text).alias("text"), (F.xxhash64(text) % 2**31).alias("seed"))
+    groups = 2 * len(KINDS)
+    most = max(3, sample // groups)
+
+    def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[set[int]] = [set() for _ in range(groups)]
+        for batch in batches:
+            for t, h in zip(batch["text"], batch["h"]):
+                base, loose = propose(t)
+                for g in {k for k, *_ in base} | {len(KINDS) + k for k, *_ in loose}:
+                    held[g].add(h)
+            held = [set(sorted(x)[:most]) for x in held]
+        yield pd.DataFrame({"g": range(groups), "h": [sorted(x) for x in held]})
+
+    found = rows.mapInPandas(smallest, "g int, h array<long>").toPandas()
+    # an empty list may come as floats, which cannot hold hashes
+    return [np.unique(np.concatenate([np.zeros(0, np.int64), *(np.asarray(h, np.int64) for h in found["h"][found["g"] == g])]))[:most] for g in range(groups)]
+
+
+def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the examples of all documents of a task at most EXAMPLES of each kind and label, those of the smallest uniform draw."""
+    held: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        for t, h in zip(batch["text"], batch["h"]):
+            draw = random.Random(h)
+            for x, y in examples(t, h):
+                held.setdefault((int(x[0]), y), []).append((draw.random(), h, [float(v) for v in x]))
+            for group in held.values():
+                if len(group) > 2 * EXAMPLES:
+                    group[:] = sorted(group)[:EXAMPLES]
+    for (kind, y), group in sorted(held.items()):
+        group = sorted(group)[:EXAMPLES]
+        yield pd.DataFrame({"draw": [d for d, *_ in group], "h": [h for _, h, _ in group], "x": [x for *_, x in group], "kind": kind, "y": y})
+
+
+def score_counts(rows: DataFrame, trees: boosting.Boosted, fitted: frozenset[int]) -> np.ndarray:
+    """Examples of all documents, counted by (document among the fitted ones, kind, label, step of the score)."""
+    shape = (2, len(KINDS), 2, STEPS + 1)
+    shared = rows.sparkSession.sparkContext.broadcast((trees, fitted))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, seen = shared.value
+        total, cells, x = np.zeros(np.prod(shape), np.int64), [], []
+
+        def add():
+            if x:
+                steps = np.floor(model.score(np.array(x, float)) * STEPS).astype(np.int64)
+                np.add.at(total, np.ravel_multi_index((*np.array(cells).T, steps), shape), 1)
+            cells.clear(), x.clear()
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for t, seed in zip(batch["text"], batch["seed"]):
-                if found := list(examples(t, int(seed)))[:200]:
-                    yield pd.DataFrame({"x": [[float(v) for v in x] for x, _ in found], "y": [y for _, y in found], "part": [int(seed) % 3 == 0] * len(found), "seed": [seed] * len(found)})
+            for t, h in zip(batch["text"], batch["h"]):
+                for row, y in examples(t, h):
+                    cells.append((h in seen, int(row[0]), y))
+                    x.append(row)
+                if len(x) > 5000:
+                    add()
+        add()
+        there = np.flatnonzero(total)
+        yield pd.DataFrame({"cell": there, "n": total[there]})
+
+    table = rows.mapInPandas(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(np.prod(shape), np.int64)
+    out[table["cell"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
+    return out.reshape(shape)
+
+
+def fit(df: DataFrame, text: str = "text", key: list[str] = ("doc_id",), sample: int = SAMPLE, precision: float = PRECISION) -> Detector:
+    """Fit on about ``sample`` documents, an equal number for each kind of strict span and looser candidate, or all where there are fewer.
 
-    table = chosen.mapInPandas(rows, "x array<double>, y int, part boolean, seed long").toPandas()
+    Every third of these is not fitted on. Thresholds come from the scores in all documents that were not; for a kind with examples of label
+    1 in fitted documents only, from those. Only feature rows, hashes and counts come to the driver. Equal texts are one document to the fit, and
+    count as often as they stand there for the thresholds. Where no document has a strict span, or none a negative, nothing is added to the strict spans.
+    """
+    rows = df.where(F.col(text).isNotNull()).select(F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("h"))
+    groups = documents_of_each_kind(rows, sample)
+    held = {int(h) for g in groups for h in g[1::3]}
+    fitted = frozenset(int(h) for g in groups for h in g) - held
+    names = df.sparkSession.createDataFrame([(h,) for h in sorted(fitted)], "h long")
+    chosen = rows.join(F.broadcast(names), "h").groupBy("h").agg(F.min("text").alias("text"))
+    table = chosen.mapInPandas(drawn, "draw double, h long, x array<double>, kind int, y int").toPandas()
+    table = table.assign(order=table["x"].map(tuple)).sort_values(["draw", "h", "order"]).groupby(["kind", "y"]).head(EXAMPLES)
     if table["y"].nunique() < 2:
         return Detector(None, (1.0,) * 4)
-    table = table.assign(order=table["x"].map(tuple)).sort_values(["seed", "order", "y"])
-    x, y, held = np.array(table["x"].tolist()), table["y"].to_numpy(float), table["part"].to_numpy(bool)
-    if held.all() or not held.any():
-        return Detector(None, (1.0,) * 4)
-    trees = boosting.fit(x[~held], y[~held])
-    scores, thresholds = trees.score(x[held]), []
-    for kind in range(len(KINDS)):
-        s, l = (v[x[held][:, 0] == kind] for v in (scores, y[held]))
-        order = np.argsort(-s, kind="stable")
-        right = np.cumsum(l[order]) / np.arange(1, len(order) + 1)
-        good = np.flatnonzero((right >= precision) & (s[order] >= 0.5))
-        thresholds.append(float(s[order][good[-1]]) if len(good) else 1.1)
+    trees = boosting.fit(np.array(table["x"].tolist()), table["y"].to_numpy(float))
+    thresholds = []
+    for unseen, seen in zip(*score_counts(rows, trees, fitted)):
+        clean, right = np.cumsum((unseen if unseen[1].any() else seen)[:, ::-1], 1)  # from the highest step down
+        good = np.flatnonzero((right > 0) & (right >= precision * (right + clean)) & (np.arange(STEPS, -1, -1) >= STEPS // 2))
+        thresholds.append((STEPS - int(good[-1])) / STEPS if len(good) else 1.1)
     return Detector(trees, tuple(thresholds))
 
 

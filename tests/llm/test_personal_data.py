@@ -79,6 +79,34 @@ def test_without_examples_and_empty_table(documents, spark):
     assert pd_.find_spans(docs.limit(0), pd_.fit(docs.limit(0))).collect() == []
 
 
+def test_kinds_of_few_documents_are_found(documents):
+    rng = np.random.default_rng(4)
+    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    texts = [f"note {i} on server {'.'.join(map(str, rng.integers(0, 256, 4)))} or {'.'.join(map(str, rng.integers(256, 900, 4)))}" for i in range(3000)]
+    for i in range(0, 3000, 250):  # 12 documents of 3,000
+        texts[i] = f"please write to some.user{d(2)}@mail{d(1)}.example.com about it"
+    detector = pd_.fit(documents(texts), sample=160)
+    assert detector.thresholds[0] <= 1
+    found = pd_.find_spans(documents(["please write to user12 [at] mail5 [dot] example [dot] com about it"]), detector).first()["spans"]
+    assert [s["kind"] for s in found] == ["email"]
+
+
+def test_hashes_are_exact_where_tasks_have_no_candidate(documents):
+    docs = documents(["write to a.b@c.example.com", "nothing", "at 1.2.3.4", "none"], 8).withColumn("h", F.xxhash64("text"))
+    groups = pd_.documents_of_each_kind(docs.select("text", "h"), 80)
+    have = {r["h"] for r in docs.collect()}
+    assert [len(g) for g in groups[:2]] == [1, 1] and all(int(h) in have for g in groups for h in g)
+
+
+def test_examples_of_dense_documents_and_without_labels():
+    right, wrong = "(523) 555-1055", "1200 3400 5600 78001"
+    rows = list(pd_.examples(" , ".join(["4111111111111111"] * 100 + [wrong] * 300 + [right] * 50), 1))
+    natural = [y for x, y in rows if (x[0], x[1]) == (2, len(wrong))]
+    assert len(natural) >= 300 and not any(natural)
+    assert not [x for x, _ in pd_.examples(f"call {right} now", 1)]  # no label: neither data nor not
+    assert [y for _, y in pd_.examples("on 2021-10-20 12 or 2021-10-20", 1)].count(0) >= 1
+
+
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((3000, 5))
