@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..sources import readers as rd, sinks as sk
 from .registry import query, rnd, table
 
+#: Records of a JSON list at most.
+LIST_ROWS = 2000
 BOX = "[[[{x},{y}],[{u},{y}],[{u},{v}],[{x},{v}],[{x},{y}]]]"
 
 
@@ -23,8 +25,9 @@ def scan_csv_evidence(spark, d):
 def scan_json_records(spark, d):
     path = sk.work_dir(spark)
     c = table(spark, d, "conversations")
-    # one file per list of the records of 200 conversations
-    lists = c.groupBy(F.floor(F.col("conv_id") / 200).alias("part")).agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
+    # one file per list of at most so many records: rows are numbered inside their partitions, no key holds them together
+    number = F.monotonically_increasing_id()
+    lists = c.withColumn("part", F.floor(number / LIST_ROWS)).groupBy("part").agg(F.to_json(F.collect_list(F.struct(*c.columns))).alias("value"))
     lists.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return rd.scan_json_records(spark, path, c.schema).select("conv_id", "turn", "role", F.md5("text").alias("text_hash"))
 

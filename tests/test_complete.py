@@ -1,10 +1,13 @@
 """Rows that must not get lost: comparisons without shared cells, months without observations, undeclared layers, repeated keys, equal file names."""
 
 import hashlib
+import json
 
 from pyspark.sql import functions as F
 
+from terrazone import plans
 from terrazone.operators import audit, compare as cp, rules, scenario, timeagg as ta
+from terrazone.plans import q_io
 from terrazone.sources import readers as rd, sinks as sk
 
 
@@ -66,3 +69,13 @@ def test_negative_values_and_unlisted_classes_are_rejected(spark):
     classes = spark.createDataFrame([("a", 1.0, 12, [12.0, 1.0]), ("b", 1.0, 1, [1.0, 2.0]), ("c", 1.0, 1, [1.0, 7.5])], "group_id string, area double, modal_class int, values array<double>")
     classes = classes.withColumns({f: F.lit(0) for f in scenario.CLASS_FLAGS}).withColumn("unique_class_count", F.lit(2))
     assert {r["group_id"]: r["input_status"] for r in scenario.scenario_class_summary(classes, ["group_id"], [1, 2, 3]).collect()} == {"a": "UNLISTED_CLASS", "b": "OK", "c": "UNLISTED_CLASS"}
+
+
+def test_json_lists_of_a_hot_conversation_are_bounded(spark, tmp_path, monkeypatch):
+    rows = spark.range(9000).select(F.when(F.col("id") < 8000, 7).otherwise(F.col("id")).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("text "), "id").alias("text"))
+    rows.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    monkeypatch.setattr(q_io.sk, "work_dir", lambda spark: f"{tmp_path}/lists")
+    back = plans.QUERIES["scan_json_records"](spark, str(tmp_path))
+    assert back.count() == 9000 and back.select("turn").distinct().count() == 9000
+    sizes = [len(json.loads(f.read_text())) for f in (tmp_path / "lists").glob("part-*") if f.stat().st_size]
+    assert sum(sizes) == 9000 and max(sizes) <= 2000
