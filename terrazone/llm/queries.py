@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import mixing, near_vectors, ngram_join, personal_data, quality, sampled_pieces, sharding, token_count, toxicity, warc
+from . import mixing, near_vectors, ngram_join, personal_data, quality, sampled_pieces, sharding, token_count, toxicity, warc, whitening
 from .common import let_workers_import, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ def op2_vector_duplicates(spark, d):
 def op4_ngram_join(spark, d):
     """No SQL: all pairs of whole tables are too slow there; the tests compare with all pairs of a small one."""
     return ngram_join.join(table(spark, d, "documents"), size=3, percent=90)
+
+
+@query("op13_whitened_vectors")
+def op13_whitened_vectors(spark, d):
+    """No SQL: eigenvectors; the tests compare with a dense decomposition of the same covariance."""
+    return whitening.whiten(table(spark, d, "embeddings"))
