@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import mixing, near_vectors, ngram_join, personal_data, quality, sampled_pieces, sharding, token_count, toxicity, warc, whitening
+from . import mixing, near_vectors, ngram_join, personal_data, quality, sampled_pieces, sharding, spelling, token_count, toxicity, warc, whitening
 from .common import let_workers_import, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,11 +35,17 @@ def op1_token_counts(spark, d):
 
 
 SHARDS = 40
+#: The table of CRC-32 and the check sum of the bytes of a text, for SQL.
+CRC_TABLE = """c AS (SELECT range n, range c, 0 k FROM range(256) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM c WHERE k < 8),
+ crc AS (SELECT list(c ORDER BY n) t FROM c WHERE k = 8)"""
 
 
-@query("op3_rendezvous_shards", f"""WITH RECURSIVE c AS (SELECT range n, range c, 0 k FROM range(256) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM c WHERE k < 8),
- crc AS (SELECT list(c ORDER BY n) t FROM c WHERE k = 8),
- d AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 size, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(coalesce(text, ''))), lambda i: ('0x' || substr(hex(encode(coalesce(text, ''))), 2 * i::INT + 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) text_crc32,
+def crc_sql(x: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen({x})), lambda i: ('0x' || substr(hex(encode({x})), 2 * i::INT + 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295)"
+
+
+@query("op3_rendezvous_shards", f"""WITH RECURSIVE {CRC_TABLE},
+ d AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 size, {crc_sql("coalesce(text, '')")} text_crc32,
   array_to_string(list_transform(range({-(-(SHARDS + 1) // 4)}), lambda b: md5(coalesce(doc_id::VARCHAR, '~') || ':' || b)), '') h FROM documents, crc),
  s AS (SELECT doc_id, size, text_crc32, list_aggregate(list_transform(range({SHARDS}), lambda s: {{'x': ('0x' || substr(h, 8 * s::INT + 1, 8))::BIGINT, 's': -s}}), 'max') a, list_aggregate(list_transform(range({SHARDS + 1}), lambda s: {{'x': ('0x' || substr(h, 8 * s::INT + 1, 8))::BIGINT, 's': -s}}), 'max') b FROM d)
  SELECT doc_id, size::BIGINT size, text_crc32::BIGINT text_crc32, 'key' law, (-a.s)::INT shard, row_number() OVER (PARTITION BY a.s ORDER BY md5(concat_ws(':', coalesce(doc_id::VARCHAR, '~'), text_crc32, size)), doc_id, text_crc32, size) - 1 slot, (-b.s)::INT grown_shard FROM s""")
@@ -127,3 +133,18 @@ def op4_ngram_join(spark, d):
 def op13_whitened_vectors(spark, d):
     """No SQL: eigenvectors; the tests compare with a dense decomposition of the same covariance."""
     return whitening.whiten(table(spark, d, "embeddings"))
+
+
+@query("op12_spelling_variants", f"""WITH RECURSIVE {CRC_TABLE},
+ r AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' k, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') run FROM documents),
+ h AS (SELECT run, n, {crc_sql("(k || run)")} h FROM (SELECT k, run, count(*) n FROM r WHERE length(run) >= 6 GROUP BY k, run), crc),
+ w AS (SELECT word, sum(n)::BIGINT n FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END word FROM h) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+ d AS (SELECT word, length(word) l, i, substr(word, 1, i) || substr(word, i + 2) d FROM (SELECT word, unnest(range(length(word))) i FROM w)),
+ p AS (SELECT a.word, b.word o FROM d a JOIN d b ON a.d = b.d AND a.i = b.i AND a.l = b.l AND a.word <> b.word UNION SELECT d.word, w.word FROM d JOIN w ON d.d = w.word UNION SELECT w.word, d.word FROM d JOIN w ON d.d = w.word),
+ f AS (SELECT p.word, count(*) n_near, arg_min(o, {{'n': -w.n, 'o': o}}) best FROM p JOIN w ON p.o = w.word GROUP BY p.word),
+ o AS (SELECT w.word, w.n, coalesce(n_near, 0) n_near, CASE WHEN b.n >= 5 * w.n THEN b.word END form, CASE WHEN b.n >= 5 * w.n THEN b.n END form_n FROM w LEFT JOIN f USING (word) LEFT JOIN w b ON f.best = b.word),
+ chain AS (SELECT word, word node FROM o UNION ALL SELECT chain.word, o.form FROM chain JOIN o ON chain.node = o.word WHERE o.form IS NOT NULL),
+ root AS (SELECT chain.word, node root FROM chain JOIN o ON chain.node = o.word WHERE o.form IS NULL)
+ SELECT o.word, form, root, n, n_near, form_n FROM o JOIN root USING (word)""")
+def op12_spelling_variants(spark, d):
+    return spelling.group(table(spark, d, "documents"))
