@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.registry import table
-from . import mixing, near_vectors, ngram_join, personal_data, quality, sampled_pieces, sharding, spelling, token_count, toxicity, warc, whitening
+from . import mixing, near_vectors, ngram_join, personal_data, pitman_yor, quality, sampled_pieces, sharding, spelling, token_count, toxicity, warc, whitening
 from .common import let_workers_import, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,11 @@ def op13_whitened_vectors(spark, d):
  SELECT o.word, form, root, n, n_near, form_n FROM o JOIN root USING (word)""")
 def op12_spelling_variants(spark, d):
     return spelling.group(table(spark, d, "documents"))
+
+
+@query("op11_pitman_yor_scores")
+def op11_pitman_yor_scores(spark, d):
+    """No SQL: seating is sampled; the tests compare with a plain sampler and the counts with brute force."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = pitman_yor.evaluate(docs, pitman_yor.training(F.col("doc_id")))
+    return scored.select("doc_id", (~pitman_yor.training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_personal_data": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10_sampled_pieces": "doc_id bigint, n_pieces bigint",
+    "op11_pitman_yor_scores": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     "op12_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
     "op13_whitened_vectors": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
 }
