@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import remove, stash
 
 
-def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(node, component) of every node of the links (a, b); the component is the smallest node that can be reached.
+def connected_components(links: DataFrame, name: str = "components", with_path: bool = False) -> DataFrame | tuple[DataFrame, str]:
+    """(node, component) of every node of the links (a, b), and the path of that table if asked for; the component is the smallest node that can be reached.
 
     Nodes without a link to another node do not appear. Each round first connects the larger neighbours of a node to the smallest id
     in its neighbourhood, then the smaller ones and itself; rounds end when every node has one link, to a node without one. Minima are
@@ -24,7 +24,7 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
             new, new_path = stash(step(table, lows).where("node != component").distinct(), name)
             remove(spark, path, low_path)
             table, path = new, new_path
-    return table
+    return (table, path) if with_path else table
 
 
 def is_flat(table: DataFrame) -> bool:

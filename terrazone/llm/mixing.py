@@ -86,17 +86,20 @@ def mix(df: DataFrame, source: str = "source", size: Column | None = None, row_k
     taken; an empty table stays empty. Texts are not shuffled unless there are too many sources for Spark to broadcast their table.
     """
     clash = [c for c in ("size", "source_size", "target", "taken", "copies") if c in df.columns]
+    mark = "__"  # begins the names of columns on the way, and of no column of the input
+    while any(c.startswith(mark) for c in df.columns):
+        mark += "_"
+    col = lambda c: F.col(mark + c)
     size = word_count(F.col(text)) if size is None else size
-    rows = df.withColumns({"__size": size, "__key": uniform_key(F.lit(seed), *row_key, F.md5(F.coalesce(F.col(text), F.lit("~"))))}).drop(*clash)
-    keyed, path = stash(rows.select(F.col(source).alias("source"), F.col("__size").alias("size"), F.col("__key").alias("key")), "mix-keys")
+    rows = df.withColumns({f"{mark}size": size, f"{mark}key": uniform_key(F.lit(seed), *row_key, F.md5(F.coalesce(F.col(text), F.lit("~"))))}).drop(*clash)
+    keyed, path = stash(rows.select(F.col(source).alias("source"), col("size").alias("size"), col("key").alias("key")), "mix-keys")
     goals = targets(keyed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs)
     ends, _ = stash(cuts(keyed, goals, slices), "mix-cuts")
     remove(df.sparkSession, path)
-    ends = ends.select(F.col("source").alias("__source"), *[F.col(c).alias(f"__{c}") for c in ends.columns if c != "source"])
-    joined = rows.join(ends, rows[source].eqNullSafe(ends["__source"]), "left")
-    part = F.when(F.col("__key") < F.col("__cut_key"), F.col("__size")).when(F.col("__key") == F.col("__cut_key"), F.col("__cut_words")).otherwise(0)
-    out = joined.withColumns({"__part": F.coalesce(part, F.lit(0)).cast("long")})
-    whole = ((F.col("__part") > 0) & (2 * F.col("__part") >= F.col("__size"))).cast("long")
-    return out.withColumns({"size": F.col("__size"), "source_size": F.col("__source_size"), "target": F.col("__target"),
-                            "taken": F.col("__epochs") * F.col("__size") + F.col("__part"),
-                            "copies": F.when(F.col("__size") > 0, F.col("__epochs") + whole).otherwise(0).cast("long")}).drop(*[c for c in out.columns if c.startswith("__")])
+    ends = ends.select(*[F.col(c).alias(mark + c) for c in ends.columns])
+    joined = rows.join(ends, rows[source].eqNullSafe(ends[f"{mark}source"]), "left")
+    part = F.when(col("key") < col("cut_key"), col("size")).when(col("key") == col("cut_key"), col("cut_words")).otherwise(0)
+    out = joined.withColumns({f"{mark}part": F.coalesce(part, F.lit(0)).cast("long")})
+    whole = ((col("part") > 0) & (2 * col("part") >= col("size"))).cast("long")
+    return out.withColumns({"size": col("size"), "source_size": col("source_size"), "target": col("target"), "taken": col("epochs") * col("size") + col("part"),
+                            "copies": F.when(col("size") > 0, col("epochs") + whole).otherwise(0).cast("long")}).drop(*[c for c in out.columns if c.startswith(mark)])

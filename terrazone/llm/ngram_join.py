@@ -13,6 +13,11 @@ number of parts follows from the size of the larger document, for which document
 parts meet on single tokens. Parts are made of the
 tokens that are not frequent, as frequent ones would let unrelated documents agree; documents with hardly any others list parts of all their tokens
 as well. Which tokens count as frequent, and which leaders are tried, changes the work and not the result.
+
+A part that very many groups agree on does not pair them. They are put together into one larger group, whose row of the matrix says in how many
+components each token occurs: a document all but a few of whose tokens have to be shared with another component, and are not, has no link
+left and drops out; the rest is compared in blocks. So the pairs that a part forms are bounded, and a large group costs what its tokens cost and
+the square of those members alone that the matrix cannot rule out.
 """
 
 from __future__ import annotations
@@ -36,10 +41,11 @@ LEADERS, ALIKE = 6, 3
 SAMPLE, OFTEN, MOST = 5000, 3, 1 << 16
 #: Documents of a group that are compared in one piece, and tokens that are compared at once.
 BLOCK, COLUMNS = 512, 8192
+#: Groups that agree on a part and are paired at most; beyond that they become one. Rounds in which the matrix thins out large groups.
+PAIRED, ROUNDS = 16, 2
 SALT = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of text that are made into sets at once.
 CHUNK = 1 << 20
-SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 class Shapes:
@@ -120,25 +126,20 @@ class Shapes:
         return part[order[begins]], np.add.reduceat(mixed(tokens[order] + SALT), begins)
 
 
-def powers(n: int) -> np.ndarray:
-    """The first n powers of the odd factor of the word hash, modulo 2**64."""
-    factors = np.full(n, SALT)
-    factors[:1] = 1
-    return np.multiply.accumulate(factors)
+class Seen(dict):
+    """Numbers of words in the order of their first occurrence."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = len(self)
+        return self[word]
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of every word of the texts, one after another, and the number of words of each text: a polynomial of the bytes, then mixed."""
-    data = np.frombuffer(b"\n".join(texts), np.uint8)
-    at = np.flatnonzero(~SPACE[data])
-    limits = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-    if not len(at):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    begins = np.flatnonzero(np.r_[True, np.diff(at) > 1])
-    lengths = np.diff(np.r_[begins, len(at)])
-    offset = np.arange(len(at)) - np.repeat(begins, lengths)
-    sums = np.add.reduceat((data[at].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[offset], begins)
-    return mixed(sums), np.diff(np.r_[0, np.searchsorted(at[begins], limits)])
+    """A hash of every word of the texts, one after another, and the number of words of each text; a distinct word is hashed once."""
+    words, seen = [t.split() for t in texts], Seen()  # of bytes: at ASCII white space
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    number = np.fromiter((seen[w] for ws in words for w in ws), np.int64, int(counts.sum()))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, seen), np.uint64, len(seen))[number], counts
 
 
 def chained(h: np.ndarray, n: int) -> np.ndarray:
@@ -242,29 +243,33 @@ def linked_by_text(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -
     return first.join(docs.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
-def leader_pairs(reps: DataFrame) -> DataFrame:
-    """(a, an, b, bn, shared): each set, the leader of a bucket of minimum hashes that it is in, and how many buckets name that leader for it."""
+def leader_pairs(reps: DataFrame) -> tuple[DataFrame, str]:
+    """(a, an, b, bn, shared): each set, the leader of a bucket of minimum hashes that it is in, and how many buckets name that leader for it; and the leaders' path."""
     rows = reps.select("doc", "n", F.posexplode("mins").alias("k", "m"))
-    leaders, _ = stash(rows.groupBy("k", "m").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("lead"), F.count(F.lit(1)).alias("rows"))
+    leaders, path = stash(rows.groupBy("k", "m").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("lead"), F.count(F.lit(1)).alias("rows"))
                        .where("rows > 1").select("k", "m", F.col("lead.doc").alias("b"), F.col("lead.n").alias("bn")), "leaders")
     near = rows.join(leaders, ["k", "m"]).where(F.col("doc") != F.col("b"))
-    return near.groupBy(F.col("doc").alias("a"), F.col("n").alias("an"), "b", "bn").agg(F.count(F.lit(1)).alias("shared"))
+    return near.groupBy(F.col("doc").alias("a"), F.col("n").alias("an"), "b", "bn").agg(F.count(F.lit(1)).alias("shared")), path
 
 
-def group_meetings(docs: DataFrame, members: DataFrame, size: int, percent: int, frequent) -> DataFrame:
-    """(g, h) of different groups whose members agree on as many parts as those of any linked members must, g the smaller id.
+def group_meetings(docs: DataFrame, members: DataFrame, size: int, percent: int, frequent) -> tuple[DataFrame, DataFrame, str]:
+    """(g, h) of different groups whose members agree on as many parts as those of any linked members must, g the smaller id; (g, lead) of groups
+    that agree on a part with very many others; and the path of what both are read from.
 
-    ``members`` has doc, g and least of every document.
+    ``members`` has doc, g and least of every document. Each part pairs at most ``PAIRED`` groups.
     """
     by_doc, by_sig = Window.partitionBy("sig").orderBy("doc"), Window.partitionBy("sig")
     shared = (signature_rows(docs, size, percent, frequent).withColumns({"before": F.lag("doc").over(by_doc), "after": F.lead("doc").over(by_doc)})
               .where((F.col("before") != F.col("doc")) | (F.col("after") != F.col("doc"))).select("sig", "doc"))
     rows = shared.join(members.select("doc", "g", "least"), "doc").select("sig", "g", "least")
-    rows = rows.withColumns({"low": F.min("g").over(by_sig), "high": F.max("g").over(by_sig)}).where("low < high").groupBy("sig", "g").agg(F.min("least").alias("least"))
-    rows, _ = stash(rows, "parts")
-    met = rows.join(rows.select("sig", F.col("g").alias("h"), F.col("least").alias("h_least")), "sig").where("g < h")
+    rows = rows.withColumns({"low": F.min("g").over(by_sig), "high": F.max("g").over(by_sig)}).where("low < high").groupBy("sig", "low", "g").agg(F.min("least").alias("least"))
+    rows, path = stash(rows.withColumn("groups", F.count(F.lit(1)).over(by_sig)), "parts")
+    few = rows.where(F.col("groups") <= PAIRED).select("sig", "g", "least")
+    met = few.join(few.select("sig", F.col("g").alias("h"), F.col("least").alias("h_least")), "sig").where("g < h")
     agreed = met.groupBy("g", "h").agg(F.count(F.lit(1)).alias("agreed"), F.min("least").alias("least"), F.min("h_least").alias("h_least"))
-    return agreed.where(F.col("agreed") >= F.greatest("least", "h_least")).select("g", "h")
+    # parts of many groups do not count here, so one that two documents agree on may be missing: those groups meet in the larger one as well
+    many = rows.where(F.col("groups") > PAIRED).select("g", F.col("low").alias("lead")).distinct()
+    return agreed.where(F.col("agreed") >= F.greatest("least", "h_least")).select("g", "h"), many, path
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFrame, str]:
@@ -323,15 +328,37 @@ def links_between_groups(queries: DataFrame, targets: DataFrame, sets: DataFrame
     return pairs.join(of_x, "x").join(of_y, "y").where(common * (100 + percent) >= percent * (F.col("xn") + F.col("yn"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, components: DataFrame, size: int, percent: int, frequent) -> DataFrame:
-    """(a, b) of links between different components: enough to connect all that are linked at all."""
+def thinned(inside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the rows (g, doc, n, c) of a group those that may link with another component of it, by the matrix row of the group.
+
+    The matrix says which tokens of a group are in several of its components. A document that links has as many of them as the smallest overlap
+    with a document that can link; without those that have fewer, further tokens may be in one component only. Groups of up to ``BLOCK`` documents are
+    compared in one piece anyway and stay as they are.
+    """
+    large = inside.groupBy("g").count().where(F.col("count") > BLOCK).select("g")
+    rows, path = stash(inside.join(large, "g", "left_semi"), "large")
+    paths = [path]
+    for _ in range(ROUNDS):
+        tokens = rows.join(sets, "doc").select("g", "doc", "n", "c", F.explode("tokens").alias("token"))
+        shared = tokens.groupBy("g", "token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g", "token")
+        overlap = tokens.join(shared, ["g", "token"]).groupBy("g", "doc", "n", "c").agg(F.count(F.lit(1)).alias("overlap"))
+        least = F.ceil(F.col("n") * percent / 100)
+        rows, path = stash(overlap.where(F.col("overlap") * (100 + percent) >= percent * (F.col("n") + least)).drop("overlap"), "large")
+        paths.append(path)
+    remove(inside.sparkSession, *paths[:-1])
+    return inside.join(large, "g", "left_anti").unionByName(rows.select(*inside.columns))
+
+
+def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, components: DataFrame, size: int, percent: int, frequent) -> tuple[DataFrame, str]:
+    """(a, b) of links between different components: enough to connect all that are linked at all; and the table's path."""
     spark = docs.sparkSession
     named = lambda t, c: t.select(F.col("node").alias("doc"), F.col("component").alias(c))
     members, members_path = stash(sizes.join(named(groups, "g"), "doc", "left").join(named(components, "c"), "doc", "left")
                                   .select("doc", "n", "least", F.coalesce("g", "doc").alias("g"), F.coalesce("c", "doc").alias("c")), "members")
     of = members.groupBy("g").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
     side = lambda c, p: of.select(F.col("g").alias(c), *[F.col(x).alias(f"{p}_{x}") for x in ("rows", "low", "high")])
-    met = group_meetings(docs, members, size, percent, frequent).join(side("g", "g"), "g").join(side("h", "h"), "h")
+    met, many, parts_path = group_meetings(docs, members, size, percent, frequent)
+    met = met.join(side("g", "g"), "g").join(side("h", "h"), "h")
     met = met.where((F.col("g_low") * percent <= F.col("h_high") * 100) & (F.col("h_low") * percent <= F.col("g_high") * 100))
     small_g = F.struct("g_rows", "g") < F.struct("h_rows", "h")
     pick = lambda a, b: F.when(small_g, F.col(a)).otherwise(F.col(b))
@@ -339,13 +366,15 @@ def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, compon
     queries, queries_path = stash(met.join(members.select(F.col("g").alias("from"), F.col("doc").alias("x"), F.col("n").alias("xn")), "from")
                                   .where(may_be_as_large(F.col("xn"), F.col("low"), F.col("high"), percent)).select("x", "xn", "g", "rows", "low").distinct(), "queries")
     targets, targets_path = stash(members.join(queries.select("g").distinct(), "g", "left_semi").select("g", F.col("doc").alias("y"), F.col("n").alias("yn")), "targets")
-    open_groups = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
-    inside, inside_path = stash(members.join(open_groups, "g", "left_semi").drop("least"), "inside")
+    together, together_path = connected_components(many.select(F.col("g").alias("a"), F.col("lead").alias("b")), "large-groups", with_path=True)
+    larger = members.join(together.select(F.col("node").alias("g"), F.col("component").alias("larger")), "g", "left").select(F.coalesce("larger", "g").alias("g"), "doc", "n", "c")
+    open_groups = larger.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
+    inside, inside_path = stash(larger.join(open_groups, "g", "left_semi"), "inside")
     wanted = queries.select(F.col("x").alias("doc")).unionByName(targets.select(F.col("y").alias("doc"))).unionByName(inside.select("doc")).distinct()
     sets, sets_path = sets_of(docs, wanted, size)
-    links, _ = stash(links_inside_groups(inside, sets, percent).unionByName(links_between_groups(queries, targets, sets, percent)), "group-links")
-    remove(spark, members_path, queries_path, targets_path, inside_path, sets_path)
-    return links
+    links, path = stash(links_inside_groups(thinned(inside, sets, percent), sets, percent).unionByName(links_between_groups(queries, targets, sets, percent)), "group-links")
+    remove(spark, members_path, parts_path, queries_path, targets_path, together_path, inside_path, sets_path)
+    return links, path
 
 
 def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90, leaders: int = LEADERS) -> DataFrame:
@@ -359,20 +388,23 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3,
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_tokens(docs, size))
-    rows, _ = stash(profiles(docs, size, percent, leaders, frequent), "profiles")
+    rows, rows_path = stash(profiles(docs, size, percent, leaders, frequent), "profiles")
     named = rows.where("doc IS NOT NULL AND n > 0")
     first, first_path = stash(named.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep")), "sets")
     equal = named.join(first, ["h1", "h2", "n"]).where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
     reps = named.join(first.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", "n", "mins").dropDuplicates(["doc"])
-    near, near_path = stash(leader_pairs(reps).where(F.col("shared") >= F.lit(min(ALIKE, leaders))).select("a", "an", "b", "bn"), "near")
+    pairs, leaders_path = leader_pairs(reps)
+    near, near_path = stash(pairs.where(F.col("shared") >= F.lit(min(ALIKE, leaders))).select("a", "an", "b", "bn"), "near")
     led, led_path = stash(linked_by_text(near.where(may_be_as_large(F.col("an"), F.col("bn"), F.col("bn"), percent)).select("a", "b"), docs, size, percent), "led")
     linked = equal.unionByName(led)
-    components = connected_components(linked, "components")
-    groups = connected_components(linked.unionByName(near.select("a", "b")), "groups")
-    more = remaining_links(docs, named.groupBy("doc").agg(F.max("n").alias("n"), F.min("least").alias("least")), groups, components, size, percent, frequent)
+    components, path = connected_components(linked, "components", with_path=True)
+    groups, groups_path = connected_components(linked.unionByName(near.select("a", "b")), "groups", with_path=True)
+    more, more_path = remaining_links(docs, named.groupBy("doc").agg(F.max("n").alias("n"), F.min("least").alias("least")), groups, components, size, percent, frequent)
     if not more.isEmpty():
-        components = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "components")
-    remove(spark, near_path, led_path)
-    remove(spark, first_path)
+        known, path_before = components, path
+        components, path = connected_components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "components", with_path=True)
+        remove(spark, path_before)
     out = rows.select("doc", "n").join(components.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    out, _ = stash(out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")), "ngram-join")
+    remove(spark, rows_path, leaders_path, near_path, led_path, first_path, groups_path, more_path, path)
+    return out

@@ -65,3 +65,9 @@ def test_repeated_rows_null_ids_and_empty_table(documents, spark):
         assert own[0]["target"] - len(own) <= sum(r["taken"] for r in own) <= own[0]["target"] + 1e-6
     assert mixing.mix(documents(rows).limit(0)).collect() == []
     assert set(mixing.mix(documents(rows).selectExpr("*", "1 AS size", "2 AS taken", "3 AS cut_key")).columns) >= {"cut_key", "size", "taken", "copies"}
+
+
+def test_columns_that_begin_with_underscores_stay(documents):
+    df = documents([(1, "a b c", "s"), (2, "d", "t")]).selectExpr("*", "'x' AS __mine", "7 AS __size", "1 AS ___key")
+    out = mixing.mix(df).collect()
+    assert {(r["__mine"], r["__size"], r["___key"]) for r in out} == {("x", 7, 1)} and {r["size"] for r in out} == {3, 1}

@@ -50,9 +50,10 @@ def made(seed=3, groups=40):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("size,percent,leaders,block,often", [(3, 90, 6, 512, 3), (3, 90, 0, 512, 1), (5, 80, 1, 4, 3), (1, 80, 0, 512, 10**9), (2, 60, 1, 7, 2), (3, 80, 6, 3, 1)])
-def test_all_pairs(documents, size, percent, leaders, block, often, monkeypatch):
-    """Without leaders all links are found through parts and the matrix; small blocks and any list of frequent tokens change nothing."""
+@pytest.mark.parametrize("size,percent,leaders,block,often,paired", [(3, 90, 6, 512, 3, 16), (3, 90, 0, 512, 1, 2), (5, 80, 1, 4, 3, 1), (1, 80, 0, 512, 10**9, 16), (2, 60, 1, 7, 2, 3), (3, 80, 6, 3, 1, 1)])
+def test_all_pairs(documents, size, percent, leaders, block, often, paired, monkeypatch):
+    """Without leaders all links are found through parts and the matrix; small blocks, few pairs of a part and any list of frequent tokens change nothing."""
+    monkeypatch.setattr(nj, "PAIRED", paired)
     monkeypatch.setattr(nj, "BLOCK", block)
     monkeypatch.setattr(nj, "OFTEN", often)
     rows = made()
@@ -69,6 +70,36 @@ def test_groups_of_several_members_meet_through_the_matrix(documents):
         assert {r["component_id"] for r in got} == {0}
 
 
+@pytest.mark.parametrize("often", [3, 10**9])
+def test_templated_documents_that_do_not_link(documents, often, monkeypatch):
+    """2,000 documents of 150 common words and 40 of their own, and copies of some: only the copies link, and nothing is compared that the matrix rules out."""
+    monkeypatch.setattr(nj, "OFTEN", often)
+    compared = []
+    monkeypatch.setattr(nj, "links_inside_groups", lambda rows, *a, f=nj.links_inside_groups: (compared.append(rows.count()), f(rows, *a))[1])
+    common = " ".join(f"c{i}" for i in range(150))
+    rows = [(i, common + " " + " ".join(f"o{i}_{k}" for k in range(40))) for i in range(2000)]
+    rows += [(5000 + i, rows[i][1] + " more") for i in range(20)]
+    got = {r["doc_id"]: r["component_id"] for r in nj.join(documents(rows, 8), size=3, percent=90).collect()}
+    assert got == {**{i: i for i in range(2000)}, **{5000 + i: i for i in range(20)}}
+    assert compared[0] < 1000
+
+
+def test_one_part_of_very_many_groups_forms_few_pairs(spark, documents, monkeypatch):
+    """Near copies of one text, too far from each other to link: a bounded number of pairs of groups, and all links as by brute force."""
+    rng = random.Random(8)
+    base, met = [f"b{i}" for i in range(120)], []
+    monkeypatch.setattr(nj, "group_meetings", lambda *a, f=nj.group_meetings: (lambda out: (met.append((out[0].count(), out[1].count())), out)[1])(f(*a)))
+    rows = []
+    for i in range(700):
+        w = list(base)
+        for k in rng.sample(range(120), 6):
+            w[k] = f"e{i}_{k}" if i % 50 else f"same{k % 2}"
+        rows.append((i, " ".join(w)))
+    got = nj.join(documents(rows, 8), size=3, percent=80, leaders=0).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 3, 80)
+    assert met[0][0] < 16 * 700 and met[0][1] > 0
+
+
 def test_rows(spark):
     long = "alpha beta gamma " * 20_000
     data = [(1, "a b c d", "x"), (1, "a b c d", "y"), (2, "a b c d", "x"), (None, "a b c d", "x"), (3, None, "x"), (4, long, "x"), (5, long, "x"), (None, None, "x")]

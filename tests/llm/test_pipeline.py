@@ -87,3 +87,13 @@ def test_every_stage_takes_odd_and_empty_tables(spark, folder):
     assert sum(r["doc_id"] is None for r in once) == 2
     assert cp.personal_data_redacted(spark, docs, folder).where(F.col("text").contains("a@b.cd")).count() == 0
     assert mixing.mix(docs).count() == docs.count()
+
+
+def test_different_texts_under_one_id_stay(spark, folder):
+    text = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(7, text, "en"), (7, other, "en"), (7, other, "en"), (7, other + " x", "de"), (8, text, "en"), (9, None, "en"), (9, None, "en"), (9, "", "en"), (None, text, "en"), (None, text, "en")]
+    for partitions in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(partitions)
+        kept = [(r["doc_id"], (r["text"] or "")[:8]) for r in cp.near_duplicates(spark, docs, folder).collect()]
+        assert sorted(kept, key=str) == sorted([(7, "word0 wo"), (7, "other0 o"), (9, ""), (9, ""), (None, "word0 wo"), (None, "word0 wo")], key=str)
