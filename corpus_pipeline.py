@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terrazone.llm import mixing, ngram_join, personal_data, quality, sampled_pieces
-from terrazone.llm.common import let_workers_import, stash
+from terrazone.llm.common import let_workers_import, remove, stash
 
 #: Near-duplicates share this percentage of their n-grams of so many words.
 WORDS, PERCENT = 5, 80
@@ -36,17 +36,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id; rows repeated under one id are one document.
+    """One document of each group of near-duplicates, that of the smallest id; of rows equal in id and text one stays, always the same.
 
-    Documents with an empty text are in no group. A row with a null id cannot be named in a group and stays.
+    Different texts under one id are different documents; of near-duplicates among them that of the smaller hash stays. Documents with an empty text are
+    in no group. A row with a null id cannot be named in a group and stays.
     """
-    groups = ngram_join.join(docs.select("doc_id", "text"), size=WORDS, percent=PERCENT)
-    removed = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(removed, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    repeated, _ = stash(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*[f"`{c}`" for c in docs.columns])
+    named = docs.where(F.col("doc_id").isNotNull())
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        groups = ngram_join.join(named.select("doc_id", "text"), size=WORDS, percent=PERCENT)
+        removed = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+        return docs.join(removed, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    # ids repeat: the different pairs of id and text are numbered in the order of ids
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    each = named.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.xxhash64(F.lit("second"), "text").alias("h2"), "text", row.alias("document"))
+    pairs, _ = stash(each.select("id", "h", "h2").distinct().orderBy("id", "h", "h2").withColumn("number", F.monotonically_increasing_id()), "numbered")
+    once = each.join(pairs, ["id", "h", "h2"]).groupBy("number").agg(F.min_by("document", F.xxhash64("document")).alias("document"))
+    once, _ = stash(once, "once")
+    groups = ngram_join.join(once.select("number", F.col("document")["text"].alias("text")), key="number", size=WORDS, percent=PERCENT)
+    removed = groups.where(F.col("number") != F.col("component_id")).select("number")
+    kept = once.join(removed, "number", "left_anti").select(*[F.col("document")[c].alias(c) for c in docs.columns])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def personal_data_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,6 +89,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over all documents."""
     let_workers_import(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs, _ = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, path = stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
