@@ -45,7 +45,7 @@ def pairs_historical(layers: DataFrame, historical: DataFrame) -> DataFrame:
 def for_every(result: DataFrame, keys: list[str], every: DataFrame | None, areas: list[str] = (), metrics: list[str] = ()) -> DataFrame:
     """One row per comparison of ``every`` (and per metric): those without a shared valid cell have no area and NO_COMMON_VALID_SUPPORT.
 
-    Without ``every`` the result has the comparisons that share a cell, and no status.
+    ``every=None`` asks for the comparisons that share a cell alone, and no status.
     """
     if every is None:
         return result
@@ -59,14 +59,17 @@ def for_every(result: DataFrame, keys: list[str], every: DataFrame | None, areas
 
 def pair_units(pairs: DataFrame, cells: DataFrame, categorical: bool, row: str = "row", column: str = "column",
                value: str = "value", area: str = "area") -> DataFrame:
-    """Valid cells shared by both layers of every pair: one job for all pairs.
+    """Valid cells shared by both layers of every pair: one shuffle by position, and the pairs fanned out inside each row.
 
-    The first join key is a layer, which may be hot: both sides are plain exchanges, which adaptive execution splits. The second key is unique per cell.
+    A position holds at most one value of each layer. Pairs are a catalogue; they meet the first layer's value, and the second one's is looked up beside it.
     """
     good = cells.where(F.col(value).isNotNull()).select("layer_id", row, column, area, F.col(value).cast("double").alias("_v"))
-    a = good.select(F.col("layer_id").alias("layer_a"), row, column, area, F.col("_v").alias("value_a"))
-    b = good.select(F.col("layer_id").alias("layer_b"), row, column, F.col("_v").alias("value_b"))
-    j = pairs.join(a, "layer_a").join(b, ["layer_b", row, column])
+    here = good.groupBy(row, column).agg(F.collect_list(F.struct("layer_id", F.col("_v").alias("value"), F.col(area).alias("area"))).alias("_here"))
+    first = here.select(row, column, F.explode("_here").alias("_a"), "_here").select(
+        row, column, F.col("_a.layer_id").alias("layer_a"), F.col("_a.area").alias(area), F.col("_a.value").alias("value_a"), "_here")
+    j = pairs.join(first, "layer_a")
+    second = F.filter("_here", lambda x: x["layer_id"] == F.col("layer_b"))
+    j = j.withColumn("_b", F.explode(second)).withColumn("value_b", F.col("_b.value")).drop("_here", "_b")
     if categorical:
         return j.withColumns({"class_a": F.col("value_a").cast("int"), "class_b": F.col("value_b").cast("int"),
                               "class_match": F.col("value_a") == F.col("value_b")})
@@ -80,23 +83,24 @@ def transition_matrix(units: DataFrame, keys: list[str], area: str = "area") ->
     return units.groupBy(*keys, "class_a", "class_b").agg(F.sum(area).alias("area"))
 
 
-def transition_totals(units: DataFrame, keys: list[str], area: str = "area", every: DataFrame | None = None) -> DataFrame:
+def transition_totals(units: DataFrame, keys: list[str], area: str = "area", *, every: DataFrame | None) -> DataFrame:
     """Unchanged area and agreement share per comparison; one row for each of ``every`` (see ``for_every``)."""
     agg = units.groupBy(*keys).agg(F.sum(area).alias("common_area"),
                                    F.coalesce(F.sum(F.when(F.col("class_match"), F.col(area))), F.lit(0.0)).alias("unchanged_area"))
     return for_every(agg.withColumn("agreement_percentage", 100 * ratio("unchanged_area", "common_area")), keys, every, ["common_area", "unchanged_area"])
 
 
+# fixed values: names of the metrics
 DIFFERENCE_METRICS = ["value_a", "value_b", "absolute_difference", "percentage_difference"]
 
 
-def difference_summary(units: DataFrame, keys: list[str], area: str = "area", every: DataFrame | None = None) -> DataFrame:
+def difference_summary(units: DataFrame, keys: list[str], area: str = "area", *, every: DataFrame | None) -> DataFrame:
     """Weighted summaries of both sides, the difference and the percentage change, as rows per metric."""
     long = units.select(*keys, area, *DIFFERENCE_METRICS).unpivot([*keys, area], DIFFERENCE_METRICS, "metric", "value")
     return for_every(weighted_summary(long, [*keys, "metric"], "value", area), keys, every, metrics=DIFFERENCE_METRICS)
 
 
-def difference_totals(units: DataFrame, keys: list[str], area: str = "area", every: DataFrame | None = None) -> DataFrame:
+def difference_totals(units: DataFrame, keys: list[str], area: str = "area", *, every: DataFrame | None) -> DataFrame:
     """Area on which the percentage is defined and the percentage change of the two zone means."""
     w = F.col(area)
     agg = units.groupBy(*keys).agg(
@@ -131,6 +135,7 @@ def group_pair_units(pairs: DataFrame, units: DataFrame, row: str = "row", colum
     return pairs.join(a, "group_a").join(b, ["group_b", row, column])
 
 
+# fixed values: names of the metrics
 GROUP_DIFFERENCES = ["model_mean_difference", "model_standard_deviation_difference", "model_iqr_difference",
                      "model_range_difference", "model_coefficient_of_variation_difference"]
 
@@ -140,7 +145,7 @@ def group_metric_units(pair_units: DataFrame, n: int) -> DataFrame:
     return out.withColumns({m: F.col(m.replace("_difference", "_b")) - F.col(m.replace("_difference", "_a")) for m in [*GROUP_DIFFERENCES, "model_median_difference"]})
 
 
-def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", every: DataFrame | None = None) -> DataFrame:
+def group_metric_difference(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", *, every: DataFrame | None) -> DataFrame:
     """Weighted summary of b - a for five model metrics on the ten-layer support."""
     long = (group_metric_units(pair_units, n).select(*keys, area, *GROUP_DIFFERENCES)
             .unpivot([*keys, area], GROUP_DIFFERENCES, "metric", "value"))
@@ -156,7 +161,7 @@ def group_modal_units(pair_units: DataFrame, n: int) -> DataFrame:
     return out.withColumn("modal_comparison_status", F.when(defined, "DEFINED").otherwise("EXCLUDED_TIED_MODE"))
 
 
-def group_modal_comparison(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", every: DataFrame | None = None) -> DataFrame:
+def group_modal_comparison(pair_units: DataFrame, keys: list[str], n: int, area: str = "area", *, every: DataFrame | None) -> DataFrame:
     """Comparable and tied area plus unanimity and strong-agreement area per side."""
     w = F.col(area)
     part = lambda cond: F.coalesce(F.sum(F.when(cond, w)), F.lit(0.0))
@@ -189,7 +194,7 @@ def ensemble_units(units: DataFrame, ensemble: DataFrame, keys: list[str], n: in
 
 
 def ensemble_diagnostic(units: DataFrame, ensemble: DataFrame, group: list[str], keys: list[str], n: int, categorical: bool,
-                        area: str = "area", every: DataFrame | None = None) -> DataFrame:
+                        area: str = "area", *, every: DataFrame | None) -> DataFrame:
     """Match share with the unique mode (ties excluded), or the weighted difference from the model mean."""
     u = ensemble_units(units, ensemble, keys, n, categorical)
     if not categorical:

@@ -217,3 +217,38 @@ def ensemble_class_match(spark, d):
     u = group_units(spark, d, "class_code")
     out = cp.ensemble_diagnostic(u, e, ["group_id"], ENS, 4, categorical=True, every=u)
     return rounded(out, ["matching_percentage"], 6)
+
+
+SUPPORT_ZONE = 1500.0
+SUPPORT = f"""round(100 * c / {SUPPORT_ZONE}, 6) common_valid_percentage, f - c excluded_masked_area, {SUPPORT_ZONE} - f excluded_outside_footprint_area,
+ CASE WHEN n = 0 THEN 'NO_COMMON_VALID_SUPPORT' WHEN n < 5 THEN 'FEW_NATIVE_CELLS' ELSE 'OK' END quality_flag, 'OK' status"""
+
+
+@query("comparison_support", f"""{LC}, va AS (SELECT layer_id, "row", "column", area, v > 20000 ok, map_code, period_code, ssp_code, management_code FROM lc),
+ g AS (SELECT map_code, period_code, ssp_code, management_code, list(layer_id) m FROM ly WHERE climate_model_code NOT IN ('AGERA5', 'ENSEMBLE') GROUP BY ALL HAVING count(*) = 4),
+ s AS (SELECT comparison_kind, layer_a left_id, layer_b right_id, [layer_a, layer_b] need FROM (SELECT * FROM pm UNION ALL SELECT * FROM ph)
+   UNION ALL SELECT CASE WHEN a.period_code = b.period_code THEN 'group_cross_ssp' ELSE 'group_cross_period' END, array_to_string([a.map_code, a.period_code, a.ssp_code, a.management_code], '_'), array_to_string([b.map_code, b.period_code, b.ssp_code, b.management_code], '_'), list_concat(a.m, b.m)
+   FROM g a JOIN g b USING (map_code, management_code) WHERE (a.period_code = b.period_code AND a.ssp_code < b.ssp_code) OR (a.ssp_code = b.ssp_code AND a.period_code < b.period_code)
+   UNION ALL SELECT 'ensemble', array_to_string([g.map_code, g.period_code, g.ssp_code, g.management_code], '_'), e.layer_id, list_append(g.m, e.layer_id) FROM g JOIN ly e USING (map_code, period_code, ssp_code, management_code) WHERE e.climate_model_code = 'ENSEMBLE'),
+ n AS (SELECT comparison_kind, left_id, right_id, len(need) k, unnest(need) layer_id FROM s),
+ p AS (SELECT comparison_kind, left_id, right_id, any_value(k) k, "row", "column", any_value(area) area, count(*) present, count(*) FILTER (WHERE ok) valid FROM n JOIN va USING (layer_id) GROUP BY comparison_kind, left_id, right_id, "row", "column"),
+ t AS (SELECT comparison_kind, left_id, right_id, coalesce(sum(area) FILTER (WHERE valid = k), 0) c, coalesce(sum(area) FILTER (WHERE present = k), 0) f, count(*) FILTER (WHERE valid = k) n FROM p GROUP BY ALL)
+ SELECT comparison_kind, left_id, right_id, c common_valid_area, n analytical_unit_count, {SUPPORT_ZONE}::DOUBLE zone_area, {SUPPORT} FROM t""")
+def comparison_support(spark, d):
+    """Areas, share, unit count and flag of every pair, group pair and ensemble comparison, from one table of presence bitmaps."""
+    cells = layer_cells(spark, d)
+    layers = cells.select(*DIMS).distinct()
+    names = [r[0] for r in layers.select("layer_id").orderBy("layer_id").collect()]  # the catalogue of layers
+    bitmaps = sp.presence_bitmaps(cells, [], "layer_id", names, F.col("value") > 20000, "area")
+    dims = ["map_code", "period_code", "ssp_code", "management_code"]
+    groups = (layers.where(~F.col("climate_model_code").isin("AGERA5", "ENSEMBLE")).groupBy(*dims).agg(F.collect_list("layer_id").alias("members"))
+              .where(F.size("members") == 4).withColumn("group_id", F.concat_ws("_", *dims)))
+    pairs = all_pairs(cells).select("comparison_kind", F.col("layer_a").alias("left_id"), F.col("layer_b").alias("right_id"), F.array("layer_a", "layer_b").alias("need"))
+    of = lambda side: groups.select(F.col("group_id").alias(f"group_{side}"), F.col("members").alias(f"members_{side}"))
+    both = cp.group_pairs(groups).join(of("a"), "group_a").join(of("b"), "group_b").select(
+        F.concat(F.lit("group_"), "comparison_kind").alias("comparison_kind"), F.col("group_a").alias("left_id"), F.col("group_b").alias("right_id"), F.concat("members_a", "members_b").alias("need"))
+    sixth = groups.join(layers.where("climate_model_code = 'ENSEMBLE'").select(*dims, "layer_id"), dims).select(
+        F.lit("ensemble").alias("comparison_kind"), F.col("group_id").alias("left_id"), F.col("layer_id").alias("right_id"), F.array_append("members", F.col("layer_id")).alias("need"))
+    subsets = pairs.unionByName(both).unionByName(sixth).withColumn("need", sp.layer_bits(names, F.col("need")))
+    one = lambda t: t.withColumn("grid", F.lit("all"))
+    return rounded(sp.subset_support(one(bitmaps), ["grid"], one(subsets), SUPPORT_ZONE).drop("grid"), ["common_valid_percentage"], 6)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import consensus as cs, support as sp
+from ..operators import consensus as cs, inside, support as sp
 from .q_consensus import MODELS, units as five_units
 from .registry import query, rnd, rounded, table
 
@@ -127,3 +127,59 @@ def metric_layer(spark, d):
     u = cs.model_consensus(five_units(spark, d, "class_code"), list(range(1, 10)), 5)
     out = sp.metric_layer(u, ["group_id"], ["modal_class", "modal_count", "unique_class_count"], "area", 5000.0)
     return rounded(out, ["valid_area_percentage"], 6)
+
+
+#: A slanted zone with a hole and a second part, directed with the inside on the left; its area is 1,573.
+ZONE_RINGS = [(0, 0, [(2, 1), (57, 4), (52, 38), (20, 33), (4, 36)]), (0, 1, [(20, 12), (24, 22), (33, 20), (30, 10)]), (1, 0, [(57, 30), (60, 30), (60, 40), (57, 38)])]
+EDGES = [(a[0], a[1], b[0], b[1]) for _, _, ring in ZONE_RINGS for a, b in zip(ring, ring[1:] + ring[:1])]
+ZONE_AREA = sum((x2 - x1) * -(y1 + y2) for x1, y1, x2, y2 in EDGES) / 2
+# The area of a rectangle inside the zone: for each edge the part of the rectangle below it, added where the edge goes left and subtracted where it goes right.
+INSIDE = f"""ed AS (SELECT * FROM (VALUES {", ".join(str(tuple(map(float, e))) for e in EDGES)}) t(ex, ey, fx, fy)),
+ sp AS (SELECT r.*, sign(ex - fx) s, greatest(least(ex, fx), x0) l, least(greatest(ex, fx), x1) h, ey, ex, (fy - ey) / nullif(fx - ex, 0) m FROM r LEFT JOIN ed ON least(ex, fx) < x1 AND greatest(ex, fx) > x0),
+ pq AS (SELECT *, ey + (l - ex) * m p, ey + (h - ex) * m q FROM sp),
+ ia AS (SELECT x0, y0, x1, y1, coalesce(sum(s * (h - l) * (CASE WHEN least(p, q) >= y0 THEN (p + q) / 2 - y0 WHEN greatest(p, q) <= y0 THEN 0 ELSE (greatest(p, q) - y0) ** 2 / (2 * abs(q - p)) END
+   - CASE WHEN least(p, q) >= y1 THEN (p + q) / 2 - y1 WHEN greatest(p, q) <= y1 THEN 0 ELSE (greatest(p, q) - y1) ** 2 / (2 * abs(q - p)) END)), 0) a FROM pq GROUP BY ALL)"""
+OVERLAY = """WITH a AS (SELECT (o_custkey % 60)::DOUBLE x0, (o_orderkey % 40)::DOUBLE y0, min(o_totalprice) v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+ b AS (SELECT (o_custkey % 60) + .5 x0, (o_orderkey % 40) + .5 y0, min(o_totalprice) v FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2),
+ c AS (SELECT floor((o_custkey % 60) / 2) * 2 x0, floor((o_orderkey % 40) / 2) * 2 y0, min(o_totalprice) v FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2),
+ j AS (SELECT greatest(a.x0, b.x0, c.x0)::DOUBLE x0, greatest(a.y0, b.y0, c.y0)::DOUBLE y0, least(a.x0 + 1, b.x0 + 1, c.x0 + 2)::DOUBLE x1, least(a.y0 + 1, b.y0 + 1, c.y0 + 2)::DOUBLE y1,
+   a.v > 30000 AND b.v > 30000 AND c.v > 30000 ok, (a.x0, a.y0)::VARCHAR ai, (b.x0, b.y0)::VARCHAR bi, (c.x0, c.y0)::VARCHAR ci
+   FROM a JOIN b ON a.x0 < b.x0 + 1 AND b.x0 < a.x0 + 1 AND a.y0 < b.y0 + 1 AND b.y0 < a.y0 + 1
+     JOIN c ON greatest(a.x0, b.x0) < c.x0 + 2 AND c.x0 < least(a.x0, b.x0) + 1 AND greatest(a.y0, b.y0) < c.y0 + 2 AND c.y0 < least(a.y0, b.y0) + 1),
+ r AS (SELECT DISTINCT x0, y0, x1, y1 FROM j)"""
+
+
+def zone_edges(spark):
+    """The zone's edges; a zone is a parameter of these queries, as a grid's origin is."""
+    rows = [(part, ring, i, float(x), float(y)) for part, ring, points in ZONE_RINGS for i, (x, y) in enumerate(points)]
+    return inside.oriented_edges(spark.createDataFrame(rows, "part int, ring int, seq int, x double, y double"), [])
+
+
+@query("support_overlay_zone", f"""{OVERLAY}, {INSIDE}, u AS (SELECT j.*, a area FROM j JOIN ia USING (x0, y0, x1, y1) WHERE ok AND a > {ZONE_AREA * 1e-14})
+  SELECT x0, y0, x1, y1, round(area, 6) area, 'u' || lpad(row_number() OVER (ORDER BY y1 DESC, x0)::VARCHAR, 5, '0') unit_id FROM u""")
+def support_overlay_zone(spark, d):
+    out = sp.support_overlay(rectangles(spark, d), ["group_id"], "layer", ["a", "b", "c"], "value", "valid", ZONE_AREA, 4.0, zone_edges=zone_edges(spark))
+    return rounded(out.select("x0", "y0", "x1", "y1", "area", "unit_id"), ["area"], 6)
+
+
+@query("overlay_report", f"""{OVERLAY}, {INSIDE}, u AS (SELECT j.*, a area FROM j JOIN ia USING (x0, y0, x1, y1) WHERE a > {ZONE_AREA * 1e-14}),
+ g AS (SELECT coalesce(sum(area) FILTER (WHERE ok), 0) c, coalesce(sum(area), 0) f, count(*) FILTER (WHERE ok) n, count(DISTINCT CASE WHEN ok THEN ai END) na, count(DISTINCT CASE WHEN ok THEN bi END) nb, count(DISTINCT CASE WHEN ok THEN ci END) nc FROM u)
+ SELECT 'all' group_id, round(c, 6) common_valid_area, n analytical_unit_count, na || ',' || nb || ',' || nc native_cell_counts, {ZONE_AREA}::DOUBLE zone_area, round(100 * c / {ZONE_AREA}, 6) common_valid_percentage,
+  round(f - c, 6) excluded_masked_area, round({ZONE_AREA} - f, 6) excluded_outside_footprint_area, CASE WHEN n = 0 THEN 'NO_COMMON_VALID_SUPPORT' WHEN n < 5 THEN 'FEW_NATIVE_CELLS' ELSE 'OK' END quality_flag, 'OK' status FROM g""")
+def overlay_report(spark, d):
+    out = sp.overlay_report(rectangles(spark, d), ["group_id"], "layer", ["a", "b", "c"], "value", "valid", ZONE_AREA, 4.0, zone_edges(spark))
+    out = out.withColumn("native_cell_counts", F.array_join(F.transform("native_cell_counts", lambda n: n.cast("string")), ","))
+    return rounded(out, ["common_valid_area", "common_valid_percentage", "excluded_masked_area", "excluded_outside_footprint_area"], 6)
+
+
+@query("unit_containment", f"""WITH u AS (SELECT l_returnflag group_id, (l_partkey % 120 * 0.5)::DOUBLE x0, (l_suppkey % 80 * 0.5)::DOUBLE y0, (l_partkey % 120 * 0.5 + 0.5 + l_linenumber % 2 * 0.5)::DOUBLE x1, (l_suppkey % 80 * 0.5 + 0.5)::DOUBLE y1 FROM lineitem WHERE l_linenumber < 4),
+ r AS (SELECT DISTINCT x0, y0, x1, y1 FROM u), {INSIDE}, t AS (SELECT group_id, count(*) unit_count, sum((x1 - x0) * (y1 - y0)) unit_area, sum((x1 - x0) * (y1 - y0) - a) outside_area FROM u JOIN ia USING (x0, y0, x1, y1) GROUP BY 1),
+ e AS (SELECT group_id, y0, unnest(CASE WHEN x1 - x0 > .5 THEN [x0, x0 + .5] ELSE [x0] END) x FROM u), n AS (SELECT group_id, x, y0, count(*) k FROM e GROUP BY ALL), o AS (SELECT group_id, count(*) * .25 union_area, sum(k - 1) * .25 overlap_area FROM n GROUP BY 1)
+ SELECT group_id, unit_count, unit_area::DOUBLE unit_area, round(outside_area, 5) outside_area, union_area::DOUBLE union_area, overlap_area::DOUBLE overlap_area,
+  CASE WHEN overlap_area > {ZONE_AREA * 1e-4} THEN 'OVERLAPPING_UNITS' WHEN outside_area > {ZONE_AREA * 1e-4} THEN 'OUTSIDE_ZONE' ELSE 'OK' END status FROM t JOIN o USING (group_id)""")
+def unit_containment(spark, d):
+    """Units against the polygon itself: those in the hole and beyond the slanted borders lie outside."""
+    x, y = F.col("l_partkey") % 120 * 0.5, F.col("l_suppkey") % 80 * 0.5
+    units = table(spark, d, "lineitem").where("l_linenumber < 4").select(
+        F.col("l_returnflag").alias("group_id"), x.alias("x0"), y.alias("y0"), (x + 0.5 + F.col("l_linenumber") % 2 * 0.5).alias("x1"), (y + 0.5).alias("y1"))
+    return rounded(sp.unit_overlap_check(units, ["group_id"], 4.0, zone_edges=zone_edges(spark), zone_area=ZONE_AREA), ["outside_area"], 5)

@@ -96,8 +96,8 @@ def test_group_comparison_excludes_ties_and_ensemble_matches(spark):
     u = spark.createDataFrame([("A", 0, 0, 1.0, [1.0, 1.0, 2.0, 2.0, 3.0]), ("A", 0, 1, 1.0, [1.0] * 5), ("B", 0, 0, 1.0, [2.0] * 5), ("B", 0, 1, 1.0, [1.0] * 4 + [2.0])],
                               "group_id string, row int, column int, area double, values array<double>")
     pairs = spark.createDataFrame([("cross_ssp", "A", "B")], "comparison_kind string, group_a string, group_b string")
-    g = cp.group_modal_comparison(cp.group_pair_units(pairs, u), ["group_a", "group_b"], 5).first()
+    g = cp.group_modal_comparison(cp.group_pair_units(pairs, u), ["group_a", "group_b"], 5, every=None).first()
     assert g["modal_comparable_area"] == 1 and g["tied_mode_excluded_area"] == 1 and g["unanimity_a_area"] == 1 and g["strong_agreement_b_area"] == 2
     ens = spark.createDataFrame([("A", 0, 0, 1.0), ("A", 0, 1, 1.0)], "group_id string, row int, column int, ensemble_value double")
-    e = cp.ensemble_diagnostic(u.where("group_id = 'A'"), ens, ["group_id"], ["group_id", "row", "column"], 5, True).first()
+    e = cp.ensemble_diagnostic(u.where("group_id = 'A'"), ens, ["group_id"], ["group_id", "row", "column"], 5, True, every=None).first()
     assert e["matching_percentage"] == 100 and e["tied_mode_excluded_area"] == 1

@@ -59,15 +59,15 @@ def test_group_pair_and_comparison_counts(spark, package):
     agreement = cs.pairwise_agreement(cls, ["group_id"], MODELS, "area").count()
     difference = cs.pairwise_difference(yld, ["group_id"], MODELS, "area").count()
     assert agreement + difference == 480
-    assert cp.group_modal_comparison(cp.group_pair_units(pairs, cls), ["group_a", "group_b"], 5).count() == 60
-    assert cp.group_metric_difference(cp.group_pair_units(pairs, yld), ["group_a", "group_b"], 5).select("group_a", "group_b").distinct().count() == 60
+    assert cp.group_modal_comparison(cp.group_pair_units(pairs, cls), ["group_a", "group_b"], 5, every=None).count() == 60
+    assert cp.group_metric_difference(cp.group_pair_units(pairs, yld), ["group_a", "group_b"], 5, every=None).select("group_a", "group_b").distinct().count() == 60
 
 
 def test_ensemble_rows_and_support_closure(spark, package):
     key = [*DIMS, "row", "column"]
     sixth = package.where("climate_model_code = 'ENSEMBLE'").select(*key, F.col("value").alias("ensemble_value"))
-    a = cp.ensemble_diagnostic(five(package, "CLS"), sixth, ["group_id"], key, 5, True).count()
-    b = cp.ensemble_diagnostic(five(package, "YLD"), sixth, ["group_id"], key, 5, False).count()
+    a = cp.ensemble_diagnostic(five(package, "CLS"), sixth, ["group_id"], key, 5, True, every=None).count()
+    b = cp.ensemble_diagnostic(five(package, "YLD"), sixth, ["group_id"], key, 5, False, every=None).count()
     assert a + b == 10
     models = package.where(F.col("climate_model_code").isin(*MODELS))
     report = sp.support_report(models, DIMS, "climate_model_code", MODELS, "valid", "area", 110.0)
