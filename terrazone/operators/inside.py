@@ -86,7 +86,9 @@ def corner_windings(pieces: DataFrame, zone: list[str], tiles: DataFrame, tile:
     An edge that crosses a column's left border at or above the corner counts; counts are added up by tile first, then down the column.
     """
     y = F.when(F.col("xs") < F.col("xe"), F.col("ys")).otherwise(F.col("ye"))
-    events = pieces.where("_left").select(*zone, "_tx", (F.floor(y / F.lit(float(tile))) - 1).alias("_ty"), _above().alias("_n"), F.lit(False).alias("_asked"))
+    # in the tile's own terms, as a border's number of tiles may round either way
+    row = F.when(y >= (F.col("_ty") + 1) * F.lit(float(tile)), F.col("_ty")).otherwise(F.col("_ty") - 1)
+    events = pieces.where("_left").select(*zone, "_tx", row.alias("_ty"), _above().alias("_n"), F.lit(False).alias("_asked"))
     asked = tiles.select(*zone, "_tx", "_ty").distinct().select("*", F.lit(0.0).alias("_n"), F.lit(True).alias("_asked"))
     each = events.unionByName(asked).groupBy(*zone, "_tx", "_ty").agg(F.sum("_n").alias("_n"), F.bool_or("_asked").alias("_asked"))
     down = Window.partitionBy(*zone, "_tx").orderBy(F.col("_ty").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -14,7 +14,9 @@ from ..functions.scalars import any_of, col, computed_once, finite, is_finite, j
 
 PROBABILITIES = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
-BINS = 256                  # a square: bins are looked up in two steps
+#: Bins of a key: each step looks a value up among so many split points. A key's values are that many bins in both steps together.
+STEP = 16
+BINS = STEP * STEP
 
 Reach = Callable[[Column, Column], Column]
 
@@ -24,37 +26,35 @@ def at_least(p: float) -> Reach:
     return lambda cum, total: cum / total >= F.lit(p)
 
 
-STEP = int(BINS ** 0.5)
-
-
-def _bin(x: Column, coarse: Column, splits: Column) -> Column:
-    """Number of split points below x, counted among every sixteenth (``coarse``) first and then among the next fifteen."""
-    below = lambda s: F.size(F.filter(s, lambda v: v < x))
-    return F.get(F.transform(F.array(below(coarse)), lambda c: c * STEP + below(F.slice(splits, c * STEP + 1, F.lit(STEP - 1)))), F.lit(0))
+def _above(x: Column, split: Callable[[int], Column]) -> Column:
+    """How many of ``STEP - 1`` split points lie below x, as compiled comparisons."""
+    return sum(((split(i) < x).cast("int") for i in range(1, STEP - 1)), (split(0) < x).cast("int"))
 
 
 def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dict[str, Reach]) -> DataFrame:
     """Per key: count, weight total, min, max, mean, second moment and exact weighted order statistics.
 
     A target is the first value, in ascending order, whose cumulative weight satisfies its predicate (clamped to the largest
-    value). One aggregate gives the totals of every key and split points near its quantiles; the split points choose only
-    in which bin a value is counted, so results are exact. Weights are summed by key and value, then by bin; the prefix sums over at
-    most 256 bins name the bins that hold a target, and only their values are ordered. Rows without a valid value take part in the totals alone,
-    and the plan is the same for every size.
+    value). Everything comes from one table of cells, the weights summed by key and value: the input is looked at once. A key's totals and the split points
+    of its distinct values are aggregates of the cells; a bin lies between two of them, so none has more than about one in 256 of a key's
+    values, whatever their distribution. Weights are summed by bin, the prefix sums over a key's bins name those that hold a target, and only the
+    values of these are ordered. The split points choose the bin and nothing else, so results are exact. The plan is the same for every size.
     """
     names, named = list(targets), keys
     if not keys:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     x, w = finite(value), finite(weight)
     ok = F.coalesce(x.isNotNull() & (w > 0), F.lit(False))
-    rows = df.select(*keys, F.when(ok, x).alias("_x"), F.when(ok, w).alias("_w"))
-    totals = rows.groupBy(*keys).agg(
-        F.count("_x").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+    cells = df.select(*keys, F.when(ok, x).alias("_x"), F.when(ok, w).alias("_w")).groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"), F.count("_x").alias("_c"))
+    totals = cells.groupBy(*keys).agg(
+        F.sum("_c").alias("_n"), F.sum("_w").alias("_wt"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
         (F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_mean"),
         F.percentile_approx("_x", [i / BINS for i in range(1, BINS)], 1000).alias("_splits"))
-    totals = totals.withColumn("_coarse", F.filter("_splits", lambda v, i: i % STEP == STEP - 1))
-    cells = rows.where("_x IS NOT NULL").groupBy(*keys, "_x").agg(F.sum("_w").alias("_w"))
-    binned = computed_once(join_null_safe(cells, totals.select(*keys, "_wt", "_mean", "_coarse", "_splits"), keys), "_b", _bin(F.col("_x"), F.col("_coarse"), F.col("_splits")))
+    binned = join_null_safe(cells.where("_x IS NOT NULL"), totals.select(*keys, "_wt", "_mean", "_splits"), keys)
+    coarse = _above(F.col("_x"), lambda i: F.get("_splits", F.lit(STEP * (i + 1) - 1)))
+    binned = computed_once(binned, "_coarse", coarse)
+    fine = _above(F.col("_x"), lambda i: F.get("_splits", F.col("_coarse") * STEP + i))
+    binned = binned.withColumn("_b", F.col("_coarse") * STEP + F.coalesce(fine, F.lit(0))).drop("_splits", "_coarse")
     gap = F.col("_x") - F.col("_mean")
     bins = binned.groupBy(*keys, "_b").agg(F.sum("_w").alias("_wb"), F.sum(F.col("_w") * gap * gap).alias("_m2"), F.max("_wt").alias("_wt"))
     group = Window.partitionBy(*keys)
@@ -67,7 +67,7 @@ def order_statistics(df: DataFrame, keys: list[str], value, weight, targets: dic
     found = cum.groupBy(*keys).agg(F.max("_m2").alias("_m2"), *[
         F.coalesce(F.min(F.when(F.col(f"_f_{n}") & reach(F.col("_cum"), F.col("_wt")), F.col("_x"))), F.max(F.when(F.col(f"_f_{n}"), F.col("_x")))).alias(n)
         for n, reach in targets.items()])
-    out = join_null_safe(totals.drop("_splits", "_coarse"), found, keys, "left")
+    out = join_null_safe(totals.drop("_splits"), found, keys, "left")
     return out.select(*named, F.col("_n").alias("n"), F.col("_wt").alias("weight_total"), F.col("_lo").alias("min"),
                       F.col("_hi").alias("max"), F.col("_mean").alias("mean"), F.col("_m2").alias("m2"), *names)
 

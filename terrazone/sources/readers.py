@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.scalars import col, finite
@@ -112,22 +117,35 @@ def scan_power_points(documents: DataFrame, accepted_units: list[str], default_f
     return d.select("point_id", "variable", F.to_date("_k", "yyyyMMdd").alias("day"), F.when(F.col("_v") != F.col("fill"), finite("_v")).alias("value"), "unit_status")
 
 
-#: Bytes of a file that can be held as one value.
-LARGEST_FILE = 1 << 30
+#: Bytes of a file up to which it is read as one value; larger ones are streamed, so many bytes at a time.
+LARGEST_FILE, STREAMED = 1 << 30, 1 << 22
 
 
-def file_manifest(spark: SparkSession, folder: str, glob: str = "*", origin: str = "") -> DataFrame:
+def file_manifest(spark: SparkSession, folder: str, glob: str = "*", origin: str = "", largest: int = LARGEST_FILE) -> DataFrame:
     """Path (relative to the folder), size, SHA-256, origin and status of every file; files are hashed in parallel.
 
-    A file beyond ``LARGEST_FILE`` does not fit into a row: it is listed without a digest, as TOO_LARGE.
+    Files of up to ``largest`` bytes are values of Spark's reader; larger ones are streamed through the digest, each by one task, over the
+    file systems that pyarrow opens.
     """
+    def streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                scheme, rest = path.split(":", 1)
+                system, name = pyarrow.fs.FileSystem.from_uri(path if rest.startswith("//") else f"{scheme}://{rest}")
+                digest = hashlib.sha256()
+                with system.open_input_stream(name) as f:
+                    while piece := f.read(STREAMED):
+                        digest.update(piece)
+                found.append(digest.hexdigest())
+            yield batch.assign(sha256=found)
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    small = files.load(folder).where(F.col("length") <= LARGEST_FILE)
-    large = files.load(folder).where(F.col("length") > LARGEST_FILE)
+    small = files.load(folder).where(F.col("length") <= largest).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = files.load(folder).where(F.col("length") > largest).select("path", "length").repartition("path").mapInPandas(streamed, "path string, length long, sha256 string")
     # what comes before the folder in a path (scheme and host) goes, and the folder itself
     prefix = "^.*?\\Q/" + folder.split("://", 1)[-1].removeprefix("file:").strip("/") + "/\\E"
-    row = lambda df, digest, status: df.select(F.regexp_replace("path", prefix, "").alias("path"), F.col("length").alias("size"), digest.alias("sha256"), F.lit(origin).alias("origin"), F.lit(status).alias("status"))
-    return row(small, F.sha2("content", 256), "OK").unionByName(row(large.drop("content"), F.lit(None).cast("string"), "TOO_LARGE"))
+    return small.unionByName(large).select(F.regexp_replace("path", prefix, "").alias("path"), F.col("length").alias("size"), "sha256", F.lit(origin).alias("origin"), F.lit("OK").alias("status"))
 
 
 def content_manifest(df: DataFrame, path, content, origin: str = "") -> DataFrame:

@@ -60,6 +60,8 @@ def test_manifest_paths_are_relative_to_the_folder(spark):
     assert sorted(r["path"].split("/")[0] for r in rows if r["size"]) == ["a", "b"]
     assert {r["sha256"] for r in rows if r["size"]} == {hashlib.sha256(t).hexdigest() for t in (b"one|", b"two two|")}
     assert {r["status"] for r in rows} == {"OK"}
+    # files beyond a limit are streamed through the digest, with the same result
+    assert sorted(rd.file_manifest(spark, path, "part-*", largest=5).collect()) == sorted(rows)
 
 
 def test_negative_values_and_unlisted_classes_are_rejected(spark):

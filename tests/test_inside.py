@@ -95,3 +95,61 @@ def test_equal_area_zone_closes(spark):
 
 def test_no_rectangles_no_zone(spark):
     assert areas(spark, [("z", 0, 0, [(0, 0), (1, 0), (0, 1)])], [("other", (0, 0, 1, 1)), ("z", (5, 5, 6, 6)), ("z", (0, -9, 1, -8))], 1.0) == {0: 0.0, 1: 0.0, 2: 0.0}
+
+
+def test_points_and_features_with_slanted_edges_and_holes(spark):
+    from terrazone.operators import geometry
+    edges = inside.oriented_edges(vertices(spark, RINGS), ["zone_id"])
+    draw = np.random.default_rng(2)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(zip(draw.uniform(-1, 15, 150), draw.uniform(-1, 13, 150)))]
+    df = spark.createDataFrame(points, "point int, x double, y double")
+    eps = 1e-6
+    expected = {(i, z) for i, x, y in points for z in ("slanted", "two", "star") if want(RINGS, z, (x, y, x + eps, y + eps)) > eps * eps / 2}
+    for tile in (0.7, 3.0):
+        assert {(r["point"], r["zone_id"]) for r in geometry.points_in_zones(df, edges, ["point"], ["zone_id"], tile).collect()} == expected
+    lines = spark.createDataFrame([("crosses", 0, -1.0, 5.0, 20.0, 6.0), ("in the hole", 0, 6.0, 5.0, 6.5, 5.5), ("touches", 0, 14.0, 1.25, 14.0, -5.0), ("far", 0, 30.0, 30.0, 31.0, 44.0),
+                                   ("corner", 0, 6.0, 6.0, 6.0, 9.0), ("within", 0, 5.0, 2.0, 5.5, 2.5)], "f string, seq int, x1 double, y1 double, x2 double, y2 double")
+    for tile in (1.0, 2.5):
+        got = {(r["f"], r["zone_id"]) for r in geometry.feature_intersects(lines, edges, ["f"], ["zone_id"], tile).collect()}
+        assert {p for p in got if p[1] == "two"} == {("in the hole", "two"), ("crosses", "two"), ("touches", "two"), ("corner", "two"), ("within", "two")}
+        assert ("in the hole", "slanted") not in got and ("crosses", "slanted") in got and not any(f == "far" for f, _ in got)
+
+
+def test_touched_cells_are_those_that_meet_the_zone(spark):
+    from terrazone.operators import geometry
+    from terrazone.operators.geometry import edge_cells
+    got = {(r["zone_id"], r["row"], r["column"]) for r in geometry.touched_cells(vertices(spark, RINGS), ["zone_id"], 0.25, 20.25, 1.0, 1.0).collect()}
+    edges = inside.oriented_edges(vertices(spark, RINGS), ["zone_id"])
+    border = {(r["zone_id"], r["row"], r["column"]) for r in edge_cells(edges, ["zone_id"], 0.25, 20.25, 1.0, 1.0).collect()}
+    full = {(z, r, c) for z in ("slanted", "two", "star") for r in range(25) for c in range(-3, 22) if want(RINGS, z, (0.25 + c, 19.25 - r, 1.25 + c, 20.25 - r)) > 1e-9}
+    assert got == border | full
+
+
+def test_utm_cells_against_a_dense_reference(spark):
+    """Cells of 1 km and their parts in a slanted zone: areas on the ellipsoid, from borders cut finely and carried to the equal-area plane."""
+    from terrazone.functions import geocols as g
+    from terrazone.operators import geometry
+    ring = [(301_200.0, 727_300.0), (309_900.0, 728_100.0), (308_400.0, 735_700.0), (302_300.0, 734_050.0)]
+    got = {(r["row"], r["column"]): r["weight"] for r in geometry.cell_weights(vertices(spark, [("z", 0, 0, ring)]), ["zone_id"], 300_000.0, 740_000.0, 1000.0, 1000.0, utm=True).collect()}
+    cells = [(row, c) for row, c in got if abs(clipped(ring, 300_000 + 1000 * c, 739_000 - 1000 * row, 301_000 + 1000 * c, 740_000 - 1000 * row) - 1e6) < 1e-6][:6] + [(9, 4), (12, 2)]
+    rows = []
+    for row, c in cells:
+        x0, y0 = 300_000.0 + 1000 * c, 739_000.0 - 1000 * row
+        corners = [(x0, y0), (x0 + 1000, y0), (x0 + 1000, y0 + 1000), (x0, y0 + 1000)]
+        shape = corners if got[row, c] > 9.9e5 else None
+        if shape is None:
+            continue
+        k = 0
+        for (ax, ay), (bx, by) in zip(shape, shape[1:] + shape[:1]):
+            for i in range(200):
+                rows.append((row, c, k, ax + (bx - ax) * i / 200, ay + (by - ay) * i / 200))
+                k += 1
+    df = spark.createDataFrame(rows, "row int, column int, seq int, e double, n double")
+    lon, lat = g.utm_to_lonlat("e", "n", 33)
+    plane = {}
+    for r in df.select("row", "column", "seq", g.equal_area_x(lon).alias("x"), g.equal_area_y(lat).alias("y")).orderBy("row", "column", "seq").collect():
+        plane.setdefault((r["row"], r["column"]), []).append((r["x"], r["y"]))
+    assert len(plane) >= 6
+    for k, p in plane.items():
+        x, y = np.array(p).T - np.array(p).mean(0)[:, None]
+        assert got[k] == pytest.approx(abs((x * np.roll(y, -1) - np.roll(x, -1) * y).sum()) / 2, rel=1e-6)
