@@ -43,6 +43,8 @@ SAMPLE, OFTEN, MOST = 5000, 3, 1 << 16
 BLOCK, COLUMNS = 512, 8192
 #: Groups that agree on a part and are paired at most; beyond that they become one. Rounds in which the matrix thins out large groups.
 PAIRED, ROUNDS = 16, 2
+#: Parts of the hash space in which a set's tokens are counted, for a bound of what two sets have in common.
+SKETCH = 128
 SALT = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of text that are made into sets at once.
 CHUNK = 1 << 20
@@ -239,6 +241,7 @@ def linked_by_text(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.loc[keep, ["a", "b"]]
 
+    docs = docs.join(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "doc", "left_semi")  # no other text is shuffled
     first = pairs.join(docs.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a")
     return first.join(docs.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
@@ -273,14 +276,15 @@ def group_meetings(docs: DataFrame, members: DataFrame, size: int, percent: int,
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFrame, str]:
-    """(doc, tokens) of the wanted documents, as a table."""
+    """(doc, tokens, counts) of the wanted documents, as a table: their sets, and how many tokens fall into each part of the hash space."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 some = batch.iloc[at:at + 500]
-                yield pd.DataFrame({"doc": some["doc"], "tokens": [t.view(np.int64) for t in token_sets(some["text"].tolist(), size)]})
+                sets = list(token_sets(some["text"].tolist(), size))
+                yield pd.DataFrame({"doc": some["doc"], "tokens": [t.view(np.int64) for t in sets], "counts": [np.bincount((t % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32) for t in sets]})
 
-    return stash(docs.join(wanted, "doc", "left_semi").mapInPandas(run, "doc long, tokens array<long>").dropDuplicates(["doc"]), "sets")
+    return stash(docs.join(wanted, "doc", "left_semi").mapInPandas(run, "doc long, tokens array<long>, counts array<int>").dropDuplicates(["doc"]), "sets")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -309,7 +313,7 @@ def links_inside_groups(members: DataFrame, sets: DataFrame, percent: int) -> Da
         far = low != np.arange(len(low))
         return pd.DataFrame({"a": group["doc"].to_numpy()[far], "b": group["doc"].to_numpy()[low[far]]}) if far.any() else None
 
-    rows = blocked(members.select("g", "doc", "n", "c"), ["g"], "doc", BLOCK).join(sets, "doc")
+    rows = blocked(members.select("g", "doc", "n", "c"), ["g"], "doc", BLOCK).join(sets.select("doc", "tokens"), "doc")
     return by_groups(rows, ["g"], compare, "a long, b long")
 
 
@@ -323,7 +327,11 @@ def links_between_groups(queries: DataFrame, targets: DataFrame, sets: DataFrame
     bound = asked.join(matrix, ["g", "token"]).groupBy("x", "xn", "g", "low").agg(F.count(F.lit(1)).alias("overlap"))
     least = F.greatest(F.col("low"), F.ceil(F.col("xn") * percent / 100))
     opened = bound.where(F.col("overlap") * (100 + percent) >= percent * (F.col("xn") + least)).select("x", "xn", "g").unionByName(queries.where("rows = 1").select("x", "xn", "g"))
-    pairs = opened.join(targets, "g").where(may_be_as_large(F.col("xn"), F.col("yn"), F.col("yn"), percent))
+    pairs = opened.join(targets, "g").where(may_be_as_large(F.col("xn"), F.col("yn"), F.col("yn"), percent)).select("x", "xn", "y", "yn").distinct()
+    # no two sets have more tokens in common than the smaller counts of the parts add up to; that rules most pairs out before sets are sent
+    pairs = pairs.join(sets.select(F.col("doc").alias("x"), F.col("counts").alias("cx")), "x").join(sets.select(F.col("doc").alias("y"), F.col("counts").alias("cy")), "y")
+    most = F.aggregate(F.zip_with("cx", "cy", lambda a, b: F.least(a, b)), F.lit(0), lambda a, n: a + n)
+    pairs = pairs.where(most * (100 + percent) >= percent * (F.col("xn") + F.col("yn"))).drop("cx", "cy")
     common = F.size(F.array_intersect("tx", "ty"))
     return pairs.join(of_x, "x").join(of_y, "y").where(common * (100 + percent) >= percent * (F.col("xn") + F.col("yn"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
@@ -366,14 +374,15 @@ def remaining_links(docs: DataFrame, sizes: DataFrame, groups: DataFrame, compon
     queries, queries_path = stash(met.join(members.select(F.col("g").alias("from"), F.col("doc").alias("x"), F.col("n").alias("xn")), "from")
                                   .where(may_be_as_large(F.col("xn"), F.col("low"), F.col("high"), percent)).select("x", "xn", "g", "rows", "low").distinct(), "queries")
     targets, targets_path = stash(members.join(queries.select("g").distinct(), "g", "left_semi").select("g", F.col("doc").alias("y"), F.col("n").alias("yn")), "targets")
-    together, together_path = connected_components(many.select(F.col("g").alias("a"), F.col("lead").alias("b")), "large-groups", with_path=True)
-    larger = members.join(together.select(F.col("node").alias("g"), F.col("component").alias("larger")), "g", "left").select(F.coalesce("larger", "g").alias("g"), "doc", "n", "c")
+    # the groups of a part of many are compared under the smallest of them, each group also by itself
+    under = many.unionByName(members.select("g", F.col("g").alias("lead"))).distinct()
+    larger = members.join(under, "g").select(F.col("lead").alias("g"), "doc", "n", "c")
     open_groups = larger.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
     inside, inside_path = stash(larger.join(open_groups, "g", "left_semi"), "inside")
     wanted = queries.select(F.col("x").alias("doc")).unionByName(targets.select(F.col("y").alias("doc"))).unionByName(inside.select("doc")).distinct()
     sets, sets_path = sets_of(docs, wanted, size)
     links, path = stash(links_inside_groups(thinned(inside, sets, percent), sets, percent).unionByName(links_between_groups(queries, targets, sets, percent)), "group-links")
-    remove(spark, members_path, parts_path, queries_path, targets_path, together_path, inside_path, sets_path)
+    remove(spark, members_path, parts_path, queries_path, targets_path, inside_path, sets_path)
     return links, path
 
 

@@ -103,7 +103,7 @@ def op10_sampled_pieces(spark, d):
     """No SQL: a segmentation is drawn from a lattice."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     cut = sampled_pieces.encode(docs, lossless="lossless")
-    return cut.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "lossless")
+    return cut.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
 
 
 @query("op9_toxicity")
