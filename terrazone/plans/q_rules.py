@@ -341,3 +341,36 @@ def flatten_assets(spark, d):
                                            first.alias("historical_assets"), second.alias("assets"))
     out = ru.flatten_assets(src, ["historical_assets", "assets"], ["input_code", "code"])
     return out.groupBy("list", "asset_key").agg(F.count("*").alias("asset_count"))
+
+
+SERIES = {"cadence": "monthly", "minimum_temporal_coverage": 0.9}
+
+
+@query("complete_plan", f"""{PLAN}, x AS (SELECT 'L' || p_partkey layer_id, p_partkey % 40 source_id, p_brand variable, p_size % 3 = 0 ask, CASE WHEN p_size % 2 = 0 THEN 'ee_series' ELSE 'static' END adapter,
+   TIMESTAMP '2001-03-01' + to_days(p_size::INT) s, TIMESTAMP '2002-01-01' + to_days(p_size::INT) e, CASE WHEN p_partkey % 5 = 0 THEN '16day' END oc FROM part),
+ ev AS (SELECT user_id % 40 source_id, event_id ord, CASE WHEN user_id % 3 = 0 THEN (SELECT min(p_brand) FROM part) ELSE 'b1' END band, "value"::VARCHAR v, user_id % 4 = 0 two FROM events WHERE user_id % 40 < 30),
+ f AS (SELECT source_id, arg_min(band, ord) band, arg_min(two, ord) two FROM ev WHERE v IS NOT NULL GROUP BY 1),
+ j AS (SELECT pq.*, x.source_id, variable, ask, adapter, s, e, oc, CASE WHEN NOT ask THEN NULL WHEN f.source_id IS NULL THEN 'NO_VERIFIED_SAMPLE' WHEN f.band = variable THEN 'DECLARED_BAND' WHEN NOT two THEN 'SINGLE_NUMERIC_BAND' ELSE 'AMBIGUOUS_BANDS' END bs, f.band
+   FROM pq JOIN x USING (layer_id) LEFT JOIN f ON ask AND x.source_id = f.source_id),
+ k AS (SELECT *, ask AND bs IN ('NO_VERIFIED_SAMPLE', 'AMBIGUOUS_BANDS') miss FROM j), m AS (SELECT *, CASE WHEN miss THEN 'CATALOG_ONLY' ELSE state END st, CASE WHEN adapter = 'ee_series' THEN coalesce(oc, 'monthly') END cad FROM k)
+ SELECT layer_id, st layer_disposition, CASE WHEN miss THEN bs ELSE reason END layer_reason, CASE WHEN miss THEN 'NOT_REQUESTED' ELSE es END extraction_status, bs band_status,
+  CASE WHEN bs = 'SINGLE_NUMERIC_BAND' THEN band ELSE variable END variable, CASE WHEN bs = 'SINGLE_NUMERIC_BAND' THEN variable END product_variable,
+  CASE WHEN required AND st <> 'SELECTED_REQUIRED' THEN 'REQUIRED_LAYER_NOT_ELIGIBLE' ELSE 'OK' END plan_status, cad cadence, CASE WHEN adapter = 'ee_series' THEN .9::DOUBLE END minimum_temporal_coverage,
+  strftime(CASE WHEN adapter = 'ee_series' THEN s END, '%Y-%m-%d') period_start, strftime(CASE WHEN adapter = 'ee_series' THEN e END, '%Y-%m-%d') period_end,
+  strftime(CASE WHEN adapter = 'ee_series' THEN CASE WHEN cad = '16day' THEN s - INTERVAL 17 DAY ELSE s END END, '%Y-%m-%d') read_from FROM m""")
+def complete_plan(spark, d):
+    """Plan rows with bands from evidence, series settings, window and the first day to read."""
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    more = p.select(F.concat(F.lit("L"), k.cast("string")).alias("layer_id"), (k % 40).alias("source_id"), F.col("p_brand").alias("variable"), (F.col("p_size") % 3 == 0).alias("resolve_from_evidence"),
+                    F.when(F.col("p_size") % 2 == 0, "ee_series").otherwise("static").alias("adapter"), F.expr("timestampadd(DAY, p_size, TIMESTAMP '2001-03-01')").alias("start"), F.expr("timestampadd(DAY, p_size, TIMESTAMP '2002-01-01')").alias("end"))
+    overrides = p.where("p_partkey % 5 = 0").select(F.concat(F.lit("L"), k.cast("string")).alias("layer_id"), F.lit("16day").alias("cadence"))
+    u = F.col("user_id")
+    e = table(spark, d, "events").where(u % 40 < 30)
+    band = F.when(u % 3 == 0, F.lit(p.agg(F.min("p_brand")).first()[0])).otherwise("b1")
+    value = F.col("value").cast("string")
+    sample = F.when(u % 4 == 0, F.create_map(band, value, F.lit("second"), F.lit("1"))).otherwise(F.create_map(band, value))
+    evidence = e.select((u % 40).alias("source_id"), F.col("event_id").alias("ord"), sample.alias("sample"))
+    out = ru.complete_plan(planned(spark, d).join(more, "layer_id"), evidence, SERIES, overrides)
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return out.select("layer_id", "layer_disposition", "layer_reason", "extraction_status", "band_status", "variable", "product_variable", "plan_status", "cadence", "minimum_temporal_coverage",
+                      day("period_start"), day("period_end"), day("read_from"))
