@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ..sources import readers as rd, sinks as sk
 from .registry import query, rnd, table
@@ -21,6 +21,16 @@ def scan_csv_evidence(spark, d):
     return back.select("doc_id", F.md5("text").alias("text_hash"), F.length("text").alias("text_length"), "lang")
 
 
+@query("scan_csv_blocks", """SELECT doc_id::VARCHAR doc_id, md5(text) text_hash, length(text)::INT text_length, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END lang FROM documents""")
+def scan_csv_blocks(spark, d):
+    """The same table, its files read in blocks."""
+    path = sk.work_dir(spark)
+    doc = table(spark, d, "documents").select("doc_id", "text", F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("lang"))
+    sk.sink_table(doc, path)
+    back = rd.scan_csv_blocks(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in doc.columns]))
+    return back.select("doc_id", F.md5("text").alias("text_hash"), F.length("text").alias("text_length"), "lang")
+
+
 @query("scan_json_records", "SELECT conv_id, turn, role, md5(text) text_hash FROM conversations")
 def scan_json_records(spark, d):
     path = sk.work_dir(spark)

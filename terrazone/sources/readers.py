@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.scalars import col, finite
 
@@ -25,12 +25,39 @@ MULTIPOLYGON = T.ArrayType(POLYGON)
 def scan_csv_evidence(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
     """CSV with header, byte-order mark, doubled quotes and very large multi-line cells; all columns are text.
 
-    Multi-line files are not splittable: keep many moderate files rather than one huge one.
+    A file is one task here: ``scan_csv_blocks`` reads one huge file by many.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1).option("encoding", "UTF-8")
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def scan_csv_blocks(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """The same rows as ``scan_csv_evidence`` with a schema, from files of any size that many tasks read.
+
+    A file is read by lines, block by block. A line break belongs to a cell if an odd number of quotes stands before it in the file; that number is a
+    running sum over blocks (one row each) plus one over the lines of a block. So records are numbered without reading a file in one piece, the lines of
+    a record are put together, wherever it crosses blocks, and each record is parsed alone. A file's first record is its header.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = lines.withColumn("_q", quotes.cast("long"))
+    blocks = lines.groupBy("_file", "_block").agg(F.sum("_q").alias("_sum"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_file", "_block").orderBy("_at")
+    placed = lines.join(blocks, ["_file", "_block"]).withColumn("_opens", (F.col("_before") + F.sum("_q").over(inside) - F.col("_q")) % 2 == 0)
+    placed = placed.withColumn("_in_block", F.sum(F.col("_opens").cast("long")).over(inside))
+    starts = placed.groupBy("_file", "_block").agg(F.sum(F.col("_opens").cast("long")).alias("_n"))
+    starts = starts.select("_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    numbered = placed.join(starts, ["_file", "_block"]).withColumn("_record", F.col("_offset") + F.col("_in_block"))
+    texts = numbered.groupBy("_file", "_record").agg(F.array_sort(F.collect_list(F.struct("_block", "_at", "value"))).alias("_lines"))
+    whole = F.array_join(F.transform("_lines", lambda x: x["value"]), "\n")
+    body = texts.where("_record > 1").select(F.regexp_replace(whole, "\r$", "").alias("_text")).where("_text <> ''")
+    options = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "mode": "PERMISSIVE"}
+    return body.select(F.from_csv("_text", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("_row")).select("_row.*")
+
+
 def scan_json_records(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
     """A list of JSON records per file, or one record per line."""
     return spark.read.option("multiLine", True).schema(schema).json(path)
